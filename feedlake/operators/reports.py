@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Weekday numbers start on Sunday.
@@ -34,9 +35,9 @@ def available_dates(trending: DataFrame) -> DataFrame:
     return trending.select("date").distinct().orderBy(F.desc("date"))
 
 
-def top_keywords_on_date(trending: DataFrame, date: Column | None = None, n: int = 20) -> DataFrame:
+def top_keywords_on_date(trending: DataFrame, date: datetime.date | None = None, n: int = 20) -> DataFrame:
     """Top keywords of a day, by default the last one."""
-    day = trending.agg(F.max("date")).scalar() if date is None else date
+    day = trending.agg(F.max("date")).scalar() if date is None else F.lit(date)
     return (
         trending.where(F.col("date") == day)
         .select("keyword", "mentions", "sources_count")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators import curated
 from feedlake.operators.transform import filter_future, transform_posts
 from feedlake.session import scratch_dir, write_and_reload
 from feedlake.sources import zones
+from feedlake.streaming.live import ingest_new_files
 
 
 def curated_tables(
@@ -74,6 +76,27 @@ def transform_zone(
     return done
 
 
+def ingest_source(
+    spark: SparkSession, raw: str, processed: str, source: str, checkpoint: str, **options
+) -> None:
+    """Transform the raw files of a source that no earlier run has seen, and add their posts.
+
+    Each batch has its own partition, overwritten if the batch is run again, so that a
+    failure between the write and the bookmark doubles nothing.
+    """
+
+    def process(batch: DataFrame, number: int) -> None:
+        posts = transform_posts(batch, source, **options).withColumn("ingest_batch", F.lit(number))
+        (
+            posts.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("source", "ingest_batch")
+            .parquet(f"{processed}/{source}")
+        )
+
+    ingest_new_files(spark, f"{raw}/{source}", options.pop("schema", schemas.RECORDS.get(source)), checkpoint, process)
+
+
 def run_lake(
     spark: SparkSession, raw: str, processed: str, curated_root: str, as_of: Column | None = None, **options
 ) -> Mapping[str, DataFrame] | None:

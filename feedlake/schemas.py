@@ -6,10 +6,17 @@ from pyspark.sql import types as T
 
 FEEDS = ("bluesky", "nostr", "hackernews", "stackoverflow", "rss")
 
-POST = T.StructType.fromDDL(
-    "id string, source string, content_clean string, collected_at timestamp, "
-    "processed_at timestamp, keywords array<string>, categories array<string>, "
-    "is_remapped boolean, has_keywords boolean"
+POST = (
+    T.StructType()
+    .add("id", "string")
+    .add("source", "string")
+    .add("content_clean", "string")
+    .add("collected_at", "timestamp")
+    .add("processed_at", "timestamp")
+    .add("keywords", T.ArrayType(T.StringType()))
+    .add("categories", T.ArrayType(T.StringType()))
+    .add("is_remapped", "boolean")
+    .add("has_keywords", "boolean")
 )
 
 # Payloads as the feeds deliver them, before normalising.
