@@ -33,11 +33,13 @@ def boundary_pattern(keyword: str) -> str:
     r"""Java pattern of ``\bkeyword\b`` with Unicode word characters.
 
     A boundary next to a non-word character asks for a word character beyond it: ``c++``
-    occurs in ``c++11``, and not in ``c++ and``.
+    occurs in ``c++11``, and not in ``c++ and``.  The look-behind stands after the keyword,
+    so the search looks for the keyword first.
     """
-    left = f"(?<!{WORD})" if _is_word(keyword[0]) else f"(?<={WORD})"
+    quoted = _quote(keyword)
+    left = f"(?<!{WORD}{quoted})" if _is_word(keyword[0]) else f"(?<={WORD}{quoted})"
     right = f"(?!{WORD})" if _is_word(keyword[-1]) else f"(?={WORD})"
-    return left + _quote(keyword) + right
+    return quoted + left + right
 
 
 def first_run(keyword: str) -> str:

@@ -43,10 +43,9 @@ def clean_content(col: Column) -> Column:
 
 
 def word_runs(col: Column) -> Column:
-    """All maximal runs of word characters, in lower case."""
-    return F.regexp_extract_all(F.lower(col), F.lit(f"({WORD}+)"), F.lit(1))
+    """All maximal runs of word characters."""
+    return F.regexp_extract_all(col, F.lit(f"{WORD}++"), F.lit(0))
 
 
-def stripped_words(col: Column) -> Column:
-    """Words between white space, in lower case, without punctuation at the ends."""
-    return F.transform(F.split(F.lower(col), SPACE), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
+def strip_punctuation(col: Column) -> Column:
+    return F.btrim(col, F.lit(PUNCTUATION))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.taxonomy import Taxonomy
-from feedlake.functions.text import WORD, stripped_words, word_runs
+from feedlake.functions.text import SPACE, WORD, strip_punctuation, word_runs
 
 _NO_STRINGS = "array<string>"
 
@@ -15,8 +15,8 @@ def _no_strings() -> Column:
     return F.array().cast(_NO_STRINGS)
 
 
-def match_keywords(text: Column, taxonomy: Taxonomy) -> Column:
-    """Sorted dictionary keywords that occur in ``text`` as whole words.
+def match_keywords(lowered: Column, taxonomy: Taxonomy) -> Column:
+    """Sorted dictionary keywords that occur as whole words in a text in lower case.
 
     The text is cut into tokens once; a hash set keeps those that start a keyword, and
     only keywords of several words or with a non-word end are compared by pattern.  The
@@ -24,8 +24,7 @@ def match_keywords(text: Column, taxonomy: Taxonomy) -> Column:
     """
     if not taxonomy.keywords:
         return _no_strings()
-    lowered = F.lower(text)
-    starts = F.array_distinct(F.filter(word_runs(text), lambda t: t.isin(taxonomy.first_runs())))
+    starts = F.array_distinct(F.filter(word_runs(lowered), lambda t: t.isin(taxonomy.first_runs())))
     candidates = F.flatten(F.transform(starts, lambda t: F.element_at(taxonomy.candidates(), t)))
     found = F.filter(
         candidates,
@@ -34,12 +33,16 @@ def match_keywords(text: Column, taxonomy: Taxonomy) -> Column:
     return F.coalesce(F.array_sort(F.transform(found, lambda c: c.keyword)), _no_strings())
 
 
-def match_synonyms(text: Column, taxonomy: Taxonomy) -> Column:
-    """Synonym words of ``text`` in order of occurrence, repeats kept."""
+def match_synonyms(lowered: Column, taxonomy: Taxonomy) -> Column:
+    """Synonym words of a text in lower case, in order of occurrence, repeats kept.
+
+    A word stands between white space; punctuation at its ends does not count.
+    """
     if not taxonomy.synonyms:
         return _no_strings()
-    words = F.filter(stripped_words(text), lambda w: w.isin(sorted(taxonomy.synonyms)))
-    return F.coalesce(words, _no_strings())
+    known = sorted(taxonomy.synonyms)
+    words = F.filter(F.split(lowered, SPACE), lambda w: strip_punctuation(w).isin(known))
+    return F.coalesce(F.transform(words, strip_punctuation), _no_strings())
 
 
 def tag_posts(
@@ -58,10 +61,11 @@ def tag_posts(
     synonyms = taxonomy.synonym_map() if has_synonyms else None
     kept = [c for c in df.columns if c != text]
 
-    found = df.withColumn("_keywords", match_keywords(F.col(text), taxonomy))
+    found = df.withColumn("_lower", F.lower(text))
+    found = found.withColumn("_keywords", match_keywords(F.col("_lower"), taxonomy))
     found = found.withColumn(
         "_hits",
-        F.when(F.size("_keywords") < min_keywords, match_synonyms(F.col(text), taxonomy)).otherwise(_no_strings()),
+        F.when(F.size("_keywords") < min_keywords, match_synonyms(F.col("_lower"), taxonomy)).otherwise(_no_strings()),
     )
     targets = (
         F.transform("_hits", lambda w: F.element_at(synonyms, w).target) if has_synonyms else _no_strings()
@@ -115,12 +119,14 @@ def tag_posts(
 def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
     """One row per keyword of a ``(keyword, category, category_rank)`` table of any size.
 
-    The category of the lowest rank wins.  ``pattern`` is NULL where the first token
-    proves the match.  The checks mirror ``taxonomy.boundary_pattern``.
+    The category of the lowest rank wins.  ``token`` is the first run of word characters,
+    or the first two with a space between; ``pattern``, the counterpart of
+    ``taxonomy.boundary_pattern``, is NULL where the token proves the match.
     """
     keyword = F.lower("keyword")
     quoted = F.regexp_replace("keyword", rf"((?!{WORD}).)", r"\\$1")
-    left = F.when(F.col("keyword").rlike(f"^{WORD}"), F.lit(f"(?<!{WORD})")).otherwise(F.lit(f"(?<={WORD})"))
+    behind = F.when(F.col("keyword").rlike(f"^{WORD}"), F.lit("(?<!")).otherwise(F.lit("(?<="))
+    left = F.concat(behind, F.lit(WORD), quoted, F.lit(")"))
     right = F.when(F.col("keyword").rlike(f"{WORD}$"), F.lit(f"(?!{WORD})")).otherwise(F.lit(f"(?={WORD})"))
     return (
         dictionary.where(keyword.rlike(WORD))
@@ -129,12 +135,20 @@ def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
         .select(
             "keyword",
             F.col("c.category").alias("category"),
-            F.regexp_extract("keyword", f"({WORD}+)", 1).alias("token"),
-            F.when(~F.col("keyword").rlike(f"^{WORD}+$"), F.concat(left, quoted, right)).alias("pattern"),
+            F.array_join(F.slice(word_runs(F.col("keyword")), 1, 2), " ").alias("token"),
+            F.when(~F.col("keyword").rlike(f"^{WORD}+$"), F.concat(quoted, left, right)).alias("pattern"),
         )
     )
 
 
+def text_tokens(lowered: Column) -> Column:
+    """Distinct runs of a text, and distinct pairs of neighbours with a space between."""
+    runs = word_runs(lowered)
+    after = F.greatest(F.size(runs) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(runs, 1, after), F.slice(runs, 2, after), lambda a, b: F.concat_ws(" ", a, b))
+    return F.concat(F.array_distinct(runs), F.array_distinct(pairs))
+
+
 def tag_by_join(df: DataFrame, dictionary: DataFrame, text: str = "text") -> DataFrame:
     """Keywords and categories of each row against a dictionary table of any size.
 
@@ -146,7 +160,7 @@ def tag_by_join(df: DataFrame, dictionary: DataFrame, text: str = "text") -> Dat
     """
     keyed = df.withColumn("_key", F.sha2(text, 256))
     texts = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first(text).alias("_text"))
-    tokens = texts.select("_key", F.explode(F.array_distinct(word_runs(F.col("_text")))).alias("token"))
+    tokens = texts.select("_key", F.explode(text_tokens(F.lower("_text"))).alias("token"))
     hits = tokens.join(prepare_dictionary(dictionary), "token").select("_key", "keyword", "category", "pattern")
     sure = hits.where("pattern IS NULL").drop("pattern")
     checked = (
