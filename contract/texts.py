@@ -88,19 +88,19 @@ def tag_conversations(spark, sf):
     return tagged.select("id", "source", "content", "mapped_keywords", "categories", "is_remapped")
 
 
-# Pairs of neighbouring runs are candidates; the text shows whether one space stands between.
+# Neighbouring runs are a pair if the separator between them is one space.
 @query(
     "tag_by_join",
     rf"""WITH {DICTIONARY_SQL},
     d AS (SELECT doc_id, lower(text) AS l FROM documents),
-    w AS (SELECT doc_id, l, regexp_extract_all(l, '[\p{{L}}\p{{N}}_]+') AS runs FROM d),
+    w AS (SELECT doc_id, regexp_extract_all(l, '[\p{{L}}\p{{N}}_]+') AS runs,
+      regexp_extract_all(l, '[^\p{{L}}\p{{N}}_]+') AS seps,
+      CAST(regexp_matches(l, '^[^\p{{L}}\p{{N}}_]') AS INTEGER) AS lead FROM d),
     one AS (SELECT DISTINCT doc_id, unnest(runs) AS token FROM w),
-    two AS (SELECT DISTINCT doc_id, l, runs[i] || ' ' || runs[i + 1] AS token
-      FROM (SELECT doc_id, l, runs, unnest(range(1, len(runs))) AS i FROM w)),
+    two AS (SELECT DISTINCT doc_id, runs[i] || ' ' || runs[i + 1] AS token
+      FROM (SELECT *, unnest(range(1, len(runs))) AS i FROM w) WHERE seps[i + lead] = ' '),
     hit AS (SELECT doc_id, keyword, category FROM one JOIN dict ON dict.keyword = one.token
-      UNION ALL SELECT doc_id, keyword, category FROM two JOIN dict ON dict.keyword = two.token
-      WHERE contains(l, keyword)
-      AND regexp_matches(l, '(^|[^\p{{L}}\p{{N}}_])' || keyword || '($|[^\p{{L}}\p{{N}}_])')),
+      UNION ALL SELECT doc_id, keyword, category FROM two JOIN dict ON dict.keyword = two.token),
     g AS (SELECT doc_id, list_sort(list(keyword)) AS keywords, list_sort(list(DISTINCT category)) AS categories
       FROM hit GROUP BY 1)
     SELECT documents.doc_id, coalesce(array_to_string(keywords, '|'), '') AS keywords,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.taxonomy import Taxonomy
-from feedlake.functions.text import SPACE, WORD, strip_punctuation, word_runs
+from feedlake.functions.text import GAP, SPACE, WORD, strip_punctuation, word_runs
 
 _NO_STRINGS = "array<string>"
 
@@ -120,9 +120,10 @@ def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
     """One row per keyword of a ``(keyword, category, category_rank)`` table of any size.
 
     The category of the lowest rank wins.  ``token`` is the first run of word characters,
-    or the first two with a space between; ``pattern``, the counterpart of
-    ``taxonomy.boundary_pattern``, is NULL where the token proves the match.
+    or the first two with what stands between; ``pattern``, the counterpart of
+    ``taxonomy.boundary_pattern``, is NULL where the token is the whole keyword.
     """
+    two_runs = f"{WORD}+({GAP}+{WORD}+)?"
     keyword = F.lower("keyword")
     quoted = F.regexp_replace("keyword", rf"((?!{WORD}).)", r"\\$1")
     behind = F.when(F.col("keyword").rlike(f"^{WORD}"), F.lit("(?<!")).otherwise(F.lit("(?<="))
@@ -135,18 +136,23 @@ def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
         .select(
             "keyword",
             F.col("c.category").alias("category"),
-            F.array_join(F.slice(word_runs(F.col("keyword")), 1, 2), " ").alias("token"),
-            F.when(~F.col("keyword").rlike(f"^{WORD}+$"), F.concat(quoted, left, right)).alias("pattern"),
+            F.regexp_extract("keyword", two_runs, 0).alias("token"),
+            F.when(~F.col("keyword").rlike(f"^{two_runs}$"), F.concat(quoted, left, right)).alias("pattern"),
         )
     )
 
 
 def text_tokens(lowered: Column) -> Column:
-    """Distinct runs of a text, and distinct pairs of neighbours with a space between."""
+    """Distinct runs of a text, and distinct pairs of neighbours with what stands between.
+
+    The lambda sees its two elements only: an expression over the whole text inside it
+    would be computed again for each of them.
+    """
     runs = word_runs(lowered)
-    after = F.greatest(F.size(runs) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(runs, 1, after), F.slice(runs, 2, after), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(F.array_distinct(runs), F.array_distinct(pairs))
+    gaps = F.split(lowered, f"{WORD}++")  # one before each run, and the rest of the text
+    steps = F.arrays_zip(runs.alias("run"), gaps.alias("gap"))
+    pairs = F.zip_with(steps, F.slice(steps, 2, F.size(steps)), lambda a, b: F.concat(a.run, b.gap, b.run))
+    return F.concat(F.array_distinct(runs), F.array_compact(F.array_distinct(pairs)))
 
 
 def tag_by_join(df: DataFrame, dictionary: DataFrame, text: str = "text") -> DataFrame:
