@@ -1,6 +1,6 @@
 """Queries and their SQL counterparts over the given tables."""
 
-from contract import aggregates, payloads, texts  # noqa: F401
+from contract import aggregates, payloads, streams, texts, zones  # noqa: F401
 from contract.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -90,7 +90,7 @@ class Taxonomy:
         ranked: dict[tuple[int, str], list[str]] = {}
         for row in rows:
             if row.category is not None:
-                ranked.setdefault((row.category_rank, row.category), []).append(row.keyword)
+                ranked.setdefault((row.category_rank, row.category), []).append(row.keyword.lower())
         return cls(
             keywords=tuple(r.keyword for r in rows),
             categories=tuple((name, tuple(words)) for (_, name), words in sorted(ranked.items())),

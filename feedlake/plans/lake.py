@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from feedlake.session import scratch_dir, write_and_reload
 from feedlake.sources import zones
 from feedlake.streaming.live import ingest_new_files
 
+WRITERS = 4
+
 
 def curated_tables(
     activity: DataFrame, uniques: DataFrame, tags: DataFrame, iso_year: bool = False
@@ -58,17 +62,21 @@ def build_curated(
         write_and_reload(curated.tag_rollup(current), f"{scratch}/tags"),
         iso_year,
     )
-    for name, df in tables.items():
-        zones.write_curated(df, root, name, as_of)
+    # Small jobs that do not depend on each other: several at a time keep the cluster busy.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(lambda item: zones.write_curated(item[1], root, item[0], as_of), tables.items()))
 
 
 def transform_zone(
     spark: SparkSession, raw: str, processed: str, sources=schemas.FEEDS, now: Column | None = None, **options
 ) -> list[str]:
-    """Transform each source that has raw files; returns the sources written."""
+    """Transform each source that has raw records; returns the sources written."""
     done = []
     for source in sources:
-        records = zones.scan_raw_jsonl(spark, f"{raw}/{source}", schemas.RECORDS[source])
+        try:
+            records = zones.scan_raw_jsonl(spark, f"{raw}/{source}", schemas.RECORDS[source])
+        except AnalysisException:  # no such folder
+            continue
         if records.isEmpty():
             continue
         zones.write_processed(transform_posts(records, source, now=now, **options), processed, source)
