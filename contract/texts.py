@@ -108,7 +108,7 @@ def tag_conversations(spark, sf):
 )
 def tag_by_join(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return tagging.tag_by_join(docs, benchmark_dictionary(spark, sf)).drop("text")
+    return tagging.tag_by_join(docs, benchmark_dictionary(spark, sf), key="doc_id").drop("text")
 
 
 WORDS_SQL = r"words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM conversations)"

@@ -56,7 +56,10 @@ def normalize_nostr(payloads: DataFrame, taxonomy: Taxonomy, value: str = "value
             F.lit("nostr").alias("source"),
         )
     )
-    return tag_posts(events, taxonomy).where(F.size("mapped_keywords") > 0)
+    tagged = tag_posts(events, taxonomy)
+    # As a filter this would be pushed below the tagging, which would then run twice.
+    row = F.array(F.struct(*tagged.columns))
+    return tagged.select(F.inline(F.filter(row, lambda r: F.size(r.mapped_keywords) > 0)))
 
 
 def normalize_hackernews(items: DataFrame, lists: DataFrame) -> DataFrame:

@@ -155,39 +155,33 @@ def text_tokens(lowered: Column) -> Column:
     return F.concat(F.array_distinct(runs), F.array_compact(F.array_distinct(pairs)))
 
 
-def tag_by_join(df: DataFrame, dictionary: DataFrame, text: str = "text") -> DataFrame:
+def tag_by_join(df: DataFrame, dictionary: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """Keywords and categories of each row against a dictionary table of any size.
 
-    Tags depend on the text alone, so each distinct text is tagged once under its digest:
-    a group of copies, however large, is one row here.  Tokens meet the dictionary in an
-    equi-join (broadcast only if Spark sees that it is small); texts come back only for
-    candidates that need their pattern compared.  Joins on hot tokens or digests are left
-    to AQE, which splits skewed partitions.
+    ``key`` must be unique, as an id is after deduplication: rows are joined back on it,
+    so copies of one text spread over the tasks like any other rows.  Tokens meet the
+    dictionary in an equi-join, broadcast only if Spark measures it to be small; a token
+    that stands in every text is then a skewed partition that AQE splits.  The candidates
+    of a text, bounded by its length, are compared by pattern where their row has the text.
     """
-    keyed = df.withColumn("_key", F.sha2(text, 256))
-    texts = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first(text).alias("_text"))
-    tokens = texts.select("_key", F.explode(text_tokens(F.lower("_text"))).alias("token"))
-    hits = tokens.join(prepare_dictionary(dictionary), "token").select("_key", "keyword", "category", "pattern")
-    sure = hits.where("pattern IS NULL").drop("pattern")
-    checked = (
-        hits.where("pattern IS NOT NULL")
-        .join(texts, "_key")
-        .where(F.rlike(F.lower("_text"), F.col("pattern")))
-        .select("_key", "keyword", "category")
+    tokens = df.select(key, F.explode(text_tokens(F.lower(text))).alias("token"))
+    hits = tokens.join(prepare_dictionary(dictionary), "token")
+    candidates = hits.groupBy(key).agg(
+        F.collect_list(F.struct("keyword", "category", "pattern")).alias("_candidates")
     )
-    # A text matches each keyword once, so its group is bounded by its own length.
-    tags = (
-        sure.unionByName(checked)
-        .groupBy("_key")
-        .agg(
-            F.array_sort(F.collect_list("keyword")).alias("keywords"),
-            F.array_sort(F.collect_set("category")).alias("categories"),
-        )
+    lowered = F.lower(text)
+    found = df.join(candidates, key, "left").withColumn(
+        "_found",
+        F.filter(
+            "_candidates",
+            lambda c: c.pattern.isNull() | (F.contains(lowered, c.keyword) & F.rlike(lowered, c.pattern)),
+        ),
     )
-    return (
-        keyed.join(tags, "_key", "left")
-        .drop("_key")
-        .withColumns({c: F.coalesce(c, _no_strings()) for c in ("keywords", "categories")})
+    categories = F.filter(F.transform("_found", lambda c: c.category), lambda c: c.isNotNull())
+    return found.select(
+        *df.columns,
+        F.coalesce(F.array_sort(F.transform("_found", lambda c: c.keyword)), _no_strings()).alias("keywords"),
+        F.coalesce(F.array_sort(F.array_distinct(categories)), _no_strings()).alias("categories"),
     )
 
 

@@ -122,7 +122,7 @@ def test_join_equals_literals(spark):
     dictionary = spark.createDataFrame(rows, "keyword string, category string, category_rank int")
     df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
     category = WORDS.category_of()
-    for r in tag_by_join(df, dictionary).collect():
+    for r in tag_by_join(df, dictionary, key="n").collect():
         expected = brute_force(r.text or "")
         assert r.keywords == expected
         assert r.categories == sorted({category[k] for k in expected if k in category})
