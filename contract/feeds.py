@@ -9,6 +9,7 @@ from feedlake.functions.taxonomy import Taxonomy
 from feedlake.functions.text import clean_content
 from feedlake.operators.tagging import tag_posts
 from feedlake.operators.transform import align_schema, filter_future
+from feedlake.session import spread
 
 # A small dictionary with words of the texts: plain, short, of several words, with an
 # accent, and one whose end needs a word character behind it.
@@ -58,7 +59,7 @@ def _spread(start: str, offset, seconds: int):
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").cast("string").alias("id"),
         "source",
         "text",
@@ -67,7 +68,7 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations")).select(
         F.concat_ws(":", "conv_id", "turn").alias("id"),
         F.col("role").alias("source"),
         "text",

@@ -21,6 +21,7 @@ from contract.feeds import (
 )
 from contract.texts import clean_html_sql
 from feedlake.operators import normalize, transform
+from feedlake.session import spread
 from feedlake.sources.zones import union_sources
 
 EPOCH = 1704067200
@@ -42,7 +43,7 @@ def bluesky_payloads(spark, sf):
         F.col("doc_id").cast("string").alias("rkey"),
         record.alias("record"),
     )
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         F.to_json(
             F.struct(
                 F.when(F.col("source") == "src0", "identity").otherwise("commit").alias("kind"),
@@ -85,7 +86,7 @@ def nostr_payloads(spark, sf):
             F.when(F.col("turn") > 2, F.array(F.lit("p"))).otherwise(F.array().cast("array<string>")),
         ).alias("tags"),
     )
-    return table(spark, sf, "conversations").select(
+    return spread(table(spark, sf, "conversations")).select(
         F.concat(
             F.when(F.col("role") == "system", '["NOTICE","s",').otherwise('["EVENT","s",'),
             F.to_json(event),

@@ -18,6 +18,7 @@ from contract.feeds import (
 )
 from feedlake.functions.text import clean_content, clean_html, word_runs
 from feedlake.operators import tagging
+from feedlake.session import spread
 
 HTML_SPACES = r"[\s\x0B\x{85}\p{Z}\x1c-\x1f]+"
 
@@ -107,7 +108,7 @@ def tag_conversations(spark, sf):
       coalesce(array_to_string(categories, '|'), '') AS categories FROM documents LEFT JOIN g USING (doc_id)""",
 )
 def tag_by_join(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     return tagging.tag_by_join(docs, benchmark_dictionary(spark, sf), key="doc_id").drop("text")
 
 

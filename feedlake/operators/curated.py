@@ -88,11 +88,15 @@ def explode_tags(posts: DataFrame) -> DataFrame:
     Keywords are in lower case.  One of two characters or fewer counts only where it
     stands alone between spaces in the content; categories are taken as they are.
     """
-    content = F.concat(F.lit(" "), F.lower("content_clean"), F.lit(" "))
+    # Computed once per post, and only where a keyword needs it.
+    short = F.exists("keywords", lambda k: F.length(k) <= SHORT_KEYWORD)
+    posts = posts.withColumn(
+        "_padded", F.when(short, F.concat(F.lit(" "), F.lower("content_clean"), F.lit(" ")))
+    )
     keywords = F.filter(
         F.transform("keywords", F.lower),
         lambda k: F.when(
-            F.length(k) <= SHORT_KEYWORD, content.contains(F.concat(F.lit(" "), k, F.lit(" ")))
+            F.length(k) <= SHORT_KEYWORD, F.col("_padded").contains(F.concat(F.lit(" "), k, F.lit(" ")))
         ).otherwise(True),
     )
 

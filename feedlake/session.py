@@ -46,6 +46,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame, at_most: int = 64) -> DataFrame:
+    """Give every core a share of a small table that comes in few partitions.
+
+    For work that costs much more per row than moving the row.  Input of many partitions
+    is left alone: at most ``at_most`` of them, some gigabytes, are ever shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, at_most) else df
+
+
 def write_and_reload(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table once and go on from the written copy.
 
