@@ -9,6 +9,7 @@ from feedlake import schemas
 from feedlake.functions.taxonomy import Taxonomy
 from feedlake.functions.text import clean_html
 from feedlake.operators.tagging import tag_posts
+from feedlake.session import splittable
 
 # Ranked story lists (fixed values).
 STORY_LISTS = ("top", "new", "best", "ask", "show")
@@ -66,7 +67,7 @@ def normalize_hackernews(items: DataFrame, lists: DataFrame) -> DataFrame:
     """Stories on any list, labelled with the first list, in rank order, that has them."""
     rank = F.array_position(F.array(*[F.lit(name) for name in STORY_LISTS]), F.col("list"))
     first_list = lists.where(rank > 0).groupBy("id").agg(F.min(rank).cast("int").alias("rank"))
-    stories = items.where(F.col("type") == "story").join(first_list, "id")
+    stories = items.where(F.col("type") == "story").join(splittable(first_list), "id")
     return stories.select(
         "id",
         "title",

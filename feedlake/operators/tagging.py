@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.taxonomy import Taxonomy
 from feedlake.functions.text import GAP, SPACE, WORD, strip_punctuation, word_runs
-
-_NO_STRINGS = "array<string>"
+from feedlake.session import splittable
 
 
 def _no_strings() -> Column:
-    return F.array().cast(_NO_STRINGS)
+    return F.array().cast("array<string>")
 
 
 def match_keywords(lowered: Column, taxonomy: Taxonomy) -> Column:
@@ -188,7 +187,7 @@ def tag_by_join(df: DataFrame, dictionary: DataFrame, key: str = "id", text: str
 def is_keyword(words: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
     """Rows whose word, in lower case, is a dictionary keyword."""
     known = dictionary.select(F.lower("keyword").alias("_known")).distinct()
-    return words.join(known, F.lower(word) == F.col("_known"), "left_semi")
+    return words.join(splittable(known), F.lower(word) == F.col("_known"), "left_semi")
 
 
 def dictionary_stats(keywords: DataFrame, synonyms: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from feedlake import schemas
 from feedlake.functions.text import clean_content
 from feedlake.functions.times import parse_time
+from feedlake.session import splittable
 
 # The first column of these that a table has is its content, or its time (fixed values).
 CONTENT_COLUMNS = ("content", "summary", "text", "body", "title")
@@ -208,4 +209,4 @@ def filter_future(posts: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def exclude_seen(records: DataFrame, seen: DataFrame, keys: Sequence[str] = ("source", "id")) -> DataFrame:
     """Records whose key is not among the seen ones."""
-    return records.join(seen.select(*keys).distinct(), list(keys), "left_anti")
+    return records.join(splittable(seen.select(*keys).distinct()), list(keys), "left_anti")

@@ -56,14 +56,15 @@ def build_curated(
     spark = posts.sparkSession
     current = filter_future(posts, as_of)
     scratch = scratch_dir(spark, "rollups")
-    tables = curated_tables(
-        write_and_reload(curated.activity_rollup(current), f"{scratch}/activity"),
-        write_and_reload(curated.unique_rollup(current, iso_year), f"{scratch}/uniques"),
-        write_and_reload(curated.tag_rollup(current), f"{scratch}/tags"),
-        iso_year,
-    )
-    # Small jobs that do not depend on each other: several at a time keep the cluster busy.
+    rollups = {
+        "activity": curated.activity_rollup(current),
+        "uniques": curated.unique_rollup(current, iso_year),
+        "tags": curated.tag_rollup(current),
+    }
+    # Jobs that do not depend on each other: several at a time keep the cluster busy.
     with ThreadPoolExecutor(WRITERS) as pool:
+        written = pool.map(lambda item: write_and_reload(item[1], f"{scratch}/{item[0]}"), rollups.items())
+        tables = curated_tables(*written, iso_year)
         list(pool.map(lambda item: zones.write_curated(item[1], root, item[0], as_of), tables.items()))
 
 

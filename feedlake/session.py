@@ -56,6 +56,16 @@ def spread(df: DataFrame, at_most: int = 64) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, at_most) else df
 
 
+def splittable(df: DataFrame) -> DataFrame:
+    """Shuffle the aggregated side of a join anew.
+
+    AQE splits a skewed partition of the other side only where both sides come straight
+    from a shuffle.  An aggregate on the join keys would be joined in place; rows of one
+    hot key would then meet it in a single task.
+    """
+    return df.hint("rebalance")
+
+
 def write_and_reload(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table once and go on from the written copy.
 

@@ -102,7 +102,11 @@ def replay_seen_ids(messages: DataFrame, now: Column, hours: float = REPLAY_HOUR
 
 
 def drop_seen(records: DataFrame, at: str, keys: Sequence[str] = ("source", "id"), ttl: str = SEEN_TTL) -> DataFrame:
-    """The first record of each key; a key is forgotten once event time has passed the ttl."""
+    """The first record of each key; a key is forgotten once event time has passed the ttl.
+
+    The state holds one entry per key.  Records of one key meet in one task, of at most
+    one batch, whose size the source bounds (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
+    """
     return records.withWatermark(at, ttl).dropDuplicatesWithinWatermark(list(keys))
 
 
