@@ -74,8 +74,8 @@ SQL = {
 }
 
 
-def _activity(spark, sf, posts=event_posts):
-    return curated.activity_rollup(posts(spark, sf))
+def _activity(spark, sf, posts=event_posts, by_hour=False):
+    return curated.activity_rollup(posts(spark, sf), by_hour=by_hour)
 
 
 def _tags(spark, sf):
@@ -87,7 +87,7 @@ VOLUMES = {
     "volume_by_week": lambda spark, sf: curated.volume_by_week(document_posts(spark, sf)),
     "volume_by_month": lambda spark, sf: curated.volume_by_month(event_posts(spark, sf)),
 }
-FROM_EVENTS = ("hourly_activity", "growth_rate", "source_summary")
+FROM_EVENTS = ("growth_rate", "source_summary")
 FROM_DOCUMENTS = ("remapping_stats", "content_stats", "global_summary")
 FROM_TAGS = (
     "trending_keywords", "trending_categories", "keywords_by_source", "distinct_keywords", "cross_source_keywords"
@@ -100,6 +100,7 @@ for _name in FROM_DOCUMENTS:
     TABLES[_name] = lambda spark, sf, f=getattr(curated, _name): f(_activity(spark, sf, document_posts))
 for _name in FROM_TAGS:
     TABLES[_name] = lambda spark, sf, f=getattr(curated, _name): f(_tags(spark, sf))
+TABLES["hourly_activity"] = lambda spark, sf: curated.hourly_activity(_activity(spark, sf, by_hour=True))
 TABLES["explode_keywords"] = lambda spark, sf: curated.explode_keywords(document_posts(spark, sf))
 TABLES["extended_summary"] = lambda spark, sf: curated.extended_summary(
     _activity(spark, sf, document_posts), _tags(spark, sf)

@@ -22,16 +22,12 @@ SHORT_KEYWORD = 2
 # --- rollups -------------------------------------------------------------------------
 
 
-def activity_rollup(posts: DataFrame, threshold: int = LONG_POST) -> DataFrame:
-    """Additive measures per date, hour, weekday and source."""
+def activity_rollup(posts: DataFrame, threshold: int = LONG_POST, by_hour: bool = True) -> DataFrame:
+    """Additive measures per date, hour, weekday and source, or per date and source alone."""
     at = F.col("collected_at")
     length = F.length("content_clean")
-    return posts.groupBy(
-        F.to_date(at).alias("date"),
-        F.hour(at).alias("hour"),
-        F.dayofweek(at).alias("day_of_week"),
-        "source",
-    ).agg(
+    hours = [F.hour(at).alias("hour"), F.dayofweek(at).alias("day_of_week")] if by_hour else []
+    return posts.groupBy(F.to_date(at).alias("date"), "source", *hours).agg(
         F.count("id").alias("posts"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if("is_remapped").alias("remapped"),
