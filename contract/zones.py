@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.aggregates import SQL
+from contract.aggregates import SQL, TABLES
 from contract.base import day, query, ts
 from contract.feeds import (
-    EXPLODED,
-    RECORDS_SQL,
-    TAXONOMY,
     as_of,
     document_posts,
     event_posts,
-    event_records,
     lake_sql,
     posts_sql,
     table,
 )
 from contract.payloads import HACKERNEWS_SQL, all_posts, normalize_hackernews, normalize_rss
-from feedlake import schemas
-from feedlake.operators.transform import filter_future
 from feedlake.plans import lake, saved_sql
 from feedlake.session import scratch_dir
 from feedlake.sources import catalog, inventory, zones
@@ -277,9 +271,6 @@ def discover_schema(spark, sf):
 
 @query("export_csv", SQL["growth_rate"])
 def export_csv(spark, sf):
-    from contract.aggregates import TABLES
-    from pyspark.sql import types as T
-
     path = f"{scratch_dir(spark, 'csv')}/growth"
     growth = TABLES["growth_rate"](spark, sf)
     zones.export_csv(growth, path)

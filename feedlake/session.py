@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,11 @@ def build_session(app_name: str = "feedlake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="feedlake-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder that all executors can reach.
 
@@ -41,8 +47,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="feedlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

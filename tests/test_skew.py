@@ -69,3 +69,19 @@ def test_mentions_combine_before_the_shuffle(spark):
     assert {(r.grain, r.period, r.unique_posts) for r in uniques.collect()} == {
         ("day", "2024-01-01", 40001), ("week", "2024-W01", 40001), ("month", "2024-01", 40001)
     }
+
+
+class _Session:
+    """As much of a session as the scratch folder asks for, with no checkpoint folder set."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_no_local_scratch_on_a_cluster():
+    from feedlake.session import scratch_dir
+
+    assert scratch_dir(_Session("local[2]"), "x") != scratch_dir(_Session("local[2]"), "x")
+    with pytest.raises(ValueError):
+        scratch_dir(_Session("yarn"), "x")
