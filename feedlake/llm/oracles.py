@@ -138,12 +138,17 @@ edges AS (SELECT DISTINCT address AS a, b FROM (SELECT address, {_address("targe
 sym AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach AS (SELECT a AS node, a AS pos FROM sym UNION SELECT node, b FROM reach JOIN sym ON pos = a),
 linked AS (SELECT node AS address, min(pos) AS component FROM reach GROUP BY node),
-placed AS (
-    SELECT rows_.*, rule, action, coalesce(component, rows_.address) AS component
-    FROM rows_ LEFT JOIN fits USING (r) LEFT JOIN linked ON rows_.address = linked.address),
-inherited AS (SELECT component, min(action) AS inherited FROM placed WHERE action IS NOT NULL GROUP BY component)
-SELECT page_id, host, path, rule, coalesce(action, inherited, 'allow') AS verdict
-FROM placed LEFT JOIN inherited USING (component)
+nodes AS (
+    SELECT address, coalesce(component, address) AS component, regexp_extract(address, '^([^/]*)', 1) AS host,
+           regexp_extract(address, '^[^/]*([^?]*)', 1) AS path
+    FROM (SELECT address FROM rows_ UNION SELECT a FROM edges UNION SELECT b FROM edges) LEFT JOIN linked USING (address)
+    WHERE address IS NOT NULL),
+decided AS (
+    SELECT address, component, arg_max(action, (length(rule_host || rule_path), length(rule_host), action = 'allow')) AS action
+    FROM nodes JOIN rules ON ('.' || host) LIKE ('%.' || rule_host) AND starts_with(path, rule_path) GROUP BY ALL),
+inherited AS (SELECT component, min(action) AS inherited FROM decided GROUP BY component)
+SELECT page_id, rows_.host, rows_.path, rule, coalesce(action, inherited, 'allow') AS verdict
+FROM rows_ LEFT JOIN fits USING (r) LEFT JOIN nodes USING (address) LEFT JOIN inherited USING (component)
 """
 
 _CONTROL = r"<(\\*)\|(im_start|im_end)\|>"

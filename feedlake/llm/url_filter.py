@@ -8,8 +8,9 @@ has no bound.
 A URL that no rule fits takes the decision of its aliases.  Redirects (``meta http-equiv=refresh``),
 canonical links (``link rel=canonical``) and spellings of one address (scheme, default port,
 fragment, tracking parameters) are edges between addresses; pages of one connected component
-are aliases.  Within a component an explicit allow takes precedence over a block; a component
-without a decision is allowed.
+are aliases.  Targets that are no page of the table count too: rules are applied to every address
+of a component, and an explicit allow takes precedence over a block.  A component without a
+decision is allowed.
 
 Rows.  The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in
 lower case; the path goes on to ``?``, ``#`` or the end.  A null URL, or one without ``://``,
@@ -122,16 +123,19 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         F.coalesce(path_of(url), F.lit("")).alias("path"),
         address(url).alias("address"),
     )
-    matched = store(match(rows, rules), "rules")
-    ruled = rows.join(matched.hint("rebalance"), ["host", "path"], "left")
-    linked = components(edges(pages, url_col, html_col)).toDF("address", "component")
-    # Decisions of a component: those of its pages that have one, the allow first.
-    explicit = ruled.filter("action IS NOT NULL AND address IS NOT NULL").join(linked, "address", "left").groupBy(
-        F.coalesce("component", "address").alias("component")
-    ).agg(F.min("action").alias("inherited"))
-    alias = store(
-        explicit.join(linked, "component", "left").select(F.coalesce("address", "component").alias("address"), "inherited"), "aliases"
+    links = store(edges(pages, url_col, html_col), "aliases")
+    linked = components(links).toDF("address", "component")
+    # Every address that a page has or names is judged, also one that no page was fetched from.
+    named = rows.select("address").union(links.select("a")).union(links.select("b")).filter("address IS NOT NULL").distinct()
+    host, path = F.regexp_extract("address", r"^([^/]*)", 1), F.regexp_extract("address", r"^[^/]*([^?]*)", 1)
+    placed = named.join(linked, "address", "left").select(
+        "address", host.alias("host"), path.alias("path"), F.coalesce("component", "address").alias("component")
     )
+    matched = store(match(rows.select("host", "path").union(placed.select("host", "path")), rules), "rules")
+    # Of the decisions of a component the allow comes first.
+    explicit = placed.join(matched, ["host", "path"]).groupBy("component").agg(F.min("action").alias("inherited"))
+    alias = store(placed.join(explicit.hint("rebalance"), "component").select("address", "inherited"), "verdicts")
+    ruled = rows.join(matched.hint("rebalance"), ["host", "path"], "left")
     out = ruled.join(alias.hint("rebalance"), "address", "left")
     source = F.when(F.col("action").isNotNull(), "rule").when(F.col("inherited").isNotNull(), "alias").otherwise("default")
     return out.select(
