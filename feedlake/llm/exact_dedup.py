@@ -37,8 +37,8 @@ def _runs(fingerprints: np.ndarray, counts: np.ndarray, bits: int) -> pd.DataFra
     """One row per quotient of sorted, distinct fingerprints."""
     quotients = (fingerprints >> np.uint64(64 - bits)).astype(np.int64)
     remainders = fingerprints & np.uint64((1 << (64 - bits)) - 1)
-    starts = np.flatnonzero(np.r_[True, quotients[1:] != quotients[:-1]]) if len(quotients) else np.zeros(0, np.int64)
-    ends = np.r_[starts[1:], len(quotients)]
+    starts = np.flatnonzero(np.r_[True, quotients[1:] != quotients[:-1]][: len(quotients)])
+    ends = np.r_[starts, len(quotients)][1:]
     return pd.DataFrame(
         {
             "quotient": quotients[starts],
