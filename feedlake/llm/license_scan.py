@@ -46,6 +46,8 @@ TEMPLATES = {
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Places of templates that are sent to every task at most: some megabytes.
+MOST_SENT = 50_000
 PLACES = "gram string, label string, whole boolean, q int, grams int"
 
 
@@ -65,7 +67,9 @@ class Rules:
                 if len(words) < 2:
                     raise ValueError(f"a template needs two words: {text!r}")
                 rows += [(f"{a} {b}", label, whole, q, len(words) - 1) for q, (a, b) in enumerate(zip(words, words[1:]))]
-        return spark.createDataFrame(rows, PLACES).withColumn("hash", F.xxhash64("gram"))
+        places = spark.createDataFrame(rows, PLACES).withColumn("hash", F.xxhash64("gram"))
+        # Spark has no size for rows made by the driver.  Few are sent to all tasks; more are a table to join.
+        return F.broadcast(places) if len(rows) <= MOST_SENT else places
 
 
 PRODUCTION = Rules(PHRASES, TEMPLATES)
