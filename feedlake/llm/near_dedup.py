@@ -9,13 +9,19 @@ Instead two small collections of ``side`` sub-keys, ``k`` minhashes each, are ma
 of a table is a pair of one sub-key from each collection: ``side * side`` tables from
 ``2 * side * k`` minhashes, about the square root of the work.  Nodes that share a table key
 are candidates.  Two sets of similarity s share a key unless one whole collection differs:
-at s = 0.8 with the defaults that happens once in 1,800 pairs, at 0.9 once in 300,000.
-
-Links are confirmed by the exact similarity of the full sets.  Within a bucket not all pairs
-are made.  In each round every bucket names a centre, and the members not yet in the centre's
-component are compared with it; links are joined to components, and a bucket whose members
-are all in one component is done.  When a round finds nothing new, the pairs that are left
-*across* components are compared, so that no link that could join two components is skipped.
+at s = 0.8 with the defaults that happens once in 100,000 pairs, at 0.85 once in 5 million.
+A sub-key that only one node has makes no pair, so it is dropped before pairs are formed.
+
+Links are confirmed by the exact similarity of the full sets, but not all pairs of a bucket
+are made.  First every bucket names a centre, the member that shares most keys with others,
+and its members are compared with it (twice, the second time with a member outside the
+first one's component); links are joined to components, and a bucket whose members are all in
+one component is done.  For the members of the other buckets the rest is exact: shingles are
+ordered from rare to frequent, and two sets that are similar enough have their first common
+shingle so early in both that enough shingles can follow.  Members of different components
+that meet on a shingle this early are compared.  Members of one component never are, and a
+text with many shingles of its own meets nobody, so a large group of near copies is not
+squared; and no link that could join two components is skipped.
 
 Rows.  Texts without words have an empty set and are linked with nothing; a text of fewer than
 ``width`` words has one shingle.  Texts are read whole.  A component is named by its smallest
@@ -29,14 +35,14 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import blank_words, fresh, ship, store
 from feedlake.llm.components import components
 
 WIDTH = 5
-SIDE, K = 8, 2
+SIDE, K = 12, 2
 SKETCH = "n_shingles long, d1 long, d2 long, heads array<long>, tails array<long>"
 
 
@@ -131,55 +137,106 @@ def _fit(percent: int) -> F.Column:
     return F.expr(f"100L * least(n, other_n) >= {percent}L * greatest(n, other_n)")
 
 
+def table_buckets(nodes: DataFrame) -> DataFrame:
+    """``key``, ``node``, ``n`` for all table keys that several nodes share."""
+    subs = nodes.select("node", "n", F.size("heads").alias("side"), F.posexplode(F.concat("heads", "tails")).alias("slot", "sub"))
+    several = lambda rows, key: rows.groupBy(key).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select(key)
+    shared = (
+        subs.join(several(subs, "sub").hint("rebalance"), "sub", "left_semi")
+        .groupBy("node", "n")
+        .agg(
+            F.collect_list(F.when(F.col("slot") < F.col("side"), F.col("sub"))).alias("heads"),
+            F.collect_list(F.when(F.col("slot") >= F.col("side"), F.col("sub"))).alias("tails"),
+        )
+    )
+    pair = F.expr("explode(flatten(transform(heads, h -> transform(tails, t -> xxhash64(h, t)))))")
+    keys = shared.select("node", "n", pair.alias("key"))
+    return keys.join(several(keys, "key").hint("rebalance"), "key", "left_semi")
+
+
+def _placed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with their component."""
+    placed = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sides = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    return placed.join(sides.select("key").hint("rebalance"), "key", "left_semi")
+
+
+def _with_centres(placed: DataFrame, popular: DataFrame, first: DataFrame | None) -> DataFrame:
+    """(key, centre, its size and component): the most popular member, outside the component of the first centre."""
+    ranked = placed.join(popular, "node")
+    if first is not None:
+        ranked = ranked.join(first.select("key", F.col("other").alias("taken")), "key").filter("component <> taken")
+    best = ranked.groupBy("key").agg(F.max(F.struct("popularity", "node", "n", "component")).alias("c"))
+    return best.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("other_n"), F.col("c.component").alias("other"))
+
+
+def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components whose first common shingle is early enough for the similarity.
+
+    ``members``: ``node``, ``component``.  An overlap of o is enough if (100 + p) o >= p (na + nb);
+    from a common shingle at places i and j at most 1 + min(na - i, nb - j) can follow.
+    """
+    shingles_ = members.join(sets, "node").select("node", "component", "n", F.explode("found").alias("shingle"))
+    often = shingles_.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("node").orderBy("often", "shingle")
+    early = (
+        shingles_.join(often.hint("rebalance"), "shingle")
+        .withColumn("place", F.row_number().over(order))
+        .filter(f"often > 1 AND 100L * (n - place + 1) >= {percent}L * n")
+    )
+    early = store(early.select("shingle", "node", "component", "n", "place"), "early")
+    # Pairs within the component that holds most of a shingle's texts are not even looked at.
+    counts = early.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("texts"))
+    main = (
+        counts.groupBy("shingle")
+        .agg(F.max(F.struct("texts", "component")).alias("m"), F.count(F.lit(1)).alias("components"))
+        .filter("components > 1")
+        .select("shingle", F.col("m.component").alias("main"))
+    )
+    mixed = early.join(main.hint("rebalance"), "shingle")
+    one = mixed.filter("component <> main").select(
+        "shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("i")
+    )
+    two = mixed.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("j"))
+    enough = F.expr(f"{100 + percent}L * (1 + least(na - i, nb - j)) >= {percent}L * (na + nb)")
+    return (
+        one.hint("rebalance", "shingle")
+        .join(two.hint("rebalance", "shingle"), "shingle")
+        .filter((F.col("ca") != F.col("cb")) & enough)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+
+
 def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """``node`` and ``component`` of all nodes that are linked with another one."""
     spark = docs.sparkSession
-    pair_key = F.expr("explode(flatten(transform(heads, (h, i) -> transform(tails, (t, j) -> xxhash64(h, t, i, j)))))")
-    keys = nodes.select("node", "n", pair_key.alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre <> last")
-    buckets = store(keys.join(shared.select("key").hint("rebalance"), "key", "left_semi"), "buckets")
+    buckets = store(table_buckets(nodes), "buckets")
     members = buckets.select("node").distinct()
     sets = store(_sets(docs, nodes.join(members, "node", "left_semi"), id_col, text_col, width), "sets")
-
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    popular = store(
+        buckets.join(sizes.hint("rebalance"), "key").groupBy("node").agg(F.sum("size").alias("popularity")), "popular"
+    )
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, component long")
-    turn = 0
-    while True:
-        # Members with their component so far, of the buckets that still hold more than one.
-        placed = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # The centre: the smallest node at first, then one picked by a hash of the round.
-        pick = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        placed = placed.withColumn("rank", pick)
-        heads = placed.groupBy("key").agg(F.min("rank").alias("least"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        open_ = heads.filter("lo <> hi").select("key", "least").hint("rebalance")
-        buckets = store(placed.join(open_, "key"), "buckets")
-        centre = buckets.filter("rank = least").select(
-            "key", F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("component").alias("other")
-        )
+    first = None
+    for _ in range(2):
+        placed = store(_placed(buckets, labels), "placed")
+        centres = store(_with_centres(placed, popular, first), "centres")
         candidates = (
-            buckets.join(centre.dropDuplicates(["key"]).hint("rebalance"), "key")
-            .filter(F.col("component") != F.col("other"))
-            .filter(_fit(percent))
-            .select(F.col("node").alias("a"), "b")
+            placed.join(centres.hint("rebalance"), "key")
+            .filter((F.col("component") != F.col("other")) & _fit(percent))
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
             .distinct()
         )
-        found = store(_confirmed(candidates, sets, percent), "links")
-        buckets = buckets.select("node", "n", "key")
-        if found.isEmpty():
-            break
-        links = links.unionByName(found)
+        links = store(links.unionByName(_confirmed(candidates, sets, percent)).distinct(), "links")
         labels = store(components(links), "labels")
-        turn += 1
-    # What is left: pairs across components, whose members share a bucket.
-    placed = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("component").alias("other"))
-    rest = (
-        placed.join(other, "key")
-        .filter((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & _fit(percent))
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-    )
-    found = store(_confirmed(rest, sets, percent), "links")
+        first = centres.select("key", "b").join(labels.withColumnRenamed("node", "b"), "b", "left").select(
+            "key", F.coalesce("component", "b").alias("other")
+        )
+    rest = _placed(buckets, labels).select("node", "component").distinct()
+    found = store(_confirmed(_early_pairs(rest, sets, percent), sets, percent), "links")
     return labels if found.isEmpty() else components(links.unionByName(found))
 
 
