@@ -171,6 +171,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     sample = rows.select("label", F.xxhash64("id", "text", "label").alias("rank"), turned("text").alias("found"))
     result = sample.repartition(1).mapInPandas(one_task, _WEIGHTS).first()
+    if result is None:  # no sample, no task
+        weights, *rest = train([], np.zeros(0, bool), share, settings)
+        return Model(weights, *rest, settings)
     return Model(np.frombuffer(result["weights"], "<f8"), result["bias"], result["slope"], result["offset"], settings)
 
 
