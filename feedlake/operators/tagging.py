@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.taxonomy import Taxonomy
-from feedlake.functions.text import GAP, SPACE, WORD, strip_punctuation, word_runs
-from feedlake.session import splittable
+from feedlake.functions.text import SPACE, WORD, strip_punctuation, word_runs
 
 
 def _no_strings() -> Column:
@@ -115,79 +114,182 @@ def tag_posts(
     )
 
 
-def prepare_dictionary(dictionary: DataFrame) -> DataFrame:
-    """One row per keyword of a ``(keyword, category, category_rank)`` table of any size.
+def dictionary_parts(dictionary: DataFrame) -> DataFrame:
+    """The runs of word characters of each keyword of a ``(keyword, category, category_rank)`` table.
 
-    The category of the lowest rank wins.  ``token`` is the first run of word characters,
-    or the first two with what stands between; ``pattern``, the counterpart of
-    ``taxonomy.boundary_pattern``, is NULL where the token is the whole keyword.
+    A row is the run ``j`` of ``runs``, and what must stand right before and after it up to
+    the neighbouring runs of a text: NULL where anything may.  Together they say the same as
+    ``taxonomy.boundary_pattern``: a non-word end asks for a run beyond it.  The category of
+    the lowest rank wins.
     """
-    two_runs = f"{WORD}+({GAP}+{WORD}+)?"
     keyword = F.lower("keyword")
-    quoted = F.regexp_replace("keyword", rf"((?!{WORD}).)", r"\\$1")
-    behind = F.when(F.col("keyword").rlike(f"^{WORD}"), F.lit("(?<!")).otherwise(F.lit("(?<="))
-    left = F.concat(behind, F.lit(WORD), quoted, F.lit(")"))
-    right = F.when(F.col("keyword").rlike(f"{WORD}$"), F.lit(f"(?!{WORD})")).otherwise(F.lit(f"(?={WORD})"))
-    return (
+    words = (
         dictionary.where(keyword.rlike(WORD))
         .groupBy(keyword.alias("keyword"))
         .agg(F.min(F.when(F.col("category").isNotNull(), F.struct("category_rank", "category"))).alias("c"))
         .select(
             "keyword",
             F.col("c.category").alias("category"),
-            F.regexp_extract("keyword", two_runs, 0).alias("token"),
-            F.when(~F.col("keyword").rlike(f"^{two_runs}$"), F.concat(quoted, left, right)).alias("pattern"),
+            word_runs(F.col("keyword")).alias("all_runs"),
+            F.split("keyword", f"{WORD}++").alias("gaps"),
         )
+        .withColumn("runs", F.size("all_runs"))
+    )
+    parts = words.select("keyword", "category", "runs", "gaps", F.posexplode("all_runs").alias("j", "run"))
+    before, after = F.get("gaps", F.col("j")), F.get("gaps", F.col("j") + 1)
+    return parts.select(
+        "keyword",
+        "category",
+        "runs",
+        "j",
+        "run",
+        F.when((F.col("j") > 0) | (before != ""), before).alias("need_before"),
+        F.when((F.col("j") < F.col("runs") - 1) | (after != ""), after).alias("need_after"),
     )
 
 
-def text_tokens(lowered: Column) -> Column:
-    """Distinct runs of a text, and distinct pairs of neighbours with what stands between.
-
-    The lambda sees its two elements only: an expression over the whole text inside it
-    would be computed again for each of them.
-    """
+def text_runs(lowered: Column) -> Column:
+    """The runs of a text, each with what stands between it and its neighbours (NULL at the ends)."""
     runs = word_runs(lowered)
     gaps = F.split(lowered, f"{WORD}++")  # one before each run, and the rest of the text
-    steps = F.arrays_zip(runs.alias("run"), gaps.alias("gap"))
-    pairs = F.zip_with(steps, F.slice(steps, 2, F.size(steps)), lambda a, b: F.concat(a.run, b.gap, b.run))
-    return F.concat(F.array_distinct(runs), F.array_compact(F.array_distinct(pairs)))
+    inner = F.slice(gaps, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0)))
+    return F.arrays_zip(
+        runs.alias("run"),
+        F.concat(F.array(F.lit(None).cast("string")), inner).alias("before"),
+        inner.alias("after"),
+    )
+
+
+def _row_key(key: str, text: str) -> list[Column]:
+    """A row without its text: rows of one key with different texts stay apart."""
+    return [F.col(key).alias("_key"), F.xxhash64(text).alias("text_key")]
+
+
+def _found_keywords(df: DataFrame, dictionary: DataFrame, key: str, text: str) -> DataFrame:
+    """(_key, text_key, keyword, category) of all keywords that occur, decided from runs alone."""
+    # ``arrays_zip`` pads the shorter arrays, by one row without a run where a text has none.
+    runs = df.select(*_row_key(key, text), F.posexplode(text_runs(F.lower(text))).alias("p", "t")).select(
+        "_key", "text_key", "p", "t.run", "t.before", "t.after"
+    )
+    parts = dictionary_parts(dictionary)
+    fits = (F.col("need_before").isNull() | (F.col("need_before") == F.col("before"))) & (
+        F.col("need_after").isNull() | (F.col("need_after") == F.col("after"))
+    )
+    hits = runs.join(parts, "run").where(fits)
+    places = hits.groupBy("_key", "text_key", "keyword", "category", "runs", (F.col("p") - F.col("j")).alias("start"))
+    whole = places.agg(F.count_distinct("j").alias("n")).where(F.col("n") == F.col("runs"))
+    return whole.select("_key", "text_key", "keyword", "category").distinct()
 
 
 def tag_by_join(df: DataFrame, dictionary: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """Keywords and categories of each row against a dictionary table of any size.
 
-    ``key`` must be unique, as an id is after deduplication: rows are joined back on it,
-    so copies of one text spread over the tasks like any other rows.  Tokens meet the
-    dictionary in an equi-join, broadcast only if Spark measures it to be small; a token
-    that stands in every text is then a skewed partition that AQE splits.  The candidates
-    of a text, bounded by its length, are compared by pattern where their row has the text.
+    One row per (key, hash of the text): ``key``, ``text_key``, ``keywords``, ``categories``.
+    Runs of words meet the dictionary in an equi-join, broadcast only if Spark measures it to
+    be small; a word that stands in every text is then a skewed partition that AQE splits.
+    Texts stay where they are: only runs, with what stands between them, are ever shuffled.
     """
-    tokens = df.select(key, F.explode(text_tokens(F.lower(text))).alias("token"))
-    hits = tokens.join(prepare_dictionary(dictionary), "token")
-    candidates = hits.groupBy(key).agg(
-        F.collect_list(F.struct("keyword", "category", "pattern")).alias("_candidates")
-    )
-    lowered = F.lower(text)
-    found = df.join(candidates, key, "left").withColumn(
-        "_found",
-        F.filter(
-            "_candidates",
-            lambda c: c.pattern.isNull() | (F.contains(lowered, c.keyword) & F.rlike(lowered, c.pattern)),
+    found = _found_keywords(df, dictionary, key, text).groupBy("_key", "text_key").agg(
+        F.array_sort(F.collect_list("keyword")).alias("keywords"),
+        F.array_sort(F.collect_set("category")).alias("categories"),
+    )
+    rows = df.select(*_row_key(key, text)).distinct()
+    met = rows.alias("r").join(
+        found.alias("f"), F.col("r._key").eqNullSafe(F.col("f._key")) & (F.col("r.text_key") == F.col("f.text_key")), "left"
+    )
+    return met.select(
+        F.col("r._key").alias(key),
+        "r.text_key",
+        F.coalesce("keywords", _no_strings()).alias("keywords"),
+        F.coalesce("categories", _no_strings()).alias("categories"),
+    )
+
+
+def remap_by_join(
+    df: DataFrame,
+    dictionary: DataFrame,
+    synonyms: DataFrame,
+    key: str = "id",
+    text: str = "text",
+    min_keywords: int = 2,
+) -> DataFrame:
+    """``tag_posts`` for dictionary and synonym tables of any size.
+
+    ``synonyms`` are (word, target) rows, each word once.  What is found is decided from runs and
+    words; then each row meets its own list, by key and hash of the text, and only rows with
+    synonyms are rewritten.
+    """
+    tags = tag_by_join(df, dictionary, key, text).withColumnRenamed(key, "_key")
+    spaced = F.transform(F.split(F.lower(text), SPACE), strip_punctuation)
+    words = df.select(*_row_key(key, text), F.posexplode(spaced).alias("p", "word")).distinct()
+    known = synonyms.select("word", "target")
+    category = dictionary_parts(dictionary).where("j = 0").select(F.col("keyword").alias("target"), "category")
+    hits = (
+        words.join(known, "word")
+        .join(category, "target", "left")
+        .groupBy("_key", "text_key")
+        .agg(F.array_sort(F.collect_list(F.struct("p", "word", "target", "category"))).alias("hits"))
+    )
+    keyword_category = (
+        _found_keywords(df, dictionary, key, text)
+        .groupBy("_key", "text_key")
+        .agg(F.array_sort(F.collect_list(F.struct("keyword", "category"))).alias("pairs"))
+    )
+    same = lambda a, b: F.col(f"{a}._key").eqNullSafe(F.col(f"{b}._key")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+    lists = (
+        tags.alias("t")
+        .join(hits.alias("h"), same("t", "h"), "left")
+        .join(keyword_category.alias("k"), same("t", "k"), "left")
+        .select(
+            F.col("t._key").alias("_key"),
+            F.col("t.text_key").alias("_text_key"),
+            F.col("t.keywords").alias("_keywords"),
+            F.when(F.size("t.keywords") < min_keywords, F.col("hits")).alias("_found"),
+            F.coalesce("pairs", F.array().cast("array<struct<keyword:string,category:string>>")).alias("_pairs"),
+        )
+    )
+    own = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_text_key"))
+    met = df.join(lists, own, "left").withColumn(
+        "_hits", F.coalesce("_found", F.array().cast("array<struct<p:int,word:string,target:string,category:string>>"))
+    )
+    rewritten = F.aggregate(
+        F.array_distinct(F.transform("_hits", lambda h: F.struct(h.word, h.target))),
+        F.col(text),
+        lambda acc, h: F.regexp_replace(
+            acc,
+            F.concat(F.lit("(?iu)"), _boundary(h.word)),
+            F.regexp_replace(h.target, r"([\\$])", r"\\$1"),
         ),
     )
-    categories = F.filter(F.transform("_found", lambda c: c.category), lambda c: c.isNotNull())
-    return found.select(
-        *df.columns,
-        F.coalesce(F.array_sort(F.transform("_found", lambda c: c.keyword)), _no_strings()).alias("keywords"),
-        F.coalesce(F.array_sort(F.array_distinct(categories)), _no_strings()).alias("categories"),
+    is_remapped = F.size("_hits") > 0
+    pairs = F.filter(
+        F.concat("_pairs", F.transform("_hits", lambda h: F.struct(h.target.alias("keyword"), h.category.alias("category")))),
+        lambda p: p.category.isNotNull(),
+    )
+    words_hit = F.transform("_hits", lambda h: h.word)
+    return met.withColumn("_tagged", pairs).select(
+        *[c for c in df.columns if c != text],
+        F.when(is_remapped, rewritten).otherwise(F.coalesce(F.col(text), F.lit(""))).alias("content"),
+        F.when(is_remapped, F.col(text)).alias("old_content"),
+        F.concat(F.coalesce("_keywords", _no_strings()), words_hit).alias("original_keywords"),
+        F.concat(F.coalesce("_keywords", _no_strings()), F.transform("_hits", lambda h: h.target)).alias("mapped_keywords"),
+        F.array_sort(F.array_distinct(F.transform("_tagged", lambda t: t.category))).alias("categories"),
+        is_remapped.alias("is_remapped"),
     )
 
 
+def _boundary(word: Column) -> Column:
+    """``taxonomy.boundary_pattern`` of a column of words."""
+    quoted = F.regexp_replace(word, rf"((?!{WORD}).)", r"\\$1")
+    left = F.when(word.rlike(f"^{WORD}"), F.lit("(?<!")).otherwise(F.lit("(?<="))
+    right = F.when(word.rlike(f"{WORD}$"), F.lit(f"(?!{WORD})")).otherwise(F.lit(f"(?={WORD})"))
+    return F.concat(quoted, left, F.lit(WORD), quoted, F.lit(")"), right)
+
+
 def is_keyword(words: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
     """Rows whose word, in lower case, is a dictionary keyword."""
-    known = dictionary.select(F.lower("keyword").alias("_known")).distinct()
-    return words.join(splittable(known), F.lower(word) == F.col("_known"), "left_semi")
+    known = dictionary.select(F.lower("keyword").alias("_known"))
+    return words.join(known, F.lower(word) == F.col("_known"), "left_semi")
 
 
 def dictionary_stats(keywords: DataFrame, synonyms: DataFrame) -> DataFrame:
