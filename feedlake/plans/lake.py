@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators import curated
-from feedlake.operators.transform import filter_future, transform_posts
-from feedlake.session import scratch_dir, write_and_reload
+from feedlake.operators.transform import exclude_seen, filter_future, transform_posts
+from feedlake.session import scratch, write_and_reload
 from feedlake.sources import zones
 from feedlake.streaming.live import ingest_new_files
 
@@ -55,63 +55,89 @@ def build_curated(
     """
     spark = posts.sparkSession
     current = filter_future(posts, as_of)
-    scratch = scratch_dir(spark, "rollups")
     rollups = {
         "activity": curated.activity_rollup(current),
         "uniques": curated.unique_rollup(current, iso_year),
         "tags": curated.tag_rollup(current),
     }
     # Jobs that do not depend on each other: several at a time keep the cluster busy.
-    with ThreadPoolExecutor(WRITERS) as pool:
-        written = pool.map(lambda item: write_and_reload(item[1], f"{scratch}/{item[0]}"), rollups.items())
+    with scratch(spark, "rollups") as folder, ThreadPoolExecutor(WRITERS) as pool:
+        written = pool.map(lambda item: write_and_reload(item[1], f"{folder}/{item[0]}"), rollups.items())
         tables = curated_tables(*written, iso_year)
         list(pool.map(lambda item: zones.write_curated(item[1], root, item[0], as_of), tables.items()))
 
 
-def transform_zone(
-    spark: SparkSession, raw: str, processed: str, sources=schemas.FEEDS, now: Column | None = None, **options
-) -> list[str]:
-    """Transform each source that has raw records; returns the sources written."""
-    done = []
-    for source in sources:
-        try:
-            records = zones.scan_raw_jsonl(spark, f"{raw}/{source}", schemas.RECORDS[source])
-        except AnalysisException:  # no such folder
-            continue
-        if records.isEmpty():
-            continue
-        zones.write_processed(transform_posts(records, source, now=now, **options), processed, source)
-        done.append(source)
-    return done
-
-
 def ingest_source(
-    spark: SparkSession, raw: str, processed: str, source: str, checkpoint: str, **options
+    spark: SparkSession,
+    raw: str,
+    processed: str,
+    source: str,
+    checkpoint: str,
+    schema: str | None = None,
+    discover: bool = True,
+    unique: bool = False,
+    **options,
 ) -> None:
-    """Transform the raw files of a source that no earlier run has seen, and add their posts.
+    """Transform the raw lines of a source that no earlier run has seen, and add their posts.
 
     Each batch has its own partition, overwritten if the batch is run again, so that a
-    failure between the write and the bookmark doubles nothing.
+    failure between the write and the bookmark doubles nothing.  With ``discover``, fields
+    that are not declared are columns of the records too.  Lines with something wrong are
+    also kept as they came, below ``_bad``.  With ``unique``, an id that an earlier batch has
+    brought gets no second post.
     """
+    schema = schema or schemas.RECORDS[source]
+
+    def process(lines: DataFrame, number: int) -> None:
+        extra = zones.discover_columns(lines, schema) if discover else ()
+        records = zones.parse_lines(lines, schema, extra)
+        bad = records.where(F.col(zones.CORRUPT).isNotNull()).select(F.col(zones.CORRUPT).alias("value"))
+        bad.write.mode("overwrite").text(f"{processed}/_bad/{source}/ingest_batch={number}")
+        posts = transform_posts(records.drop(zones.CORRUPT), source, **options)
+        if unique:
+            posts = _new_posts(spark, posts, processed, source, number)
+        zones.write_processed(posts, processed, source, number)
+
+    ingest_new_files(spark, zones.raw_path(raw, source), checkpoint, process)
+
 
-    def process(batch: DataFrame, number: int) -> None:
-        posts = transform_posts(batch, source, **options).withColumn("ingest_batch", F.lit(number))
-        (
-            posts.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("source", "ingest_batch")
-            .parquet(f"{processed}/{source}")
-        )
+def _new_posts(spark: SparkSession, posts: DataFrame, processed: str, source: str, number: int) -> DataFrame:
+    try:
+        # The batch itself may have been written before the run that failed.
+        before = zones.scan_processed(spark, processed, source).where(F.col("ingest_batch") < number)
+    except AnalysisException as e:
+        if not zones.is_missing(e):
+            raise
+        return posts
+    return exclude_seen(posts, before, ("id",))
 
-    ingest_new_files(spark, f"{raw}/{source}", options.pop("schema", schemas.RECORDS.get(source)), checkpoint, process)
+
+def bad_lines(spark: SparkSession, processed: str, source: str) -> DataFrame:
+    """Lines of all runs that are no JSON or hold a field of another type: ``value``, ``ingest_batch``."""
+    return spark.read.schema("value string, ingest_batch bigint").text(f"{processed}/_bad/{source}")
 
 
 def run_lake(
-    spark: SparkSession, raw: str, processed: str, curated_root: str, as_of: Column | None = None, **options
+    spark: SparkSession,
+    raw: str,
+    processed: str,
+    curated_root: str,
+    as_of: Column | None = None,
+    sources=schemas.FEEDS,
+    **options,
 ) -> Mapping[str, DataFrame] | None:
-    """Raw to processed to curated; without any post, nothing is written."""
-    transform_zone(spark, raw, processed, now=as_of, **options)
-    posts = zones.scan_sources(spark, processed)
+    """Raw lines that came since the last run to processed, all of it to curated.
+
+    The bookmark of each source lies beside the posts it vouches for, so a second run
+    over the same lines adds nothing.  Without any post, nothing is written.
+    """
+    for source in sources:
+        try:
+            ingest_source(spark, raw, processed, source, f"{processed}/_checkpoints/{source}", now=as_of, **options)
+        except AnalysisException as e:
+            if not zones.is_missing(e):
+                raise
+    posts = zones.scan_sources(spark, processed, sources)
     if posts is None:
         return None
     build_curated(posts, curated_root, as_of)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,25 +43,31 @@ def _local_scratch() -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder that all executors can reach.
 
-    It lies under ``spark.checkpoint.dir``.  Only a local session may go without that
-    setting; on a cluster a machine's own temporary folder would be lost with it.
+    It lies under ``spark.checkpoint.dir``.  Only a session in a single process may go
+    without that setting; on a cluster a machine's own temporary folder would be lost with it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame, at_most: int = 64) -> DataFrame:
-    """Give every core a share of a small table that comes in few partitions.
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark can write to."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
-    For work that costs much more per row than moving the row.  Input of many partitions
-    is left alone: at most ``at_most`` of them, some gigabytes, are ever shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, at_most) else df
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch folder for the time of a block; what the block has made is gone afterwards."""
+    path = scratch_dir(spark, label)
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)
 
 
 def splittable(df: DataFrame) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import schemas
+from feedlake.sources.zones import PROCESSED_BY, raw_path
+
+log = logging.getLogger(__name__)
 
 # The raw tables show these columns of whatever the feed delivers.
 RAW_VIEW = (
@@ -46,11 +50,16 @@ def register_catalog(
     for source in sources:
         if raw:
             names.append(f"raw_{source}")
-            _external(spark, f"{database}.raw_{source}", "json", f"{raw}/{source}", RAW_VIEW)
+            _external(spark, f"{database}.raw_{source}", "json", raw_path(raw, source), RAW_VIEW)
         if processed:
             names.append(f"processed_{source}")
             _external(
-                spark, f"{database}.processed_{source}", "parquet", f"{processed}/{source}", post_columns, "source"
+                spark,
+                f"{database}.processed_{source}",
+                "parquet",
+                f"{processed}/{source}",
+                post_columns + ", ingest_batch bigint",
+                ", ".join(PROCESSED_BY),
             )
     if curated:
         for table, (_, columns, by_source) in schemas.CURATED.items():
@@ -66,25 +75,44 @@ def register_catalog(
     return names
 
 
-def discover_schema(spark: SparkSession, path: str) -> DataFrame:
-    """The merged columns of all Parquet files below ``path``: (column, type, filled rows)."""
+def discover_schema(spark: SparkSession, path: str, filled: bool = False) -> DataFrame:
+    """The merged columns of all Parquet files below ``path``: (column, type).
+
+    Names and types come from the footers alone.  ``filled`` reads the data and adds the
+    number of rows that have a value.
+    """
     df = spark.read.option("mergeSchema", True).parquet(path)
-    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f.name) for f in df.schema.fields])
-    names = [f.name for f in df.schema.fields]
-    types = F.create_map(
-        *[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())]
-    )
-    return counts.unpivot([], names, "column", "filled_rows").select(
-        "column", F.element_at(types, F.col("column")).alias("type"), "filled_rows"
+    types = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    if not filled:
+        return spark.createDataFrame(types, "column string, type string")
+    counts = df.agg(*[F.count(F.col(f"`{name}`")).alias(name) for name, _ in types])
+    type_of = F.create_map(*[F.lit(x) for pair in types for x in pair])
+    return counts.unpivot([], [name for name, _ in types], "column", "filled_rows").select(
+        "column", F.element_at(type_of, F.col("column")).alias("type"), "filled_rows"
     )
 
 
+def update_table(spark: SparkSession, name: str, path: str) -> list[str]:
+    """Add the columns that the files below ``path`` have and the table lacks; returns their names.
+
+    Columns that no file has any more stay in the table and are only logged.
+    """
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    known = {c.name.lower() for c in spark.catalog.listColumns(name)}
+    added = [f for f in found.fields if f.name.lower() not in known]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    gone = known - {f.name.lower() for f in found.fields}
+    if gone:
+        log.warning("%s: no file has %s", name, ", ".join(sorted(gone)))
+    return [f.name for f in added]
+
+
 def refresh_tables(spark: SparkSession, database: str, names) -> None:
     """Pick up new files and partitions of the tables."""
     for name in names:
         full = f"{database}.{name}"
         spark.catalog.refreshTable(full)
-        try:
+        if any(c.isPartition for c in spark.catalog.listColumns(full)):
             recover(spark, full)
-        except AnalysisException:  # not partitioned
-            pass

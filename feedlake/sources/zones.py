@@ -14,20 +14,64 @@ from feedlake import schemas
 from feedlake.operators.transform import align_schema
 
 
+CORRUPT = "_corrupt_record"
+
+
+def raw_path(root: str, source: str) -> str:
+    """Where the raw lines of a source lie, in folders by the time of their ingestion."""
+    return f"{root.rstrip('/')}/{source}"
+
+
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a scan failed because there is no such folder; any other failure is an error."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def _declared(schema: str | T.StructType) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def discover_columns(lines: DataFrame, schema: str | T.StructType, most: int = 10_000) -> list[str]:
+    """Names of top-level fields that the schema does not declare, of all lines; one pass."""
+    known = {f.name.lower() for f in _declared(schema).fields} | {CORRUPT}
+    fields = F.map_keys(F.from_json("value", "map<string,string>"))
+    rows = lines.select(F.explode(fields).alias("name")).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} different fields: these are no columns")
+    by_name = {r.name.lower(): r.name for r in sorted(rows, reverse=True)}
+    return sorted(name for lower, name in by_name.items() if lower not in known)
+
+
+def parse_lines(lines: DataFrame, schema: str | T.StructType, extra: Iterable[str] = ()) -> DataFrame:
+    """JSON lines (``value``) as records; no line is lost, whatever is in it.
+
+    A field of another type than declared is NULL, and the others keep their values; a
+    line that is no JSON object gives a row of NULLs.  Both have their text in ``_corrupt_record``.
+    ``extra`` fields are strings, nested ones as JSON.
+    """
+    declared = _declared(schema)
+    typed = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rest = [c for c in lines.columns if c != "value"]
+    extra = list(extra)
+    parsed = lines.select(
+        F.from_json("value", typed, options).alias("r"),
+        *([F.from_json("value", "map<string,string>").alias("m")] if extra else []),
+        *rest,
+    )
+    return parsed.select("r.*", *[F.col("m")[name].alias(name) for name in extra], *rest)
+
+
 def scan_raw_jsonl(
-    spark: SparkSession, path: str, schema: str | T.StructType, keep_bad_lines: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType, discover: bool = False
 ) -> DataFrame:
-    """All JSON lines under ``path``, at any depth, with a declared schema.
+    """All JSON lines under ``path``, at any depth: the declared columns and ``_corrupt_record``.
 
-    No pass over the data is spent on inferring types.  A line that is no JSON is dropped,
-    or kept with its text in ``_corrupt_record``.
+    The number of rows is that of the lines, whichever columns are asked for.  With
+    ``discover``, one more pass finds the fields that are not declared, which become columns too.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    if not keep_bad_lines:
-        return reader.option("mode", "DROPMALFORMED").schema(schema).json(path)
-    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    with_bad = T.StructType([*declared.fields, T.StructField("_corrupt_record", T.StringType())])
-    return reader.schema(with_bad).json(path)
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where(F.trim("value") != "")
+    return parse_lines(lines, schema, discover_columns(lines, schema) if discover else ())
 
 
 def scan_raw_hours(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -35,9 +79,11 @@ def scan_raw_hours(spark: SparkSession, path: str, schema: str | T.StructType) -
 
     A filter on these reads only the folders it names.
     """
-    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    parts = [T.StructField(p, T.IntegerType()) for p in ("year", "month", "day", "hour")]
-    return spark.read.schema(T.StructType([*declared.fields, *parts])).json(path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parts = [
+        (F.col(p) if p in lines.columns else F.lit(None)).cast("int").alias(p) for p in ("year", "month", "day", "hour")
+    ]
+    return parse_lines(lines.select("value", *parts), schema)
 
 
 def scan_rss_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -67,9 +113,20 @@ def scan_rss_xml(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_processed(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """One source of the processed zone, its folder name as the source column."""
-    return spark.read.option("basePath", f"{root}/{source}").parquet(f"{root}/{source}")
+#: Partition columns of the processed zone: every writer and every table has both.
+PROCESSED_BY = ("source", "ingest_batch")
+
+
+def scan_processed(
+    spark: SparkSession, root: str, source: str, schema: T.StructType = schemas.POST
+) -> DataFrame:
+    """One source of the processed zone, in declared types: a source called ``007`` stays that.
+
+    A post has its columns and ``ingest_batch``, the number of the run that added it.
+    """
+    path = f"{root}/{source}"
+    typed = T.StructType([*schema.fields, T.StructField("ingest_batch", T.LongType())])
+    return spark.read.schema(typed).option("basePath", path).parquet(path)
 
 
 def union_sources(frames: Iterable[DataFrame]) -> DataFrame | None:
@@ -89,15 +146,24 @@ def scan_sources(
     for source in sources:
         try:
             df = scan_processed(spark, root, source)
-        except AnalysisException:  # no such folder, or nothing in it
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
             continue
         if not df.isEmpty():
             found.append(df)
     return union_sources(found)
 
 
-def write_processed(posts: DataFrame, root: str, source: str, mode: str = "append") -> None:
-    posts.write.mode(mode).partitionBy("source").parquet(f"{root}/{source}")
+def write_processed(posts: DataFrame, root: str, source: str, batch: int = 0) -> None:
+    """Write one batch of a source; the same batch written again replaces itself."""
+    (
+        posts.withColumn("ingest_batch", F.lit(batch).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PROCESSED_BY)
+        .parquet(f"{root}/{source}")
+    )
 
 
 def write_curated(df: DataFrame, root: str, table: str, aggregated_at: Column | None = None) -> None:
@@ -118,14 +184,15 @@ def write_curated(df: DataFrame, root: str, table: str, aggregated_at: Column |
 
 
 def load_curated(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All curated tables by name; one that cannot be read is empty, with its types."""
+    """All curated tables by name, in declared types; one that is not there is empty."""
     out = {}
     for table in schemas.CURATED:
         schema = schemas.curated_schema(table)
         try:
-            df = spark.read.parquet(schemas.curated_path(root, table))
-            out[table] = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        except AnalysisException:
+            out[table] = spark.read.schema(schema).parquet(schemas.curated_path(root, table)).select(*schema.names)
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
             out[table] = spark.createDataFrame([], schema)
     return out
 

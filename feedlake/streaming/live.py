@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlake import schemas
+from feedlake.sources.zones import parse_lines, raw_path
 
 FLUSH_RECORDS = 10_000
 FLUSH_INTERVAL = "300 seconds"
@@ -26,13 +27,25 @@ MESSAGE = "topic string, key string, value string, timestamp timestamp"
 # --- sources -------------------------------------------------------------------------
 
 
-def kafka_options(servers: str, topics: Sequence[str] = schemas.FEEDS, max_records: int = FLUSH_RECORDS) -> dict:
-    return {
+def kafka_options(
+    servers: str,
+    topics: Sequence[str] = schemas.FEEDS,
+    flush_records: int = FLUSH_RECORDS,
+    flush_after: str = FLUSH_INTERVAL,
+    max_records: int | None = None,
+) -> dict:
+    """A batch starts when ``flush_records`` per topic have come, or after ``flush_after``.
+
+    A batch takes all there is; ``max_records`` is a limit for callers who want one.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_records * len(topics)),
+        "minOffsetsPerTrigger": str(flush_records * len(topics)),
+        "maxTriggerDelay": flush_after,
     }
+    return options | ({"maxOffsetsPerTrigger": str(max_records)} if max_records else {})
 
 
 def read_kafka(spark: SparkSession, options: dict) -> DataFrame:
@@ -86,7 +99,8 @@ def to_messages(records: DataFrame, key: str = "id") -> DataFrame:
 
 
 def parse_messages(messages: DataFrame, schema: str) -> DataFrame:
-    return messages.select(F.from_json("value", T.StructType.fromDDL(schema)).alias("r")).select("r.*")
+    """The records of messages, by the rule of the raw zone: no message is lost, bad ones keep their text."""
+    return parse_lines(messages.select("value"), schema)
 
 
 def replay_seen_ids(messages: DataFrame, now: Column, hours: float = REPLAY_HOURS) -> DataFrame:
@@ -101,19 +115,27 @@ def replay_seen_ids(messages: DataFrame, now: Column, hours: float = REPLAY_HOUR
 # --- operators -----------------------------------------------------------------------
 
 
-def drop_seen(records: DataFrame, at: str, keys: Sequence[str] = ("source", "id"), ttl: str = SEEN_TTL) -> DataFrame:
-    """The first record of each key; a key is forgotten once event time has passed the ttl.
+def drop_seen(
+    records: DataFrame,
+    keys: Sequence[str] = ("source", "id"),
+    ttl: str = SEEN_TTL,
+    arrived: Column | None = None,
+) -> DataFrame:
+    """The first record of each key; a key is forgotten once ``ttl`` has passed since it came.
 
-    The state holds one entry per key.  Records of one key meet in one task, of at most
-    one batch, whose size the source bounds (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
+    The clock is that of arrival: the time of the batch, which a batch that is run again keeps.  However
+    old the time in a record is, a key never seen before is never dropped.  The state holds
+    one entry per key.
     """
-    return records.withWatermark(at, ttl).dropDuplicatesWithinWatermark(list(keys))
+    at = F.current_timestamp() if arrived is None else arrived
+    stamped = records.withColumn("_arrived", at).withWatermark("_arrived", ttl)
+    return stamped.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
 
 
 def post_rate(
     records: DataFrame, at: str, window: str = "60 seconds", delay: str = "60 seconds"
 ) -> DataFrame:
-    """Posts per source and tumbling window; a window appears once it can no longer change."""
+    """Posts per source and tumbling window, counted so far; for ``write_rate``."""
     return (
         records.withWatermark(at, delay)
         .groupBy(F.window(at, window).alias("w"), "source")
@@ -136,27 +158,54 @@ def write_raw_zone(
     available_now: bool = False,
     interval: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
-    """Store each message value as a line below source/year/month/day/hour of its ingestion.
+    """Store each message value as one line below ``raw_path(path, topic)``/year/month/day/hour of its ingestion.
 
-    The value is written as it came.  The checkpointed file sink stores every message
-    once, also when a batch is run again after a failure.
+    Line breaks in a value, which JSON allows only between its tokens, become blanks.
+    Each batch has folders of its own, overwritten if the batch is run again after a
+    failure, so every message is stored once.  The topics of a batch are a short list.
     """
-    at = F.coalesce(F.try_to_timestamp(F.get_json_object("value", "$._ingested_at")), F.current_timestamp())
+    at = F.coalesce(F.try_to_timestamp(F.get_json_object("value", "$._ingested_at")), "timestamp", F.current_timestamp())
+    parts = {n: F.date_format(at, f) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))}
     rows = messages.select(
-        "value",
-        F.col("topic").alias("source"),
-        *[F.date_format(at, f).alias(n) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))],
-    )
-    writer = (
-        rows.writeStream.format("text")
-        .partitionBy("source", "year", "month", "day", "hour")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .option("path", path)
+        "topic", F.regexp_replace("value", r"[\r\n]+", " ").alias("value"), *[c.alias(n) for n, c in parts.items()]
     )
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch = batch.withColumn("batch", F.lit(number)).persist()
+        for row in batch.select("topic").distinct().collect():
+            (
+                batch.where(F.col("topic") == row.topic)
+                .drop("topic")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*parts, "batch")
+                .text(raw_path(path, row.topic))
+            )
+        batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now, interval)
 
 
+def write_rate(
+    rate: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = FLUSH_INTERVAL
+) -> StreamingQuery:
+    """Write the counts of the windows each batch has changed, open ones too, below ``path``/batch."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = rate.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+    return _start(writer, available_now, interval)
+
+
+def read_rate(spark: SparkSession, path: str) -> DataFrame:
+    """The last count of each window, of all windows; counts only grow."""
+    schema = "window_start timestamp, window_end timestamp, source string, posts bigint, batch bigint"
+    counts = spark.read.schema(schema).parquet(path)
+    return counts.groupBy("window_start", "window_end", "source").agg(F.max("posts").alias("posts"))
+
+
 def write_parquet(
     rows: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = FLUSH_INTERVAL
 ) -> StreamingQuery:
@@ -183,19 +232,22 @@ def write_kafka(messages: DataFrame, servers: str, checkpoint: str, interval: st
 def ingest_new_files(
     spark: SparkSession,
     path: str,
-    schema: str,
     checkpoint: str,
     process: Callable[[DataFrame, int], None],
     max_files: int | None = None,
 ) -> None:
-    """Hand the files that no earlier run has seen to ``process``, then stop.
+    """Hand the lines (``value``) of files that no earlier run has seen to ``process``, then stop.
 
     The checkpoint is the bookmark: a run that fails hands the same batch, with the same
     batch number, to the next run.
     """
-    records = read_message_files(spark, path, max_files, schema)
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     (
-        records.writeStream.foreachBatch(process)
+        reader.text(path)
+        .where(F.trim("value") != "")
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
