@@ -315,7 +315,7 @@ def cross_source_keywords(tags: DataFrame, at_least: int = CROSS_SOURCE, viral:
 
     ``sources_list`` names each source once and ``source_mentions`` says how often, in the
     same order.  That is the whole list of sources with repeats in a row no longer than
-    the number of sources; ``with_repeats`` writes it out.
+    the number of sources.
     """
     per_source = F.when(F.col("source").isNotNull(), F.struct("source", "mentions"))
     return (
@@ -336,16 +336,3 @@ def cross_source_keywords(tags: DataFrame, at_least: int = CROSS_SOURCE, viral:
             (F.col("sources_count") >= viral).alias("is_viral"),
         )
     )
-
-
-def with_repeats(cross: DataFrame) -> DataFrame:
-    """``sources_list`` with one entry per mention, as a list of all mentions would be.
-
-    Built from the counts, so no mention is shuffled, but the row is as long as the
-    keyword has mentions: for the few keywords a reader picks, not for a whole table.
-    """
-    pairs = F.arrays_zip("sources_list", "source_mentions")
-    return cross.withColumn(
-        "sources_list",
-        F.flatten(F.transform(pairs, lambda p: F.array_repeat(p.sources_list, p.source_mentions.cast("int")))),
-    )

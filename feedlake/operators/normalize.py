@@ -9,12 +9,9 @@ from feedlake import schemas
 from feedlake.functions.taxonomy import Taxonomy
 from feedlake.functions.text import clean_html
 from feedlake.operators.tagging import tag_posts
-from feedlake.session import splittable
 
 # Ranked story lists (fixed values).
 STORY_LISTS = ("top", "new", "best", "ask", "show")
-STACKOVERFLOW_BODY = 1000
-RSS_SUMMARY = 500
 
 
 def _filled(col: Column) -> Column:
@@ -67,7 +64,7 @@ def normalize_hackernews(items: DataFrame, lists: DataFrame) -> DataFrame:
     """Stories on any list, labelled with the first list, in rank order, that has them."""
     rank = F.array_position(F.array(*[F.lit(name) for name in STORY_LISTS]), F.col("list"))
     first_list = lists.where(rank > 0).groupBy("id").agg(F.min(rank).cast("int").alias("rank"))
-    stories = items.where(F.col("type") == "story").join(splittable(first_list), "id")
+    stories = items.where(F.col("type") == "story").join(first_list, "id")
     return stories.select(
         "id",
         "title",
@@ -82,13 +79,18 @@ def normalize_hackernews(items: DataFrame, lists: DataFrame) -> DataFrame:
     )
 
 
-def normalize_stackoverflow(questions: DataFrame) -> DataFrame:
+def _start(text: Column, chars: int | None) -> Column:
+    return text if chars is None else F.substring(text, 1, chars)
+
+
+def normalize_stackoverflow(questions: DataFrame, body_chars: int | None = None) -> DataFrame:
+    """Questions with their whole body, or its first ``body_chars`` characters."""
     return questions.select(
         F.col("question_id").alias("id"),
         clean_html(F.col("title")).alias("title"),
         F.col("link").alias("url"),
         F.col("owner.display_name").alias("author"),
-        F.substring(clean_html(F.col("body")), 1, STACKOVERFLOW_BODY).alias("body"),
+        _start(clean_html(F.col("body")), body_chars).alias("body"),
         F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
         "score",
         F.col("view_count").alias("views"),
@@ -99,7 +101,8 @@ def normalize_stackoverflow(questions: DataFrame) -> DataFrame:
     )
 
 
-def normalize_rss(entries: DataFrame) -> DataFrame:
+def normalize_rss(entries: DataFrame, summary_chars: int | None = None) -> DataFrame:
+    """Entries with their whole summary, or its first ``summary_chars`` characters."""
     unique = F.coalesce(_filled(F.col("id")), _filled(F.col("link")), F.col("title"), F.lit(""))
     tags = F.coalesce("tags", F.array().cast("array<struct<term:string>>"))
     return entries.select(
@@ -107,7 +110,7 @@ def normalize_rss(entries: DataFrame) -> DataFrame:
         clean_html(F.col("title")).alias("title"),
         F.col("link").alias("url"),
         "author",
-        F.substring(clean_html(F.col("summary")), 1, RSS_SUMMARY).alias("summary"),
+        _start(clean_html(F.col("summary")), summary_chars).alias("summary"),
         "feed_name",
         "feed_url",
         "published",

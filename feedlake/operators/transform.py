@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from feedlake import schemas
 from feedlake.functions.text import clean_content
 from feedlake.functions.times import parse_time
-from feedlake.session import splittable
 
 # The first column of these that a table has is its content, or its time (fixed values).
 CONTENT_COLUMNS = ("content", "summary", "text", "body", "title")
@@ -32,6 +31,7 @@ def _extra(name: str, default: object, type_: str, *aliases: str) -> Extra:
     return Extra(name, (name, *aliases), default, type_)
 
 
+# Extras of the feeds, their types and defaults (fixed values).
 EXTRAS: dict[str, tuple[Extra, ...]] = {
     "bluesky": (
         _extra("author", "", "string"),
@@ -80,15 +80,22 @@ def safe_column(df: DataFrame, names: Sequence[str], default: Column) -> Column:
 
 
 def extra_column(df: DataFrame, extra: Extra) -> Column:
-    """Text keeps its NULLs; numbers and flags fall back to the default, also if malformed."""
-    name = pick(df, extra.aliases)
-    if name is None:
+    """The first filled value of a row among the names the table has.
+
+    Text keeps its NULLs; numbers and flags fall back to the default, also if malformed.
+    """
+    names = [n for n in extra.aliases if n in df.columns]
+    if not names:
         return F.lit(extra.default).cast(extra.type)
     if extra.type == "timestamp":
-        return parse_time(F.col(name), df.schema[name].dataType)
+        return _first_time(df, names)
     if extra.type == "string":
-        return F.col(name).cast("string")
-    return F.coalesce(F.col(name).try_cast(extra.type), F.lit(extra.default).cast(extra.type))
+        return F.coalesce(*[F.col(n).cast("string") for n in names])
+    return F.coalesce(*[F.col(n).try_cast(extra.type) for n in names], F.lit(extra.default).cast(extra.type))
+
+
+def _first_time(df: DataFrame, names: Sequence[str]) -> Column:
+    return F.coalesce(*[parse_time(F.col(n), df.schema[n].dataType) for n in names])
 
 
 def _no_strings() -> Column:
@@ -104,18 +111,29 @@ def content_column(df: DataFrame, fallback: str = "table") -> Column:
 
 
 def time_column(df: DataFrame, now: Column) -> Column:
-    name = pick(df, TIME_COLUMNS)
-    return parse_time(F.col(name), df.schema[name].dataType) if name else now
+    """The first time that a row has; without any such column, ``now``."""
+    names = [n for n in TIME_COLUMNS if n in df.columns]
+    return _first_time(df, names) if names else now
 
 
 def keyword_column(df: DataFrame, source: str, keyword_columns: Sequence[str] | None = None) -> Column:
     """Keywords of a record: the names of its tags for nostr, mapped keywords otherwise."""
     if keyword_columns:
-        return safe_column(df, keyword_columns, _no_strings())
+        return _first_strings(df, keyword_columns)
     if source == "nostr" and "tags" in df.columns:
         return F.transform("tags", lambda tag: F.get(tag, F.lit(0)))
     names = ("keywords",) if source == "nostr" else ("mapped_keywords", "keywords")
-    return safe_column(df, names, _no_strings())
+    return _first_strings(df, names)
+
+
+def _first_strings(df: DataFrame, names: Sequence[str]) -> Column:
+    """The first filled list of a row; a list that arrived as text is JSON."""
+    def listed(name: str) -> Column:
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        return F.from_json(name, "array<string>") if is_text else F.col(name)
+
+    found = [listed(n) for n in names if n in df.columns]
+    return F.coalesce(*found) if found else _no_strings()
 
 
 def project_posts(
@@ -136,9 +154,9 @@ def project_posts(
         "processed_at": now,
         **{e.name: extra_column(records, e) for e in EXTRAS.get(source, ())},
         "keywords": keywords,
-        "categories": safe_column(records, ("categories",), _no_strings()),
+        "categories": _first_strings(records, ("categories",)),
         "is_remapped": F.coalesce(
-            safe_column(records, ("is_remapped",), F.lit(False)).cast("boolean"), F.lit(False)
+            safe_column(records, ("is_remapped",), F.lit(False)).try_cast("boolean"), F.lit(False)
         ),
         "has_keywords": F.coalesce(F.size(keywords) > 0, F.lit(False)),
     }
@@ -208,5 +226,9 @@ def filter_future(posts: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def exclude_seen(records: DataFrame, seen: DataFrame, keys: Sequence[str] = ("source", "id")) -> DataFrame:
-    """Records whose key is not among the seen ones."""
-    return records.join(splittable(seen.select(*keys).distinct()), list(keys), "left_anti")
+    """Records whose key is not among the seen ones.
+
+    The seen keys need not be distinct: both sides come straight from one shuffle each, so
+    AQE can split a hot key.
+    """
+    return records.join(seen.select(*keys), list(keys), "left_anti")
