@@ -37,6 +37,15 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows in as many partitions as the caller has set under ``feedlake.inputPartitions``; else as they come.
+
+    For a small table in a single row group, whose texts one core would work through alone.
+    """
+    n = df.sparkSession.conf.get("feedlake.inputPartitions", None)
+    return df.repartition(int(n)) if n else df
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under ``name``, with the SQL that gives the same rows if there is any."""
 

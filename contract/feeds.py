@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contract.base import spread
 from feedlake.functions.taxonomy import Taxonomy
 from feedlake.functions.text import clean_content
 from feedlake.operators.tagging import tag_posts
 from feedlake.operators.transform import align_schema, filter_future
-from feedlake.session import spread
 
 # A small dictionary with words of the texts: plain, short, of several words, with an
 # accent, and one whose end needs a word character behind it.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.base import arr, query, ts
+from contract.base import arr, query, spread, ts
 from contract.feeds import (
     CLEAN,
     RECORDS_SQL,
@@ -21,7 +21,6 @@ from contract.feeds import (
 )
 from contract.texts import clean_html_sql
 from feedlake.operators import normalize, transform
-from feedlake.session import spread
 from feedlake.sources.zones import union_sources
 
 EPOCH = 1704067200
@@ -100,13 +99,17 @@ NOSTR_SQL = f"""SELECT conv_id || '-' || turn AS id, role AS pubkey, text, {EPOC
     FROM conversations WHERE role <> 'system'"""
 
 
+def nostr_records(spark, sf):
+    return normalize.normalize_nostr(nostr_payloads(spark, sf), TAXONOMY)
+
+
 @query(
     "normalize_nostr",
     f"""WITH {tagged_sql(NOSTR_SQL, keep='id, pubkey, created_at, kind, tags, source')}
     SELECT id, pubkey, {_TAGS}, created_at, kind, tags, source FROM tagged WHERE len(mapped_keywords) > 0""",
 )
 def normalize_nostr(spark, sf):
-    records = normalize.normalize_nostr(nostr_payloads(spark, sf), TAXONOMY)
+    records = nostr_records(spark, sf)
     names = F.filter(F.transform("tags", lambda t: F.get(t, F.lit(0))), lambda n: n.isNotNull())
     return records.withColumn("tags", F.array_join(names, ","))
 
@@ -183,7 +186,7 @@ def stackoverflow_items(spark, sf):
 
 STACKOVERFLOW_SQL = f"""SELECT page_id AS id, {clean_html_sql('html')} AS title, url,
     CASE WHEN contains(url, '/en/') THEN regexp_extract(url, '{HOST}', 1) END AS author,
-    substring({clean_html_sql('html')}, 1, 1000) AS body,
+    {clean_html_sql('html')} AS body,
     CASE WHEN url LIKE 'https%' THEN array_to_string(string_split(url, '/'), '|') ELSE '' END AS tags,
     CAST(length(url) AS INTEGER) AS score, CAST(length(html) AS INTEGER) AS views, CAST(page_id AS INTEGER) AS answers,
     contains(url, '?') AS is_answered, {EPOCH} + page_id * 3607 AS timestamp, 'stackoverflow' AS source FROM pages"""
@@ -213,7 +216,7 @@ def rss_entries(spark, sf):
 
 RSS_SQL = f"""SELECT md5(CASE WHEN url LIKE 'https%' THEN 'tag:' || url WHEN contains(url, '?') THEN html ELSE url END) AS id,
     {clean_html_sql('html')} AS title, CASE WHEN contains(url, '?') THEN '' ELSE url END AS url,
-    regexp_extract(url, '{HOST}', 1) AS author, substring({clean_html_sql('html')}, 1, 500) AS summary,
+    regexp_extract(url, '{HOST}', 1) AS author, {clean_html_sql('html')} AS summary,
     'pages' AS feed_name, regexp_extract(url, '{HOST}', 1) AS feed_url,
     strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id * 3607), '%a, %d %b %Y %H:%M:%S GMT') AS published,
     array_to_string(string_split(url, '/'), '|') AS tags, 'rss' AS source FROM pages"""

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.base import arr, query, ts
 from contract.feeds import RECORDS_SQL, TAXONOMY, document_records, event_records, table, tagged_sql
 from feedlake.operators.tagging import tag_posts
 from feedlake.session import scratch_dir
+from feedlake.sources import zones
 from feedlake.streaming import live
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 def _event_messages(spark, sf, ingested_at="ts"):
     """Events as enveloped messages, by default ingested when they happened."""
     events = table(spark, sf, "events").withColumn(
@@ -56,8 +63,9 @@ def envelope_records(spark, sf):
 def stream_ingest(spark, sf):
     root = scratch_dir(spark, "live")
     _finish(live.write_raw_zone(_incoming(spark, sf, root), f"{root}/raw", f"{root}/checkpoint", available_now=True))
-    fields = "id bigint, content string, source string, year int, month int, day int, hour int"
-    return spark.read.schema(fields).json(f"{root}/raw")
+    fields = "id bigint, content string, source string"
+    zone = [zones.scan_raw_hours(spark, zones.raw_path(f"{root}/raw", source), fields) for source in EVENT_TYPES]
+    return reduce(DataFrame.unionByName, zone).drop(zones.CORRUPT)
 
 
 @query("stream_dedup", f"SELECT DISTINCT source, id FROM ({RECORDS_SQL['events']})")
@@ -67,7 +75,7 @@ def stream_dedup(spark, sf):
     schema = "id string, source string, text string, collected_at timestamp"
     records = spark.readStream.schema(schema).parquet(f"{root}/incoming")
     # Files are read in one batch, so that the result does not depend on their order.
-    fresh = live.drop_seen(records, "collected_at").select("source", "id")
+    fresh = live.drop_seen(records).select("source", "id")
     _finish(live.write_parquet(fresh, f"{root}/out", f"{root}/checkpoint", available_now=True))
     return spark.read.parquet(f"{root}/out")
 
@@ -87,13 +95,11 @@ def stream_enrich(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
-# Windows that end after the watermark are still open when the stream stops.
 @query(
     "stream_rate",
     f"""WITH m AS (SELECT date_trunc('minute', ts) AS s, event_type AS source FROM events),
     w AS (SELECT s, s + INTERVAL 60 SECOND AS e, source, count(*) AS posts FROM m GROUP BY 1, 2, 3)
-    SELECT {ts('s')} AS window_start, {ts('e')} AS window_end, source, posts FROM w
-    WHERE e <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 60 SECOND FROM events)""",
+    SELECT {ts('s')} AS window_start, {ts('e')} AS window_end, source, posts FROM w""",
 )
 def stream_rate(spark, sf):
     root = scratch_dir(spark, "live")
@@ -101,8 +107,8 @@ def stream_rate(spark, sf):
     schema = "id string, source string, text string, collected_at timestamp"
     records = spark.readStream.schema(schema).parquet(f"{root}/incoming")
     rate = live.post_rate(records, "collected_at")
-    _finish(live.write_parquet(rate, f"{root}/out", f"{root}/checkpoint", available_now=True))
-    return spark.read.parquet(f"{root}/out")
+    _finish(live.write_rate(rate, f"{root}/out", f"{root}/checkpoint", available_now=True))
+    return live.read_rate(spark, f"{root}/out")
 
 
 @query(

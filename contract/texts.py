@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.base import arr, query
+from contract.base import arr, query, spread
 from contract.feeds import (
     CLEAN,
     DICTIONARY_SQL,
@@ -18,7 +18,6 @@ from contract.feeds import (
 )
 from feedlake.functions.text import clean_content, clean_html, word_runs
 from feedlake.operators import tagging
-from feedlake.session import spread
 
 HTML_SPACES = r"[\s\x0B\x{85}\p{Z}\x1c-\x1f]+"
 
@@ -90,26 +89,58 @@ def tag_conversations(spark, sf):
 
 
 # Neighbouring runs are a pair if the separator between them is one space.
-@query(
-    "tag_by_join",
-    rf"""WITH {DICTIONARY_SQL},
-    d AS (SELECT doc_id, lower(text) AS l FROM documents),
-    w AS (SELECT doc_id, regexp_extract_all(l, '[\p{{L}}\p{{N}}_]+') AS runs,
-      regexp_extract_all(l, '[^\p{{L}}\p{{N}}_]+') AS seps,
-      CAST(regexp_matches(l, '^[^\p{{L}}\p{{N}}_]') AS INTEGER) AS lead FROM d),
+TAGS_BY_JOIN_SQL = r"""d AS (SELECT doc_id, lower(text) AS l FROM documents),
+    w AS (SELECT doc_id, regexp_extract_all(l, '[\p{L}\p{N}_]+') AS runs,
+      regexp_extract_all(l, '[^\p{L}\p{N}_]+') AS seps,
+      CAST(regexp_matches(l, '^[^\p{L}\p{N}_]') AS INTEGER) AS lead FROM d),
     one AS (SELECT DISTINCT doc_id, unnest(runs) AS token FROM w),
     two AS (SELECT DISTINCT doc_id, runs[i] || ' ' || runs[i + 1] AS token
       FROM (SELECT *, unnest(range(1, len(runs))) AS i FROM w) WHERE seps[i + lead] = ' '),
     hit AS (SELECT doc_id, keyword, category FROM one JOIN dict ON dict.keyword = one.token
       UNION ALL SELECT doc_id, keyword, category FROM two JOIN dict ON dict.keyword = two.token),
     g AS (SELECT doc_id, list_sort(list(keyword)) AS keywords, list_sort(list(DISTINCT category)) AS categories
-      FROM hit GROUP BY 1)
+      FROM hit GROUP BY 1)"""
+#: Few texts have no keyword of the large dictionary: with this many or more nothing is remapped.
+MIN_KEYWORDS = 30
+
+
+@query(
+    "tag_by_join",
+    f"""WITH {DICTIONARY_SQL}, {TAGS_BY_JOIN_SQL}
     SELECT documents.doc_id, coalesce(array_to_string(keywords, '|'), '') AS keywords,
       coalesce(array_to_string(categories, '|'), '') AS categories FROM documents LEFT JOIN g USING (doc_id)""",
 )
 def tag_by_join(spark, sf):
     docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
-    return tagging.tag_by_join(docs, benchmark_dictionary(spark, sf), key="doc_id").drop("text")
+    return tagging.tag_by_join(docs, benchmark_dictionary(spark, sf), key="doc_id").drop("text_key")
+
+
+@query(
+    "remap_by_join",
+    rf"""WITH {DICTIONARY_SQL}, {TAGS_BY_JOIN_SQL},
+    syn AS (SELECT DISTINCT keyword AS word, 'len' || length(keyword) || ' topic' AS target FROM dict
+      WHERE length(keyword) <= 5 AND NOT contains(keyword, ' ')),
+    sw AS (SELECT doc_id, trim(raw, '.,!?;:''"()[]{{}}') AS word, p FROM (
+      SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) AS p FROM (
+        SELECT doc_id, regexp_split_to_array(lower(text), '{HTML_SPACES}') AS parts FROM documents))),
+    sh AS (SELECT doc_id, list(word ORDER BY p) AS hits, list(target ORDER BY p) AS targets FROM sw JOIN syn USING (word) GROUP BY 1),
+    m AS (SELECT documents.doc_id, text, coalesce(keywords, []) AS kws, coalesce(g.categories, []) AS categories,
+      CASE WHEN len(coalesce(keywords, [])) < {MIN_KEYWORDS} THEN coalesce(hits, []) ELSE [] END AS hits,
+      CASE WHEN len(coalesce(keywords, [])) < {MIN_KEYWORDS} THEN coalesce(targets, []) ELSE [] END AS targets
+      FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN sh USING (doc_id))
+    SELECT doc_id, array_to_string(list_concat(kws, hits), '|') AS original_keywords,
+      array_to_string(list_concat(kws, targets), '|') AS mapped_keywords, array_to_string(categories, '|') AS categories,
+      len(hits) > 0 AS is_remapped FROM m""",
+)
+def remap_by_join(spark, sf):
+    """Long words and word pairs as keywords, short words as synonyms."""
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
+    dictionary = benchmark_dictionary(spark, sf)
+    synonyms = dictionary.where((F.length("keyword") <= 5) & ~F.col("keyword").contains(" ")).select(
+        F.col("keyword").alias("word"), F.concat(F.lit("len"), F.length("keyword").cast("string"), F.lit(" topic")).alias("target")
+    )
+    remapped = tagging.remap_by_join(docs, dictionary, synonyms, key="doc_id", min_keywords=MIN_KEYWORDS)
+    return remapped.select("doc_id", "original_keywords", "mapped_keywords", "categories", "is_remapped")
 
 
 WORDS_SQL = r"words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM conversations)"

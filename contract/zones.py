@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.aggregates import SQL, TABLES
-from contract.base import day, query, ts
+from contract.base import day, portable, query, ts
 from contract.feeds import (
+    CLEAN,
     as_of,
     document_posts,
     event_posts,
     lake_sql,
     posts_sql,
     table,
+    tagged_sql,
+)
+from contract.payloads import (
+    BLUESKY_SQL,
+    HACKERNEWS_SQL,
+    NOSTR_SQL,
+    RSS_SQL,
+    STACKOVERFLOW_SQL,
+    all_posts,
+    normalize_bluesky,
+    normalize_hackernews,
+    normalize_rss,
+    normalize_stackoverflow,
+    nostr_records,
 )
-from contract.payloads import HACKERNEWS_SQL, all_posts, normalize_hackernews, normalize_rss
+from feedlake import schemas
 from feedlake.plans import lake, saved_sql
 from feedlake.session import scratch_dir
 from feedlake.sources import catalog, inventory, zones
@@ -50,7 +68,35 @@ EVENT_LINES_SQL = f"""SELECT event_id AS id, event_type AS source, props AS cont
 
 @query("scan_raw_jsonl", EVENT_LINES_SQL)
 def scan_raw_jsonl(spark, sf):
-    return zones.scan_raw_jsonl(spark, _raw_zone(spark, sf), RECORD)
+    return zones.scan_raw_jsonl(spark, _raw_zone(spark, sf), RECORD).drop(zones.CORRUPT)
+
+
+# Clicks have a field that is not declared, errors a number that is none, signups a line that is cut off.
+@query(
+    "scan_raw_dirty",
+    """SELECT CASE WHEN event_type <> 'signup' THEN event_id END AS id, CASE WHEN event_type <> 'signup' THEN event_type END AS source,
+    CASE WHEN event_type NOT IN ('signup', 'error') THEN value END AS value, CASE WHEN event_type = 'click' THEN '7' END AS likes,
+    event_type IN ('signup', 'error') AS bad FROM events""",
+)
+def scan_raw_dirty(spark, sf):
+    """Live messages, pretty-printed over several lines, stored in the raw zone and scanned: no line is lost."""
+    root, kind = scratch_dir(spark, "dirty"), F.col("event_type")
+    body = F.concat(
+        F.lit('{\n  "id": '), F.col("event_id").cast("string"), F.lit(',\r\n "source": "'), kind,
+        F.when(kind == "click", '", "likes": 7').otherwise('"'),
+        F.lit(', "value": '), F.when(kind == "error", '"n/a"').otherwise(F.to_json(F.struct("value"))), F.lit("}"),
+    )
+    nested = F.regexp_replace(body, r'"value": \{"value":([^}]*)\}', r'"value": $1')
+    value = F.when(kind == "signup", F.substring(nested, 1, 12)).otherwise(nested)
+    messages = table(spark, sf, "events").select(
+        F.lit("mixed").alias("topic"), F.col("event_id").cast("string").alias("key"), value.alias("value"),
+        F.timestamp_seconds(F.lit(1704067200) + F.pmod("event_id", F.lit(43200))).alias("timestamp"),
+    )
+    messages.write.parquet(f"{root}/incoming")
+    incoming = spark.readStream.schema(messages.schema).parquet(f"{root}/incoming")
+    live.write_raw_zone(incoming, f"{root}/raw", f"{root}/checkpoint", available_now=True).awaitTermination()
+    records = zones.scan_raw_jsonl(spark, zones.raw_path(f"{root}/raw", "mixed"), "id bigint, source string, value double", discover=True)
+    return records.select("id", "source", "value", "likes", F.col(zones.CORRUPT).isNotNull().alias("bad"))
 
 
 @query(
@@ -60,7 +106,7 @@ def scan_raw_jsonl(spark, sf):
 )
 def scan_raw_day(spark, sf):
     records = zones.scan_raw_hours(spark, _raw_zone(spark, sf), RECORD)
-    return records.where((F.col("month") == 1) & (F.col("day") == 12)).drop("hour")
+    return records.where((F.col("month") == 1) & (F.col("day") == 12)).drop("hour", zones.CORRUPT)
 
 
 @query(
@@ -75,10 +121,25 @@ def raw_line_counts(spark, sf):
     )
 
 
-@query("raw_preview")
+def _daily_files(spark, sf):
+    """One file per day of events, its lines in order."""
+    root = f"{scratch_dir(spark, 'raw')}/events"
+    (
+        _event_lines(spark, sf)
+        .repartition("year", "month", "day")
+        .sortWithinPartitions("year", "month", "day", "id")
+        .write.partitionBy("year", "month", "day")
+        .json(root)
+    )
+    return root
+
+
+@query("raw_preview", "SELECT event_id AS id, event_type AS source FROM events WHERE ts < (SELECT date_trunc('day', min(ts)) FROM events) + INTERVAL 1 DAY ORDER BY event_id LIMIT 5")
 def raw_preview(spark, sf):
-    files = inventory.list_files(spark, _raw_zone(spark, sf)).where(F.col("path").endswith(".json"))
-    return inventory.preview(spark, files.agg(F.min("path")).first()[0])
+    """The first lines of the first file by name."""
+    files = inventory.list_files(spark, _daily_files(spark, sf))
+    lines = inventory.preview(spark, files.agg(F.min("path")).first()[0])
+    return zones.parse_lines(lines, "id bigint, source string").drop(zones.CORRUPT)
 
 
 @query(
@@ -94,9 +155,9 @@ def incremental_ingest(spark, sf):
     for drop in (lines.where(first), lines.where(~first), None):
         if drop is not None:
             drop.write.mode("append").json(f"{root}/raw/events")
-        lake.ingest_source(spark, f"{root}/raw", f"{root}/processed", "events", f"{root}/checkpoint", schema=RECORD)
+        lake.ingest_source(spark, f"{root}/raw", f"{root}/processed", "events", f"{root}/checkpoint", RECORD)
     posts = zones.scan_processed(spark, f"{root}/processed", "events")
-    return posts.select("id", "source", "content_clean", "collected_at", F.col("ingest_batch").alias("run"))
+    return posts.select("id", "source", "content_clean", "collected_at", F.col("ingest_batch").cast("int").alias("run"))
 
 
 def _processed(spark, sf):
@@ -140,25 +201,6 @@ def scan_sources(spark, sf):
     return posts.groupBy("source").agg(F.count(F.lit(1)).alias("posts"))
 
 
-# One measure of each curated table, to compare all of them as one result.
-MEASURES = {
-    "volume_by_source": "unique_posts",
-    "volume_by_week": "unique_posts",
-    "volume_by_month": "unique_posts",
-    "hourly_activity": "post_count",
-    "remapping_stats": "remapped_count",
-    "growth_rate": "growth_abs",
-    "content_stats": "long_posts",
-    "trending_keywords": "mentions",
-    "trending_categories": "mentions",
-    "cross_source_keywords": "total_mentions",
-    "keywords_by_source": "mentions",
-    "global_summary": "total_remapped",
-    "source_summary": "total_posts",
-    "extended_summary": "unique_keywords",
-}
-
-
 def _lake_table(name: str) -> str:
     """The SQL of a curated table, over the posts of all feeds."""
     body = SQL[name].replace("WITH ", "", 1)
@@ -167,23 +209,42 @@ def _lake_table(name: str) -> str:
     return f"(WITH lake1 AS (SELECT 1), {body})"
 
 
-LAKE = f"WITH {lake_sql()} " + " UNION ALL ".join(
-    f"SELECT '{t}' AS name, count(*) AS rows, CAST(sum({m}) AS BIGINT) AS total FROM {_lake_table(t)}"
-    for t, m in MEASURES.items()
-)
+NUMBERS = ("bigint", "int", "double")
+
+
+def _columns(name: str) -> tuple[list[str], list[str]]:
+    """The columns of a curated table that say what a row is about, and its numbers."""
+    fields = [column.split() for column in schemas.CURATED[name][1].split(", ")]
+    numbers = [f for f, kind in fields if kind in NUMBERS]
+    return [f for f, _ in fields if f not in numbers], numbers
+
+
+def _long_sql(name: str) -> str:
+    keys, numbers = _columns(name)
+    key = " || '/' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys) or "''"
+    each = ", ".join(f"struct_pack(measure := '{m}', value := CAST({m} AS DOUBLE))" for m in numbers)
+    return (
+        f"SELECT name, key, u.measure AS measure, u.value AS value FROM (SELECT '{name}' AS name, {key} AS key, unnest([{each}]) AS u FROM {_lake_table(name)})"
+    )
+
+
+LAKE = f"WITH {lake_sql()} " + " UNION ALL ".join(_long_sql(name) for name in schemas.CURATED)
 
 
 @query("build_curated", LAKE)
 def build_curated(spark, sf):
-    """All fourteen tables, written and read back: rows and the sum of one measure of each."""
+    """All columns of all fourteen tables, written and read back, one row per number."""
     root = scratch_dir(spark, "curated")
     lake.build_curated(all_posts(spark, sf), root, as_of())
-    out = None
-    for name, df in zones.load_curated(spark, root).items():
-        one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(MEASURES[name]).alias("total"))
-        one = one.select(F.lit(name).alias("name"), "rows", "total")
-        out = one if out is None else out.unionByName(one)
-    return out
+
+    def long(name, df):
+        keys, numbers = _columns(name)
+        plain = portable(df)
+        key = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+        each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in numbers])
+        return plain.select(F.lit(name).alias("name"), key.alias("key"), F.inline(each))
+
+    return reduce(DataFrame.unionByName, [long(n, df) for n, df in zones.load_curated(spark, root).items()])
 
 
 @query(
@@ -212,11 +273,49 @@ def run_lake(spark, sf):
     """Feed records as raw JSON lines, through the processed zone, to the curated zone."""
     root = scratch_dir(spark, "lake")
     for source, records in (("hackernews", normalize_hackernews(spark, sf)), ("rss", normalize_rss(spark, sf))):
-        live.envelope(records, source).write.json(f"{root}/raw/{source}")
+        live.envelope(records, source).write.json(zones.raw_path(f"{root}/raw", source))
     tables = lake.run_lake(spark, f"{root}/raw", f"{root}/processed", f"{root}/curated", as_of())
     return tables["source_summary"].select("source", "total_posts", "first_post", "last_post")
 
 
+HACKERNEWS_POSTS_SQL = f"""SELECT CAST(id AS VARCHAR) AS id FROM ({HACKERNEWS_SQL}) WHERE trim(text) <> ''"""
+
+
+@query(
+    "run_lake_twice",
+    f"""SELECT 'bluesky' AS source, count(*) AS posts, count(*) AS catalog, count(*) AS rollup FROM ({BLUESKY_SQL}) WHERE {CLEAN.format('text')} <> ''
+    UNION ALL SELECT 'nostr', count(*), count(*), count(*) FROM (WITH {tagged_sql(NOSTR_SQL, keep='id')}
+      SELECT id FROM tagged WHERE len(mapped_keywords) > 0 AND {CLEAN.format('content')} <> '')
+    UNION ALL SELECT 'hackernews', count(*), count(*), count(*) FROM ({HACKERNEWS_POSTS_SQL})
+    UNION ALL SELECT 'stackoverflow', count(*), count(*), count(*) FROM ({STACKOVERFLOW_SQL}) WHERE {CLEAN.format('body')} <> ''
+    UNION ALL SELECT 'rss', count(DISTINCT id), count(DISTINCT id), count(DISTINCT id) FROM ({RSS_SQL}) WHERE {CLEAN.format('summary')} <> ''""",
+)
+def run_lake_twice(spark, sf):
+    """All five feeds: live messages to the raw zone, the lake, the lake again; counted by scan, by table and by rollup."""
+    root = scratch_dir(spark, "lake")
+    feeds = {
+        "bluesky": normalize_bluesky, "nostr": nostr_records, "hackernews": normalize_hackernews,
+        "stackoverflow": normalize_stackoverflow, "rss": normalize_rss,
+    }
+    for source, records in feeds.items():
+        live.to_messages(live.envelope(records(spark, sf), source)).write.json(f"{root}/incoming/{source}")
+    incoming = live.read_message_files(spark, f"{root}/incoming")
+    live.write_raw_zone(incoming, f"{root}/raw", f"{root}/checkpoint", available_now=True).awaitTermination()
+    for _ in range(2):
+        tables = lake.run_lake(spark, f"{root}/raw", f"{root}/processed", f"{root}/curated", as_of())
+    catalog.register_catalog(spark, "feedlake_lake", processed=f"{root}/processed")
+    scanned = reduce(
+        DataFrame.unionByName,
+        [zones.scan_processed(spark, f"{root}/processed", s).groupBy("source").agg(F.count(F.lit(1)).alias("posts")) for s in feeds],
+    )
+    listed = reduce(
+        DataFrame.unionByName,
+        [spark.table(f"feedlake_lake.processed_{s}").groupBy("source").agg(F.count(F.lit(1)).alias("catalog")) for s in feeds],
+    )
+    rolled = tables["source_summary"].select("source", F.col("total_posts").alias("rollup"))
+    return scanned.join(listed, "source").join(rolled, "source")
+
+
 @query(
     "register_catalog",
     f"""WITH {posts_sql('events')} SELECT 'processed_click' AS name, count(*) AS rows FROM p WHERE source = 'click'
@@ -239,13 +338,22 @@ def register_catalog(spark, sf):
 
 @query(
     "sql_raw_sample",
-    f"""SELECT CAST(event_id AS VARCHAR) AS id, props AS content, CAST(NULL AS VARCHAR) AS author,
-    CAST(NULL AS VARCHAR) AS collected_at, CAST(NULL AS VARCHAR) AS keywords, CAST(NULL AS VARCHAR) AS categories,
-    CAST(NULL AS BOOLEAN) AS is_remapped FROM events ORDER BY id LIMIT 100""",
+    """SELECT CAST(event_id AS VARCHAR) AS id, props AS content, event_type AS author, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS collected_at,
+    event_type || '|x' AS keywords, CASE WHEN value > 50 THEN 'high' ELSE '' END AS categories, value > 50 AS is_remapped
+    FROM events ORDER BY id LIMIT 100""",
 )
 def sql_raw_sample(spark, sf):
-    root = scratch_dir(spark, "raw")
-    _event_lines(spark, sf).drop("year", "month", "day").write.json(f"{root}/bluesky")
+    root, high = scratch_dir(spark, "raw"), F.col("value") > 50
+    lines = table(spark, sf, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("props").alias("content"),
+        F.col("event_type").alias("author"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("collected_at"),
+        F.array("event_type", F.lit("x")).alias("keywords"),
+        F.when(high, F.array(F.lit("high"))).otherwise(F.array().cast("array<string>")).alias("categories"),
+        high.alias("is_remapped"),
+    )
+    lines.write.json(zones.raw_path(root, "bluesky"))
     catalog.register_catalog(spark, "feedlake_raw", raw=root, sources=("bluesky",))
     return saved_sql.run_sql(
         spark, saved_sql.SAVED["raw_sample"].replace("FROM raw_bluesky", "FROM feedlake_raw.raw_bluesky")
@@ -266,7 +374,24 @@ def discover_schema(spark, sf):
     click = F.col("source") == "click"
     lines.where(click).select("id", "source", "content").write.mode("append").parquet(root)
     lines.where(~click).select("id", "source", "value").write.mode("append").parquet(root)
-    return catalog.discover_schema(spark, root)
+    return catalog.discover_schema(spark, root, filled=True)
+
+
+@query(
+    "update_table",
+    """SELECT event_id AS id, CASE WHEN event_type <> 'click' THEN value END AS value, event_type AS source FROM events""",
+)
+def update_table(spark, sf):
+    """A table of one column set, whose folder gets files with a further column."""
+    root, name = f"{scratch_dir(spark, 'grown')}/events", "feedlake_grown"
+    lines, click = _event_lines(spark, sf), F.col("source") == "click"
+    lines.where(click).select("id", "source").write.parquet(root)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (id bigint, source string) USING parquet LOCATION '{root}'")
+    lines.where(~click).select("id", "source", "value").write.mode("append").parquet(root)
+    catalog.update_table(spark, name, root)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).select("id", "source", "value")
 
 
 @query("export_csv", SQL["growth_rate"])
@@ -277,11 +402,22 @@ def export_csv(spark, sf):
     return zones.read_csv(spark, path, growth.schema)
 
 
-@query("zone_inventory")
+@query(
+    "zone_inventory",
+    """SELECT 'given' AS zone, CAST(14 AS BIGINT) AS files, true AS filled
+    UNION ALL SELECT 'raw', count(DISTINCT CAST(ts AS DATE)), true FROM events""",
+)
 def zone_inventory(spark, sf):
-    return inventory.zone_inventory(spark, {"given": sf, "raw": _raw_zone(spark, sf)})
+    """The given tables, one file each, and a raw zone of one file per day."""
+    found = inventory.zone_inventory(spark, {"given": sf, "raw": _daily_files(spark, sf)})
+    return found.select("zone", "files", (F.col("bytes") > 0).alias("filled"))
 
 
-@query("zone_files")
+@query(
+    "zone_files",
+    """SELECT DISTINCT strftime(ts, 'year=%Y/month=%m/day=%d') AS folder, true AS filled FROM events ORDER BY folder LIMIT 100""",
+)
 def zone_files(spark, sf):
-    return inventory.zone_files(spark, sf, "")
+    """The first hundred files, which have a day's folder as their known part."""
+    files = inventory.zone_files(spark, _daily_files(spark, sf), "year=")
+    return files.select(F.regexp_replace("name", "/[^/]*$", "").alias("folder"), (F.col("size_kb") > 0).alias("filled"))

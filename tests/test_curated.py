@@ -1,5 +1,6 @@
 """Curated tables on small posts, and relations that must hold between them."""
 
+import json
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -78,9 +79,6 @@ def test_cross_sources(spark):
     assert set(rows) == {"two", "three"}
     assert rows["two"].sources_list == ["a", "b"] and rows["two"].source_mentions == [1, 2]
     assert not rows["two"].is_viral and rows["three"].is_viral
-    repeats = {r.keyword: r.sources_list for r in curated.with_repeats(cross).collect()}
-    listed = curated.explode_keywords(posts).groupBy("keyword").agg(F.array_sort(F.collect_list("source")).alias("l"))
-    assert repeats == {r.keyword: r.l for r in listed.collect() if r.keyword in rows}
 
 
 def test_summaries_of_nothing(spark):
@@ -181,13 +179,88 @@ def test_scans_skip_what_is_missing(spark, tmp_path):
     assert lake.run_lake(spark, f"{root}/no_raw", f"{root}/no_processed", f"{root}/out") is None
 
 
-def test_bad_lines(spark, tmp_path):
-    (tmp_path / "f.json").write_text('{"id": "1"}\nnot json\n{"id": "2"}\n')
-    assert zones.scan_raw_jsonl(spark, str(tmp_path), "id string").count() == 2
-    kept = zones.scan_raw_jsonl(spark, str(tmp_path), "id string", keep_bad_lines=True).cache()
-    assert [r[0] for r in kept.where("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()] == ["not json"]
-    kept.unpersist()
-    assert [r.value for r in inventory.preview(spark, str(tmp_path), 2).collect()] == ['{"id": "1"}', "not json"]
+def test_no_line_is_lost(spark, tmp_path):
+    """Mistyped fields, cut lines, fields that are not declared: as many rows whatever is asked for."""
+    lines = ['{"id": "1", "score": 1, "likes": 7}', "not json", '{"id": "2", "score": "n/a"}', "", '{"id": "3", "score": 2.5, "Extra": {"a": [1]}}']
+    (tmp_path / "f.json").write_text("\n".join(lines))
+    records = zones.scan_raw_jsonl(spark, str(tmp_path), "id string, score int", discover=True)
+    assert records.count() == records.select("id").count() == records.select("score").count() == 4
+    found = {r["id"]: r for r in records.collect()}
+    assert found["1"].score == 1 and found["1"].likes == "7" and found["1"][zones.CORRUPT] is None
+    assert found["2"].score is None and found["2"][zones.CORRUPT] == lines[2]
+    assert found["3"].score is None and found["3"].Extra == '{"a":[1]}'
+    assert found[None][zones.CORRUPT] == "not json"
+    assert [r.value for r in inventory.preview(spark, str(tmp_path), 2).collect()] == lines[:2]
+
+
+def drop_lines(folder, name, lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(json.dumps(line) for line in lines))
+
+
+def news(i, **more):
+    return {"id": i, "title": f"t{i}", "text": f"text {i}", "timestamp": 1704067200 + i * 60, "source": "hackernews", **more}
+
+
+def test_a_second_run_adds_nothing(spark, tmp_path):
+    raw, processed, out = (str(tmp_path / n) for n in ("raw", "processed", "curated"))
+    drop_lines(tmp_path / "raw" / "hackernews", "1.json", [news(i) for i in range(10)])
+    for _ in range(2):
+        tables = lake.run_lake(spark, raw, processed, out)
+        assert tables["global_summary"].first().total_posts == 10
+    drop_lines(tmp_path / "raw" / "hackernews", "2.json", [news(3), news(10)])
+    assert lake.run_lake(spark, raw, processed, out)["global_summary"].first().total_posts == 12  # an id of two batches is two posts
+    catalog.register_catalog(spark, "feedlake_rerun", processed=processed, sources=("hackernews",))
+    assert spark.table("feedlake_rerun.processed_hackernews").count() == 12
+
+
+def test_unique_ids_across_batches(spark, tmp_path):
+    raw, processed, out = (str(tmp_path / n) for n in ("raw", "processed", "curated"))
+    for name, ids in (("1.json", (1, 2)), ("2.json", (2, 3))):
+        drop_lines(tmp_path / "raw" / "hackernews", name, [news(i) for i in ids])
+        tables = lake.run_lake(spark, raw, processed, out, unique=True)
+    assert tables["global_summary"].first().total_posts == 3
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    folder = tmp_path / "raw" / "hackernews"
+    drop_lines(folder, "1.json", [news(1, score="many"), news(2)])
+    (folder / "2.json").write_text('{"id": 3, "tit')
+    tables = lake.run_lake(spark, str(tmp_path / "raw"), str(tmp_path / "processed"), str(tmp_path / "out"))
+    assert tables["global_summary"].first().total_posts == 2
+    bad = [r.value for r in lake.bad_lines(spark, str(tmp_path / "processed"), "hackernews").collect()]
+    assert len(bad) == 2 and '{"id": 3, "tit' in bad
+
+
+def test_source_names_stay_text(spark, tmp_path):
+    zones.write_processed(frame(spark, [post("1", "007")]), str(tmp_path), "007")
+    assert zones.scan_processed(spark, str(tmp_path), "007").first().source == "007"
+
+
+def test_other_errors_are_not_taken_for_missing_folders(spark, tmp_path):
+    (tmp_path / "rss").mkdir()
+    (tmp_path / "rss" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        zones.scan_sources(spark, str(tmp_path))
+
+
+def test_tables_take_new_columns(spark, tmp_path, caplog):
+    path = str(tmp_path / "t")
+    spark.range(3).selectExpr("id", "id AS old").write.parquet(path)
+    spark.sql("DROP TABLE IF EXISTS feedlake_columns")
+    spark.sql(f"CREATE TABLE feedlake_columns (id bigint, gone string) USING parquet LOCATION '{path}'")
+    assert catalog.update_table(spark, "feedlake_columns", path) == ["old"]
+    assert "gone" in caplog.text and spark.table("feedlake_columns").columns == ["id", "gone", "old"]
+    assert {r.column: r.type for r in catalog.discover_schema(spark, path).collect()} == {"id": "bigint", "old": "bigint"}
+
+
+def test_scratch_is_gone_after_a_build(spark, tmp_path):
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    lake.build_curated(frame(spark, many()), str(tmp_path))
+    assert set(os.listdir(base)) == before
 
 
 def test_rss_files(spark, tmp_path):

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from feedlake.session import build_session, scratch_dir
+from feedlake.sources import zones
 from feedlake.streaming import live
 
 DAY = datetime(2024, 1, 1)
@@ -21,8 +22,10 @@ def record(id_, day, source="a"):
 
 
 def run_dedup(spark, base):
+    """The time of arrival is in the records, so that a test can let days pass."""
     records = spark.readStream.schema("id string, source string, at timestamp").json(str(base / "in"))
-    live.write_parquet(live.drop_seen(records, "at"), str(base / "out"), str(base / "cp"), available_now=True).awaitTermination()
+    fresh = live.drop_seen(records, arrived=F.col("at"))
+    live.write_parquet(fresh, str(base / "out"), str(base / "cp"), available_now=True).awaitTermination()
     return sorted((r.id, r.source, (r.at - DAY).days) for r in spark.read.parquet(str(base / "out")).collect())
 
 
@@ -32,9 +35,17 @@ def test_an_id_is_forgotten_after_the_ttl(spark, tmp_path):
     assert run_dedup(spark, tmp_path) in ([("x", "a", 0), ("x", "b", 0)], [("x", "a", 1), ("x", "b", 0)])
     drop_file(tmp_path / "in", "2.json", [record("x", 5), record("y", 20)])
     assert len(run_dedup(spark, tmp_path)) == 3
-    drop_file(tmp_path / "in", "3.json", [record("x", 21), record("z", 1)])
-    found = run_dedup(spark, tmp_path)
-    assert ("x", "a", 21) in found and not [r for r in found if r[0] == "z"]
+    drop_file(tmp_path / "in", "3.json", [record("x", 21)])
+    assert ("x", "a", 21) in run_dedup(spark, tmp_path)
+
+
+def test_an_old_record_never_seen_is_kept(spark, tmp_path):
+    """The clock is that of arrival: the time in a record says nothing about having seen it."""
+    for name, rows in (("1.json", [record("x", 30)]), ("2.json", [record("y", 0), record("x", 0)]), ("3.json", [record("z", 1)])):
+        drop_file(tmp_path / "in", name, rows)
+        records = spark.readStream.schema("id string, source string, at timestamp").json(str(tmp_path / "in"))
+        live.write_parquet(live.drop_seen(records), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["x", "y", "z"]
 
 
 def test_raw_zone_keeps_each_message_once(spark, tmp_path):
@@ -46,10 +57,24 @@ def test_raw_zone_keeps_each_message_once(spark, tmp_path):
         drop_file(tmp_path / "in", f"{part}.json", [message(part * 4 + i) for i in range(4)])
         messages = live.read_message_files(spark, str(tmp_path / "in"), max_files=1)
         live.write_raw_zone(messages, str(tmp_path / "raw"), str(tmp_path / "cp"), available_now=True).awaitTermination()
-    lines = spark.read.text(str(tmp_path / "raw")).collect()
-    assert sorted(json.loads(r.value)["id"] for r in lines) == list(range(12))
-    assert {(r.source, r.hour) for r in lines} == {(s, h) for s in ("rss", "nostr") for h in (0, 1, 2)}
-    assert spark.read.text(str(tmp_path / "raw")).where("source = 'rss' AND hour = 1").count() == 2
+    found = {}
+    for source in ("rss", "nostr"):
+        path = zones.raw_path(str(tmp_path / "raw"), source)
+        found[source] = zones.scan_raw_hours(spark, path, "id int").collect()
+        assert spark.read.option("recursiveFileLookup", True).text(path).count() == len(found[source])
+    assert sorted(r.id for rows in found.values() for r in rows) == list(range(12))
+    assert {(s, r.hour) for s, rows in found.items() for r in rows} == {(s, h) for s in found for h in (0, 1, 2)}
+
+
+def test_messages_of_several_lines_are_one_line(spark, tmp_path):
+    value = json.dumps({"id": "1", "content": "a\nb", "_ingested_at": "2024-01-01T00:00:00"}, indent=2)
+    drop_file(tmp_path / "in", "1.json", [{"topic": "rss", "key": "1", "value": value}, {"topic": "rss", "key": "2", "value": "no\njson"}])
+    messages = live.read_message_files(spark, str(tmp_path / "in"))
+    live.write_raw_zone(messages, str(tmp_path / "raw"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    rows = zones.scan_raw_jsonl(spark, zones.raw_path(str(tmp_path / "raw"), "rss"), "id string, content string").collect()
+    assert sorted(((r.id, r.content, r[zones.CORRUPT]) for r in rows), key=str) == [("1", "a\nb", None), (None, None, "no json")]
+    parsed = live.parse_messages(spark.read.schema(live.MESSAGE).json(str(tmp_path / "in")), "id string")
+    assert sorted((r.id, r[zones.CORRUPT]) for r in parsed.collect() if r.id) == [("1", None)] and parsed.count() == 2
 
 
 def test_envelope(spark):
@@ -62,14 +87,14 @@ def test_envelope(spark):
     }
 
 
-def test_rate_counts_only_closed_windows(spark, tmp_path):
-    rows = [{"source": "a", "at": (DAY + timedelta(seconds=s)).isoformat()} for s in (0, 59, 60, 300)]
-    drop_file(tmp_path / "in", "1.json", rows)
-    records = spark.readStream.schema("source string, at timestamp").json(str(tmp_path / "in"))
-    rate = live.post_rate(records, "at")
-    live.write_parquet(rate, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
-    found = sorted((r.window_start, r.posts) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert found == [(DAY, 2), (DAY + timedelta(seconds=60), 1)]
+def test_rate_counts_all_windows(spark, tmp_path):
+    """Windows that are still open when the stream stops, and one that a second run goes on with."""
+    for name, seconds in (("1.json", (0, 59, 60, 300)), ("2.json", (310,))):
+        drop_file(tmp_path / "in", name, [{"source": "a", "at": (DAY + timedelta(seconds=s)).isoformat()} for s in seconds])
+        records = spark.readStream.schema("source string, at timestamp").json(str(tmp_path / "in"))
+        live.write_rate(live.post_rate(records, "at"), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    found = sorted((r.window_start, r.posts) for r in live.read_rate(spark, str(tmp_path / "out")).collect())
+    assert found == [(DAY, 2), (DAY + timedelta(seconds=60), 1), (DAY + timedelta(seconds=300), 2)]
 
 
 def test_replay(spark):
@@ -80,7 +105,10 @@ def test_replay(spark):
 
 
 def test_kafka_options():
-    assert live.kafka_options("h:9092", ["a", "b"])["subscribe"] == "a,b"
+    options = live.kafka_options("h:9092", ["a", "b"])
+    assert options["subscribe"] == "a,b" and "maxOffsetsPerTrigger" not in options
+    assert options["minOffsetsPerTrigger"] == "20000" and options["maxTriggerDelay"] == "300 seconds"
+    assert live.kafka_options("h:9092", max_records=5)["maxOffsetsPerTrigger"] == "5"
     assert live.replay_options("h:9092", "a", 5)["startingTimestamp"] == "5"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.taxonomy import INLINE_LIMIT, Taxonomy
 from feedlake.functions.text import clean_content, clean_html
-from feedlake.operators.tagging import match_keywords, tag_by_join, tag_posts
+from feedlake.operators.tagging import match_keywords, remap_by_join, tag_by_join, tag_posts
 
 SYNONYMS = {"love": "python", "all": "search", "people": "community", "great": "node", "work": "career", "less": "redis"}
 WORDS = Taxonomy(
@@ -122,12 +122,48 @@ def test_join_equals_literals(spark):
     dictionary = spark.createDataFrame(rows, "keyword string, category string, category_rank int")
     df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
     category = WORDS.category_of()
-    for r in tag_by_join(df, dictionary, key="n").collect():
-        expected = brute_force(r.text or "")
+    tagged = tag_by_join(df, dictionary, key="n").collect()
+    assert sorted(r.n for r in tagged) == list(range(len(texts)))
+    for r in tagged:
+        expected = brute_force(texts[r.n] or "")
         assert r.keywords == expected
         assert r.categories == sorted({category[k] for k in expected if k in category})
 
 
+def test_rows_of_one_key_keep_their_own_keywords(spark):
+    dictionary = spark.createDataFrame([("kafka", None, None), ("spark", None, None)], "keyword string, category string, category_rank int")
+    df = spark.createDataFrame([(1, "kafka here"), (1, "only spark"), (None, "spark"), (2, None)], "id int, text string")
+    rows = tag_by_join(df, dictionary).collect()
+    assert sorted(str(r.keywords) for r in rows) == ["['kafka']", "['spark']", "['spark']", "[]"]
+
+
+def test_texts_are_not_shuffled(spark):
+    dictionary = spark.range(50_000).selectExpr("'w' || id AS keyword", "'c' AS category", "1 AS category_rank")
+    df = spark.range(100).selectExpr("id", "repeat('w1 w2 ', 3) AS text")
+    tagged = tag_by_join(df, dictionary)
+    tagged.collect()
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    from_texts = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert from_texts and not any("text#" in line for line in from_texts)
+
+
+def test_remap_by_join_equals_literals(spark):
+    """Any-size remapping finds and rewrites what the dictionary in the plan does."""
+    texts = random_texts(200, seed=9) + ["Love kafka, LOVE all!", "all (all) love", None]
+    rows = [(k, None, None) for k in WORDS.keywords]
+    rows += [(w, c, i) for i, (c, ws) in enumerate(WORDS.categories) for w in ws if w in WORDS.keywords]
+    dictionary = spark.createDataFrame(rows, "keyword string, category string, category_rank int")
+    synonyms = spark.createDataFrame(list(WORDS.synonyms.items()), "word string, target string")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    small = Taxonomy.from_tables(dictionary, synonyms)
+    columns = ["id", "old_content", "original_keywords", "mapped_keywords", "categories", "is_remapped"]
+    one = {r.id: r for r in tag_posts(df, small).collect()}
+    for r in remap_by_join(df, dictionary, synonyms).collect():
+        assert [r[c] for c in columns] == [one[r.id][c] for c in columns], texts[r.id]
+        if len(set(r.original_keywords)) <= 1:  # of several synonyms the order of rewriting may differ
+            assert r.content == one[r.id].content
+
+
 def test_taxonomy_from_tables(spark):
     kw = spark.createDataFrame(
         [("Kafka", "data", 1), ("kafka", "tech", 0), ("python", None, None)],

@@ -92,6 +92,16 @@ def test_defaults_and_bad_numbers(spark):
     assert r.processed_at is not None and r.collected_at is not None
 
 
+def test_first_filled_name_of_each_row(spark):
+    """Fields that were not declared come as text; each row has its value under another name."""
+    ddl = "id string, content string, views int, view_count string, collected_at string, timestamp bigint, keywords string"
+    rows = [("1", "a", 3, None, None, 1704067200, '["k", "l"]'), ("2", "b", None, "7", "2024-01-03T00:00:00Z", None, None), ("3", "c", None, "x", None, None, None)]
+    found = {r.id: r for r in posts_of(spark, rows, ddl, "stackoverflow").collect()}
+    assert [found[i].view_count for i in "123"] == [3, 7, 0]
+    assert [found[i].collected_at for i in "123"] == [datetime(2024, 1, 1), datetime(2024, 1, 3), None]
+    assert [found[i].keywords for i in "123"] == [["k", "l"], None, None] and found["1"].has_keywords
+
+
 def test_nostr_keywords_are_tag_names(spark):
     ddl = "id string, content string, created_at bigint, tags array<array<string>>, mapped_keywords array<string>"
     r = posts_of(spark, [("1", "t", 0, [["t", "x"], []], ["k"])], ddl, "nostr").first()
@@ -140,7 +150,8 @@ def test_rss_digest_of_the_first_filled_key(spark):
         "tags array<struct<term:string>>, feed_name string, feed_url string"
     )
     rows = [("", "l", "t", None, "s" * 600, None, None, "f", "u"), (None, "", "t", None, None, None, [("x",)], "f", "u")]
-    r = normalize_rss(spark.createDataFrame(rows, ddl)).collect()
+    assert len(normalize_rss(spark.createDataFrame(rows, ddl)).first().summary) == 600
+    r = normalize_rss(spark.createDataFrame(rows, ddl), summary_chars=500).collect()
     import hashlib
 
     assert [x.id for x in r] == [hashlib.md5(k.encode()).hexdigest() for k in ("l", "t")]
