@@ -66,16 +66,19 @@ def remainder(doc_id: str | Column, of: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 
 
-def sampled(labelled: DataFrame, per_class: str, most: int, *key: str) -> DataFrame:
+def sampled(labelled: DataFrame, per_class: str, most: int, sizes: dict, *key: str) -> DataFrame:
     """About ``most`` rows of every class at most, picked by a hash of ``key``.
 
-    One narrow count, then a filter: nothing is sorted or shuffled, and the same rows are
-    picked wherever they lie.  A class of at most ``most`` rows stays whole.
+    ``sizes``: rows of each class, of which there are few.  A filter: nothing is sorted or shuffled, and
+    the same rows are picked wherever they lie.  A class of at most ``most`` rows stays whole.
     """
-    size, share = fresh(labelled, "class_rows"), 1 << 20
-    counts = labelled.groupBy(F.col(per_class)).agg(F.count(F.lit(1)).alias(size)).filter(F.col(size) > most)
-    picked = F.pmod(F.xxhash64(*key), F.lit(share)) * F.col(size) < most * share
-    return labelled.join(counts, per_class, "left").filter(F.col(size).isNull() | picked).drop(size)
+    share = 1 << 20
+    place = F.pmod(F.xxhash64(*key), F.lit(share))
+    least = {name: most * share // rows for name, rows in sizes.items() if rows > most}
+    picked = F.lit(True)
+    for name, below in sorted(least.items()):
+        picked = F.when(F.col(per_class) == F.lit(name), place < below).otherwise(picked)
+    return labelled.filter(picked)
 
 
 #: Bytes to words: A-Z in lower case, letters and digits and all bytes of non-ASCII characters kept, the rest blank.

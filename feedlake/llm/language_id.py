@@ -40,7 +40,7 @@ _HELD = 200_000
 @dataclass(frozen=True)
 class Settings:
     sample_rows: int = 5_000
-    min_share: float = 2e-6
+    min_share: float = 1e-5
     orders: tuple[int, ...] = (5, 4, 3, 2, 1)
     smoothing: float = 0.5
 
@@ -154,18 +154,22 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", set
     ship(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["rows"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    counted = store(count_words(sampled(rows, "lang", settings.sample_rows, "text")), "words")
+    counted = store(count_words(sampled(rows, "lang", settings.sample_rows, sizes, "text")), "words")
     grams = store(
         count_grams(counted, settings.orders).unionByName(
             counted.select("lang", F.lit(0).alias("order"), F.col("word").alias("gram"), "n")
         ),
         "grams",
     )
-    totals = grams.groupBy("lang", "order").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    least = totals.select("lang", "order", (F.col("total") * settings.min_share).alias("least"))
-    known = grams.join(least, ["lang", "order"]).filter("n >= least").select("order", "gram").distinct()
+    # One row per language and order.
+    totals = grams.groupBy("lang", "order").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).toPandas()
+    often = F.lit(False)
+    for row in totals.itertuples():
+        here = (F.col("lang") == row.lang) & (F.col("order") == row.order)
+        often = F.when(here, F.col("n") >= row.total * settings.min_share).otherwise(often)
+    known = grams.filter(often).select("order", "gram").distinct()
     kept = grams.join(known, ["order", "gram"], "left_semi")
-    return Model.build(kept.toPandas(), totals.toPandas(), sizes, settings)
+    return Model.build(kept.toPandas(), totals, sizes, settings)
 
 
 def predictor(model: Model, spark):

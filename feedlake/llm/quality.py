@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r["label"]: r["rows"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).collect()}
     share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
     # Bounded by twice ``sample_rows``, whatever the size of the tables.
-    picked = F.broadcast(sampled(known, "label", settings.sample_rows, "id"))
+    picked = F.broadcast(sampled(known, "label", settings.sample_rows, sizes, "id"))
 
     @F.pandas_udf("array<int>")
     def turned(texts: pd.Series) -> pd.Series:
