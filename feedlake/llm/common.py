@@ -52,6 +52,15 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def beside(small: DataFrame, most: int = 500_000) -> DataFrame:
+    """A stored table of narrow rows, as the other side of a join with texts.
+
+    Of at most ``most`` rows, which are counted, it is sent to every task and the texts stay
+    where they are; a larger one is joined by hash, which shuffles texts but does not sort them.
+    """
+    return F.broadcast(small) if small.count() <= most else small.hint("shuffle_hash")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

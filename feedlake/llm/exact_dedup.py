@@ -16,13 +16,14 @@ their names, are carried along untouched by ``drop_copies`` and not read by ``de
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import fresh, ship
+from feedlake.llm.common import beside, fresh, ship, store
 
 FILTER = "quotient long, remainders binary, counts binary"
 
@@ -93,38 +94,44 @@ def repeated(merged: DataFrame, bits: int, name: str) -> DataFrame:
     return merged.mapInPandas(read, f"`{name}` long")
 
 
-def equal_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Groups of two rows or more with the same text: ``digest``, ``keep_id``, ``group_size``.
+def suspect_fingerprints(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """Fingerprints that stand for two rows or more, as a stored table with one column."""
+    ship(docs.sparkSession)
+    bits = quotient_bits(docs)
+    prints = docs.select(F.xxhash64(_text(text_col)).alias(name))
+    return store(repeated(merge_filters(partition_filters(prints, bits)), bits, name), "fingerprints")
+
+
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col), F.lit(""))
+
+
+def equal_texts(suspects: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Groups of two rows or more with the same text, as a stored table: ``digest``, ``keep_id``, ``group_size``.
 
     Suspects are grouped by the text itself, which compares bytes; equal texts combine before
     the shuffle, so a text that a third of all rows share arrives once per task.  The SHA-256
     names a group afterwards.  Should two verified texts ever share it, the job stops.
     """
-    ship(docs.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("fingerprint"))
-    bits = quotient_bits(docs)
-    merged = merge_filters(partition_filters(rows.select("fingerprint"), bits))
-    suspects = rows.join(repeated(merged, bits, "fingerprint").hint("shuffle_hash"), "fingerprint", "left_semi")
-    groups = suspects.groupBy("text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    rows = suspects.select(F.col(id_col).alias("id"), _text(text_col).alias("text"))
+    groups = rows.groupBy("text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     verified = groups.filter("group_size > 1").select(F.sha2("text", 256).alias("digest"), "keep_id", "group_size")
-    return (
-        verified.groupBy("digest")
-        .agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts"))
-        .withColumn("group_size", F.expr("if(texts > 1, raise_error('two texts share one SHA-256'), group_size)"))
-        .drop("texts")
+    named = verified.groupBy("digest").agg(
+        F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
     )
+    alone = F.expr("if(texts > 1, raise_error('two texts share one SHA-256'), group_size)")
+    return store(named.withColumn("group_size", alone).drop("texts"), "groups")
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    units = (
-        docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("digest"))
-        .groupBy("doc_id", "digest")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    found = units.join(equal_texts(docs, id_col, text_col), "digest", "left")
+    name = "fingerprint"
+    rows = docs.select(F.col(id_col).alias("id"), _text(text_col).alias("text"), F.xxhash64(_text(text_col)).alias(name))
+    suspects = rows.join(beside(suspect_fingerprints(docs, text_col, name)), name, "left_semi")
+    groups = equal_texts(suspects, "id", "text")
+    units = rows.groupBy(F.col("id").alias("doc_id"), F.sha2("text", 256).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))
+    # A text that very many rows share meets its one group: both sides come from a shuffle, so AQE can split them.
+    found = units.join(groups.hint("rebalance"), "digest", "left")
     alone = F.col("group_size").isNull()
     return found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
         "doc_id",
@@ -137,10 +144,13 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    digest, keep, size = (fresh(docs, c) for c in ("digest", "keep_id", "group_size"))
-    groups = equal_texts(docs, id_col, text_col).toDF(digest, keep, size)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.withColumn(digest, F.sha2(text, 256)).join(groups.hint("shuffle_hash"), digest, "left")
-    alone = found.filter(F.col(size).isNull())
+    name, digest, keep, size = (fresh(docs, c) for c in ("fingerprint", "digest", "keep_id", "group_size"))
+    marked = docs.withColumn(name, F.xxhash64(_text(text_col)))
+    prints = beside(suspect_fingerprints(docs, text_col, name))
+    suspects = marked.join(prints, name, "left_semi")
+    groups = beside(equal_texts(suspects, id_col, text_col).toDF(digest, keep, size))
+    found = suspects.withColumn(digest, F.sha2(_text(text_col), 256)).join(groups, digest, "left")
+    single = found.filter(F.col(size).isNull())
     chosen = found.filter(F.col(size).isNotNull() & F.col(id_col).eqNullSafe(F.col(keep))).dropDuplicates([digest])
-    return alone.unionByName(chosen).select(*[F.col(f"`{c}`") for c in docs.columns])
+    parts = [marked.join(prints, name, "left_anti"), single, chosen]
+    return reduce(DataFrame.unionByName, [p.select(*[F.col(f"`{c}`") for c in docs.columns]) for p in parts])

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import blank_words, fresh, ship, store
+from feedlake.llm.common import beside, blank_words, fresh, ship, store
 from feedlake.llm.components import components
 
 WIDTH = 5
@@ -112,8 +112,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
 
     udf = F.pandas_udf(full, "s1 long, s2 long, found array<long>").asNondeterministic()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    wanted = nodes.select("node", "first_id", "d1", "d2", "n")
-    texts = rows.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("first_id")))
+    wanted = store(nodes.select("node", "first_id", "d1", "d2", "n"), "wanted")
+    texts = rows.join(beside(wanted), F.col("id").eqNullSafe(F.col("first_id")))
     own = texts.withColumn("set", udf("text")).filter("set.s1 = d1 AND set.s2 = d2")
     return own.select("node", "n", "set.found")
 
@@ -268,4 +268,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gone, key = fresh(docs, "gone_id"), fresh(docs, "gone_key")
     dropped = decide(docs, id_col, text_col, width, percent).filter("NOT kept").select("doc_id", "text_key").distinct()
     this = F.col(id_col).eqNullSafe(F.col(gone)) & (F.xxhash64(F.col(text_col)) == F.col(key))
-    return docs.join(dropped.toDF(gone, key).hint("shuffle_hash"), this, "left_anti")
+    return docs.join(beside(store(dropped.toDF(gone, key), "dropped")), this, "left_anti")
