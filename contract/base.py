@@ -23,7 +23,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(c.cast("array<string>"), "|")
+            c = F.array_join(c.cast("array<string>"), "|", "<null>")
         elif isinstance(f.dataType, T.MapType):
             c = F.array_join(
                 F.transform(

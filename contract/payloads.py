@@ -269,7 +269,7 @@ def extras_bluesky(spark, sf):
     "extras_nostr",
     f"""WITH {tagged_sql(NOSTR_SQL, keep='id, pubkey, created_at, kind, tags')} SELECT id, pubkey,
     {ts("TIMESTAMP '1970-01-01' + to_seconds(created_at)")} AS created_at, kind,
-    replace(tags, ',', '|') AS keywords, true AS has_keywords FROM tagged
+    CASE WHEN contains(tags, ',') THEN replace(tags, ',', '|') ELSE tags || '|<null>' END AS keywords, true AS has_keywords FROM tagged
     WHERE len(mapped_keywords) > 0 AND {CLEAN.format('content')} <> ''""",
 )
 def extras_nostr(spark, sf):

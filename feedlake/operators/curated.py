@@ -22,10 +22,26 @@ SHORT_KEYWORD = 2
 # --- rollups -------------------------------------------------------------------------
 
 
+def slim_posts(posts: DataFrame) -> DataFrame:
+    """What the rollups need of each post, without its text: one pass over the posts serves all of them.
+
+    ``content_length``, and ``tags``: the keywords that count, in lower case, and the categories.
+    """
+    return posts.select(
+        "id",
+        "source",
+        "collected_at",
+        "is_remapped",
+        "has_keywords",
+        F.length("content_clean").alias("content_length"),
+        _tags(posts).alias("tags"),
+    )
+
+
 def activity_rollup(posts: DataFrame, threshold: int = LONG_POST, by_hour: bool = True) -> DataFrame:
     """Additive measures per date, hour, weekday and source, or per date and source alone."""
     at = F.col("collected_at")
-    length = F.length("content_clean")
+    length = F.col("content_length") if "content_length" in posts.columns else F.length("content_clean")
     hours = [F.hour(at).alias("hour"), F.dayofweek(at).alias("day_of_week")] if by_hour else []
     return posts.groupBy(F.to_date(at).alias("date"), "source", *hours).agg(
         F.count("id").alias("posts"),
@@ -78,21 +94,19 @@ def unique_rollup(posts: DataFrame, iso_year: bool = False) -> DataFrame:
     )
 
 
-def explode_tags(posts: DataFrame) -> DataFrame:
-    """One row per post and tag: (id, date, source, kind, tag), from a single scan.
+def _tags(posts: DataFrame) -> Column:
+    """(kind, tag) of the keywords and categories of a post.
 
     Keywords are in lower case.  One of two characters or fewer counts only where it
     stands alone between spaces in the content; categories are taken as they are.
     """
-    # Computed once per post, and only where a keyword needs it.
+    # The text is looked at only where a keyword needs it.
     short = F.exists("keywords", lambda k: F.length(k) <= SHORT_KEYWORD)
-    posts = posts.withColumn(
-        "_padded", F.when(short, F.concat(F.lit(" "), F.lower("content_clean"), F.lit(" ")))
-    )
+    padded = F.when(short, F.concat(F.lit(" "), F.lower("content_clean"), F.lit(" ")))
     keywords = F.filter(
         F.transform("keywords", F.lower),
         lambda k: F.when(
-            F.length(k) <= SHORT_KEYWORD, F.col("_padded").contains(F.concat(F.lit(" "), k, F.lit(" ")))
+            F.length(k) <= SHORT_KEYWORD, padded.contains(F.concat(F.lit(" "), k, F.lit(" ")))
         ).otherwise(True),
     )
 
@@ -100,12 +114,13 @@ def explode_tags(posts: DataFrame) -> DataFrame:
         rows = F.transform(tags, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("tag")))
         return F.coalesce(rows, F.array().cast("array<struct<kind:string,tag:string>>"))
 
-    return posts.select(
-        "id",
-        F.to_date("collected_at").alias("date"),
-        "source",
-        F.inline(F.concat(tagged("keyword", keywords), tagged("category", F.col("categories")))),
-    )
+    return F.concat(tagged("keyword", keywords), tagged("category", F.col("categories")))
+
+
+def explode_tags(posts: DataFrame) -> DataFrame:
+    """One row per post and tag: (id, date, source, kind, tag), from a single scan."""
+    tags = F.col("tags") if "content_length" in posts.columns else _tags(posts)
+    return posts.select("id", F.to_date("collected_at").alias("date"), "source", F.inline(tags))
 
 
 def explode_keywords(posts: DataFrame) -> DataFrame:

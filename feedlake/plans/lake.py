@@ -49,19 +49,20 @@ def build_curated(
 ) -> None:
     """Write all curated tables below ``root``.
 
-    The posts are read three times, each time only the columns of one rollup, instead of
-    being cached whole: the rollups are written once to the shared folder, and the tables
-    are computed from these small copies.
+    The posts, and whatever tagging lies behind them, are gone through once: a copy without
+    texts is written to the shared folder, the three rollups are made from it, and the tables
+    from the rollups.  All of it is deleted when the tables are written.
     """
     spark = posts.sparkSession
     current = filter_future(posts, as_of)
-    rollups = {
-        "activity": curated.activity_rollup(current),
-        "uniques": curated.unique_rollup(current, iso_year),
-        "tags": curated.tag_rollup(current),
-    }
     # Jobs that do not depend on each other: several at a time keep the cluster busy.
     with scratch(spark, "rollups") as folder, ThreadPoolExecutor(WRITERS) as pool:
+        slim = write_and_reload(curated.slim_posts(current), f"{folder}/posts")
+        rollups = {
+            "activity": curated.activity_rollup(slim),
+            "uniques": curated.unique_rollup(slim, iso_year),
+            "tags": curated.tag_rollup(slim),
+        }
         written = pool.map(lambda item: write_and_reload(item[1], f"{folder}/{item[0]}"), rollups.items())
         tables = curated_tables(*written, iso_year)
         list(pool.map(lambda item: zones.write_curated(item[1], root, item[0], as_of), tables.items()))

@@ -6,10 +6,13 @@ limit order their rows totally.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The saved statements: columns, filters and limits are the interface (fixed values).
 SAVED = {
     "trending_today": """
         SELECT keyword, mentions, sources_count
@@ -64,10 +67,23 @@ def run_sql(
     args: Mapping[str, object] | None = None,
     views: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Run any SQL; ``views`` are registered under their names first."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=dict(args) if args else None)
+    """Run any SQL; ``views`` are known under their names inside it, and nowhere else."""
+    scoped = {name: f"{name}_{uuid.uuid4().hex}" for name in views or {}}
+    for name, view in scoped.items():
+        views[name].createOrReplaceTempView(view)
+    try:
+        return spark.sql(_within(text, scoped), args=dict(args) if args else None)
+    finally:
+        for view in scoped.values():
+            spark.catalog.dropTempView(view)  # the frame has been resolved
+
+
+def _within(text: str, scoped: Mapping[str, str]) -> str:
+    if not scoped:
+        return text
+    named = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in scoped.items())
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", text, re.IGNORECASE)
+    return f"WITH {own[1] or ''}{named}, {text[own.end():]}" if own else f"WITH {named} {text}"
 
 
 def run_saved(spark: SparkSession, name: str, args=None, views=None) -> DataFrame:

@@ -66,7 +66,7 @@ RECORDS = {
     + _ENVELOPE,
 }
 
-# Curated tables: folder, columns, and whether the folder is partitioned by source.
+# Curated tables: folder, columns, and whether the folder is partitioned by source (fixed values).
 CURATED = {
     "volume_by_source": ("analytics", "date date, source string, total_posts bigint, unique_posts bigint", True),
     "hourly_activity": ("analytics", "source string, hour int, day_of_week int, post_count bigint", False),

@@ -1,7 +1,7 @@
 """What lies in a zone: files, sizes, lines.
 
-The binary file source lists paths on the executors and opens no file as long as its
-``content`` column is not asked for.
+The binary file source opens no file as long as its ``content`` column is not asked for.  Large
+folders are listed by the executors, but the list of paths is kept by the driver, as in any scan.
 """
 
 from __future__ import annotations
