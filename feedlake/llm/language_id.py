@@ -46,7 +46,11 @@ class Settings:
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters, in lower case; runs of numerals only, such as fractions, are none."""
+    if not text:
+        return []
+    found = _WORD.findall(text.lower())
+    return found if text.isascii() else [w for w in found if w.isascii() or any(map(str.isalpha, w))]
 
 
 def count_words(labelled: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm import (
     chat_format,
+    common,
     components,
     decontaminate,
     exact_dedup,
@@ -54,6 +55,20 @@ def test_exact_dedup_of_odd_rows(spark):
     assert exact_dedup.drop_copies(docs(spark, [])).count() == 0
 
 
+@pytest.fixture
+def texts_move(monkeypatch):
+    """No list is short enough to be sent to all tasks."""
+    for module in (exact_dedup, near_dedup):
+        monkeypatch.setattr(module, "beside", lambda small: common.beside(small, most=-1))
+
+
+def test_long_lists_give_the_same(spark, texts_move):
+    rows = ODD + [(7, " ".join(f"x{i}" for i in range(60))), (8, " ".join(f"x{i}" for i in range(61)))]
+    assert sorted((r["doc_id"] or 0) for r in exact_dedup.drop_copies(docs(spark, rows)).collect()) == [2, 3, 4, 5, 7, 8]
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.decide(docs(spark, rows)).collect() if r["doc_id"]}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 7: 7, 8: 7}
+
+
 def test_filters_merge_without_loss(spark):
     draw = random.Random(3)
     values = [draw.choice((draw.getrandbits(64) - (1 << 63), 7, -7)) for _ in range(2_000)]
@@ -306,7 +321,7 @@ def test_language_backoff(spark):
     assert model.predict("the")[0] == "en" and model.predict("und")[0] == "de"
     assert model.predict("thezzz")[0] == "en"  # by its n-grams
     assert model.predict("DER HUND")[0] == "de"
-    for text in (None, "", "123 !?"):
+    for text in (None, "", "123 !?", "½ ² Ⅷ"):
         assert model.predict(text) == ("und", 0.0)
     assert model.predict("ω") == ("de", 0.5) or model.predict("ω")[0] == "en"  # nothing known: the priors
     assert 0 <= model.predict(LONG)[1] <= 1
