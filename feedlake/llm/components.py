@@ -24,14 +24,18 @@ def _smallest(edges: DataFrame) -> DataFrame:
 
 def _round(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    large = _smallest(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    large = _smallest(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     small = _smallest(large)  # all edges of ``large`` lead to a smaller node
-    return (
-        small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        .select("e.a", "e.b")
-        .filter("a <> b")
-        .distinct()
-    )
+    two = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+    return small.select(F.explode(two).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+
+
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every node has one edge and leads to a node that leads nowhere."""
+    role = lambda name, leads: F.struct(F.col(name).alias("node"), F.lit(leads).alias("leads"))
+    roles = edges.select(F.explode(F.array(role("a", 1), role("b", 0))).alias("r"))
+    ends = roles.groupBy("r.node").agg(F.sum("r.leads").alias("edges"), F.min("r.leads").alias("least"))
+    return ends.filter("edges > 1 OR (edges = 1 AND least = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -42,13 +46,9 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.toDF("x", "y").filter("x <> y")
     tidy = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
     now = store(tidy.distinct(), "edges")
-    seen = None
-    while True:
-        mark = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if mark == seen:
-            break
+    while not _is_done(now):
         after = store(_round(now), "edges")
         remove(now)
-        now, seen = after, mark
+        now = after
     root = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.toDF("node", "component").unionByName(root)

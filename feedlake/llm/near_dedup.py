@@ -13,10 +13,9 @@ at s = 0.8 with the defaults that happens once in 100,000 pairs, at 0.85 once in
 A sub-key that only one node has makes no pair, so it is dropped before pairs are formed.
 
 Links are confirmed by the exact similarity of the full sets, but not all pairs of a bucket
-are made.  First every bucket names a centre, the member that shares most keys with others,
-and its members are compared with it (twice, the second time with a member outside the
-first one's component); links are joined to components, and a bucket whose members are all in
-one component is done.  For the members of the other buckets the rest is exact: shingles are
+are made.  Every bucket names a centre, the member that shares most keys with others, and
+its members are compared with it; links are joined to components, and a bucket whose members
+are all in one component is done.  For the members of the other buckets the rest is exact: shingles are
 ordered from rare to frequent, and two sets that are similar enough have their first common
 shingle so early in both that enough shingles can follow.  Members of different components
 that meet on a shingle this early are compared.  Members of one component never are, and a
@@ -32,6 +31,8 @@ table gives an empty result.  Other columns are carried along by ``drop_near_cop
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -51,7 +52,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     words = blank_words(text)
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
     take = min(width, len(words))
     rolled = np.zeros(len(words) - take + 1, np.uint64)
     for j in range(take):
@@ -60,18 +61,14 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(rolled * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(len(words) if len(words) < width else width))
 
 
-def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
-    draw = np.random.default_rng(20_240_501)
-    return draw.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 1 << 63, n, np.uint64)
+@cache
+def _factors(n: int) -> np.ndarray:
+    """Odd numbers: multiplying by one permutes the hashes."""
+    return np.random.default_rng(20_240_501).integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def minhashes(found: np.ndarray, n: int) -> np.ndarray:
-    factor, shift = _permutations(n)
-    mixed = found[:, None] ^ shift[None, :]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= factor[None, :]
-    mixed ^= mixed >> np.uint64(29)
-    return mixed.min(axis=0)
+    return (_factors(n)[:, None] * found[None, :]).min(axis=1)
 
 
 def _signed(words: bytes) -> tuple[int, ...]:
@@ -161,13 +158,12 @@ def _placed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(sides.select("key").hint("rebalance"), "key", "left_semi")
 
 
-def _with_centres(placed: DataFrame, popular: DataFrame, first: DataFrame | None) -> DataFrame:
-    """(key, centre, its size and component): the most popular member, outside the component of the first centre."""
-    ranked = placed.join(popular, "node")
-    if first is not None:
-        ranked = ranked.join(first.select("key", F.col("other").alias("taken")), "key").filter("component <> taken")
-    best = ranked.groupBy("key").agg(F.max(F.struct("popularity", "node", "n", "component")).alias("c"))
-    return best.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("other_n"), F.col("c.component").alias("other"))
+def _centres(buckets: DataFrame) -> DataFrame:
+    """(key, centre, its size): the member that shares most keys with others."""
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    popular = buckets.join(sizes.hint("rebalance"), "key").groupBy("node").agg(F.sum("size").alias("popularity"))
+    best = buckets.join(popular.hint("rebalance"), "node").groupBy("key").agg(F.max(F.struct("popularity", "node", "n")).alias("c"))
+    return best.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("other_n"))
 
 
 def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -210,31 +206,17 @@ def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """``node`` and ``component`` of all nodes that are linked with another one."""
-    spark = docs.sparkSession
     buckets = store(table_buckets(nodes), "buckets")
     members = buckets.select("node").distinct()
     sets = store(_sets(docs, nodes.join(members, "node", "left_semi"), id_col, text_col, width), "sets")
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    popular = store(
-        buckets.join(sizes.hint("rebalance"), "key").groupBy("node").agg(F.sum("size").alias("popularity")), "popular"
+    with_centre = (
+        buckets.join(_centres(buckets).hint("rebalance"), "key")
+        .filter((F.col("node") != F.col("b")) & _fit(percent))
+        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        .distinct()
     )
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, component long")
-    first = None
-    for _ in range(2):
-        placed = store(_placed(buckets, labels), "placed")
-        centres = store(_with_centres(placed, popular, first), "centres")
-        candidates = (
-            placed.join(centres.hint("rebalance"), "key")
-            .filter((F.col("component") != F.col("other")) & _fit(percent))
-            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-            .distinct()
-        )
-        links = store(links.unionByName(_confirmed(candidates, sets, percent)).distinct(), "links")
-        labels = store(components(links), "labels")
-        first = centres.select("key", "b").join(labels.withColumnRenamed("node", "b"), "b", "left").select(
-            "key", F.coalesce("component", "b").alias("other")
-        )
+    links = store(_confirmed(with_centre, sets, percent), "links")
+    labels = store(components(links), "labels")
     rest = _placed(buckets, labels).select("node", "component").distinct()
     found = store(_confirmed(_early_pairs(rest, sets, percent), sets, percent), "links")
     return labels if found.isEmpty() else components(links.unionByName(found))
