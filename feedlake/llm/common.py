@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from feedlake.session import scratch_dir, write_and_reload
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @cache
 def _shipped(sc: SparkContext, application: str) -> None:
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -28,8 +31,14 @@ def _shipped(sc: SparkContext, application: str) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for the functions that run there."""
+    """Send this package to the executors, once per application, for the functions that run there.
+
+    Rows hold whole texts, so batches to Python workers are kept at 1,000 rows, unless the
+    session sets fewer.
+    """
     _shipped(spark.sparkContext, spark.sparkContext.applicationId)
+    if int(spark.conf.get(_BATCH_ROWS)) > 1_000:
+        spark.conf.set(_BATCH_ROWS, "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

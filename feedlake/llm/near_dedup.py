@@ -219,7 +219,8 @@ def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wi
     labels = store(components(links), "labels")
     rest = _placed(buckets, labels).select("node", "component").distinct()
     found = store(_confirmed(_early_pairs(rest, sets, percent), sets, percent), "links")
-    return labels if found.isEmpty() else components(links.unionByName(found))
+    # The labels are stars already: the search goes on from them, not from all links.
+    return labels if found.isEmpty() else components(found.union(labels.filter("node <> component")))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = 80) -> DataFrame:
