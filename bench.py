@@ -37,7 +37,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": "8" if cpus == "*" else cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
-            "feedlake.inputPartitions": "8" if cpus == "*" else cpus,  # the given tables have one row group
+            "spark.feedlake.inputPartitions": "8" if cpus == "*" else cpus,  # the given tables have one row group
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

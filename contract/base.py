@@ -38,11 +38,11 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows in as many partitions as the caller has set under ``feedlake.inputPartitions``; else as they come.
+    """The rows in as many partitions as the caller has set under ``spark.feedlake.inputPartitions``; else as they come.
 
     For a small table in a single row group, whose texts one core would work through alone.
     """
-    n = df.sparkSession.conf.get("feedlake.inputPartitions", None)
+    n = df.sparkSession.conf.get("spark.feedlake.inputPartitions", None)
     return df.repartition(int(n)) if n else df
 
 
