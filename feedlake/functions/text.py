@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Letters, digits and underscore of any script.
 WORD = r"[\p{L}\p{N}_]"
-GAP = r"[^\p{L}\p{N}_]"
 # White space of any script, and the four separator control characters.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 # Characters stripped from both ends of a word before a synonym lookup (fixed value).
