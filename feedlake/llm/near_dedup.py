@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import beside, blank_words, fresh, ship, store
+from feedlake.llm.common import beside, blank_words, fresh, remove, ship, store
 from feedlake.llm.components import components
 
 WIDTH = 5
@@ -162,7 +162,7 @@ def _centres(buckets: DataFrame) -> DataFrame:
     """(key, centre, its size): the member that shares most keys with others."""
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     popular = buckets.join(sizes.hint("rebalance"), "key").groupBy("node").agg(F.sum("size").alias("popularity"))
-    best = buckets.join(popular.hint("rebalance"), "node").groupBy("key").agg(F.max(F.struct("popularity", "node", "n")).alias("c"))
+    best = buckets.join(popular, "node").groupBy("key").agg(F.max(F.struct("popularity", "node", "n")).alias("c"))
     return best.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("other_n"))
 
 
@@ -176,7 +176,7 @@ def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     often = shingles_.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("node").orderBy("often", "shingle")
     early = (
-        shingles_.join(often.hint("rebalance"), "shingle")
+        shingles_.join(often, "shingle")
         .withColumn("place", F.row_number().over(order))
         .filter(f"often > 1 AND 100L * (n - place + 1) >= {percent}L * n")
     )
@@ -217,8 +217,11 @@ def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wi
     )
     links = store(_confirmed(with_centre, sets, percent), "links")
     labels = store(components(links), "labels")
-    rest = _placed(buckets, labels).select("node", "component").distinct()
+    rest = store(_placed(buckets, labels).select("node", "component").distinct(), "rest")
+    remove(buckets)
     found = store(_confirmed(_early_pairs(rest, sets, percent), sets, percent), "links")
+    remove(sets)
+    remove(rest)
     # The labels are stars already: the search goes on from them, not from all links.
     return labels if found.isEmpty() else components(found.union(labels.filter("node <> component")))
 
