@@ -97,8 +97,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, side: int
     return rows.select("doc_id", "text_key", "sketch.*")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``node`` and its full set, for the given nodes."""
+def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, repeated: bool) -> DataFrame:
+    """``node`` and its full set, one row for each of the given nodes; ``repeated``: rows may occur more than once."""
 
     def full(texts: pd.Series) -> pd.DataFrame:
         found = [shingles(t, width) for t in texts]
@@ -109,10 +109,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
 
     udf = F.pandas_udf(full, "s1 long, s2 long, found array<long>").asNondeterministic()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    wanted = store(nodes.select("node", "first_id", "d1", "d2", "n"), "wanted")
-    texts = rows.join(beside(wanted), F.col("id").eqNullSafe(F.col("first_id")))
-    own = texts.withColumn("set", udf("text")).filter("set.s1 = d1 AND set.s2 = d2")
-    return own.select("node", "n", "set.found")
+    wanted = store(nodes.select("node", "first_id", "first_key", "d1", "d2", "n"), "wanted")
+    texts = rows.join(beside(wanted), F.col("id").eqNullSafe(F.col("first_id")) & (F.xxhash64("text") == F.col("first_key")))
+    own = texts.withColumn("set", udf("text")).filter("set.s1 = d1 AND set.s2 = d2").select("node", "n", "set.found")
+    return own.dropDuplicates(["node"]) if repeated else own
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -204,11 +204,11 @@ def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     )
 
 
-def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, percent: int, repeated: bool) -> DataFrame:
     """``node`` and ``component`` of all nodes that are linked with another one."""
     buckets = store(table_buckets(nodes), "buckets")
     members = buckets.select("node").distinct()
-    sets = store(_sets(docs, nodes.join(members, "node", "left_semi"), id_col, text_col, width), "sets")
+    sets = store(_sets(docs, nodes.join(members, "node", "left_semi"), id_col, text_col, width, repeated), "sets")
     with_centre = (
         buckets.join(_centres(buckets).hint("rebalance"), "key")
         .filter((F.col("node") != F.col("b")) & _fit(percent))
@@ -229,14 +229,17 @@ def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wi
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = 80) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, and a hash of its text."""
     rows = store(sketches(docs, id_col, text_col, width), "sketches")
+    filled = rows.filter("n_shingles > 0")
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_key"))  # null ids last
     grouped = (
-        rows.filter("n_shingles > 0")
-        .groupBy("d1", "d2", F.col("n_shingles").alias("n"), "heads", "tails")
-        .agg(F.min("doc_id").alias("first_id"))
+        filled.groupBy("d1", "d2", F.col("n_shingles").alias("n"), "heads", "tails")
+        .agg(first.alias("first"))
+        .select("d1", "d2", "n", "heads", "tails", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = store(grouped, "nodes")  # written, so that the numbers stay
-    linked = find_links(docs, nodes, id_col, text_col, width, percent)
+    repeated = not filled.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty()
+    linked = find_links(docs, nodes, id_col, text_col, width, percent, repeated)
     placed = nodes.select("node", "d1", "d2", "first_id").join(linked, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     names = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -167,6 +167,43 @@ def test_near_copies_equal_all_pairs(spark):
     assert kept == {i for i, (_, c) in out.items() if i == c}
 
 
+def test_near_copies_among_repeated_rows(spark, monkeypatch):
+    """Pairs that no centre links, of rows that occur up to ten times or have no id."""
+    draw, rows = random.Random(7), []
+    for pair in range(24):
+        # 100 shingles each, 90 to 95 of them common: between 81.8 and 90.5 %.
+        one = [f"p{pair}w{i}" for i in range(103)]
+        two = list(one)
+        for i in range(draw.randrange(5, 11)):
+            two[-1 - i] = f"q{pair}w{i}"
+        rows += [(2 * pair + 1, " ".join(one)), (2 * pair + 2, " ".join(two))]
+    expected = plain_links(rows, 4, 80)
+    assert all(c == i - (i + 1) % 2 for i, (_, c) in expected.items())
+    centres = near_dedup._centres
+    monkeypatch.setattr(near_dedup, "_centres", lambda buckets: centres(buckets).limit(0))
+    for times in (1, 2, 10):
+        out = near_dedup.decide(docs(spark, rows * times), width=4).collect()
+        assert len(out) == times * len(rows)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == expected
+    # Even ids are null now: each such text still meets its own partner.
+    out = near_dedup.decide(docs(spark, [(i if i % 2 else None, t) for i, t in rows] * 2), width=4).collect()
+    assert sorted((r["component_id"], r["doc_id"] or 0, r["kept"]) for r in out) == sorted(
+        (c, i if i % 2 else 0, i % 2 == 1) for i, (_, c) in expected.items() for _ in range(2)
+    )
+
+
+def test_sets_are_one_row_a_node(spark):
+    """Texts without an id, and different texts under one id, do not meet the nodes of others."""
+    texts = [" ".join(f"n{n}w{i}" for i in range(20)) for n in range(6)]
+    df = docs(spark, [(None, t) for t in texts[:3]] * 4 + [(9, t) for t in texts[3:]] * 3 + [(8, texts[3])])
+    rows = near_dedup.sketches(df, "doc_id", "text", 4)
+    first = F.min(F.struct("doc_id", "text_key"))
+    nodes = rows.groupBy("d1", "d2", F.col("n_shingles").alias("n")).agg(first.alias("f")).select("d1", "d2", "n", "f.*")
+    nodes = nodes.toDF("d1", "d2", "n", "first_id", "first_key").withColumn("node", F.col("first_key"))
+    got = near_dedup._sets(df, nodes, "doc_id", "text", 4, True).collect()
+    assert len(got) == len({r["node"] for r in got}) == 6 and all(len(r["found"]) == r["n"] for r in got)
+
+
 def test_near_copies_of_odd_rows(spark):
     out = near_dedup.decide(docs(spark, ODD), width=4).collect()
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0, r["kept"]) for r in out) == sorted(
