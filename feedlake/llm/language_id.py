@@ -9,7 +9,8 @@ the posterior of each language, and the largest wins.
 Fitting reads whole texts of a bounded, documented sample: about ``sample_rows`` rows per language,
 picked by hash.  Words and n-grams are counted by Spark.  *Known* are those whose share of a
 language reaches ``min_share``; so there are at most ``1 / min_share`` words, and as many
-n-grams of each order, per language.  That is the proven bound of what is broadcast.
+n-grams of each order, per language.  That is the proven bound of what is broadcast.  The driver
+reads them order by order and partition by partition, one row per word or n-gram.
 
 Rows.  A text that is null or has no letter is ``und``, with score 0.  A text with letters but
 nothing known gets the priors.  Ties go to the language first in the alphabet.  Texts are read
@@ -20,6 +21,7 @@ any lesson every text is ``und``.  The prediction is one new struct column, all
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +42,7 @@ _HELD = 200_000
 @dataclass(frozen=True)
 class Settings:
     sample_rows: int = 5_000
-    min_share: float = 1e-5
+    min_share: float = 2e-6
     orders: tuple[int, ...] = (5, 4, 3, 2, 1)
     smoothing: float = 0.5
 
@@ -101,17 +103,21 @@ class Model:
         self._unseen: dict[str, np.ndarray | None] = {}
 
     @classmethod
-    def build(cls, rows: pd.DataFrame, totals: pd.DataFrame, priors: dict[str, int], settings: Settings) -> Model:
-        """``rows``: lang, order (0 for words), gram, n of what is known; ``totals``: lang, order, total, kinds."""
+    def build(cls, known: DataFrame, totals: pd.DataFrame, priors: dict[str, int], settings: Settings) -> Model:
+        """``known``: order (0 for words), gram, counts (lang, n); ``totals``: lang, order, total, kinds."""
         langs = sorted(priors)
         column = {lang: i for i, lang in enumerate(langs)}
         shares = np.array([priors[lang] for lang in langs], float)
         tables = {}
         for order in (0, *settings.orders):
-            here, all_ = rows[rows["order"] == order], totals[totals["order"] == order]
-            number = {g: i for i, g in enumerate(sorted(set(here["gram"])))}
-            counts = np.zeros((len(number), len(langs)))
-            np.add.at(counts, (here["gram"].map(number).to_numpy(int), here["lang"].map(column).to_numpy(int)), here["n"].to_numpy(float))
+            all_, number, cells = totals[totals["order"] == order], {}, array("d")
+            for row in known.filter(F.col("order") == order).select("gram", "counts").toLocalIterator():
+                number[row["gram"]] = len(number)
+                line = [0.0] * len(langs)
+                for lang, n in row["counts"]:
+                    line[column[lang]] = n
+                cells.extend(line)
+            counts = np.array(cells).reshape(len(number), len(langs))
             total, kinds = np.zeros(len(langs)), max(1, int(all_["kinds"].max())) if len(all_) else 1
             total[all_["lang"].map(column).to_numpy(int)] = all_["total"]
             tables[order] = number, np.log((counts + settings.smoothing) / (total + settings.smoothing * kinds))
@@ -171,9 +177,9 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", set
     for row in totals.itertuples():
         here = (F.col("lang") == row.lang) & (F.col("order") == row.order)
         often = F.when(here, F.col("n") >= row.total * settings.min_share).otherwise(often)
-    known = grams.filter(often).select("order", "gram").distinct()
-    kept = grams.join(known, ["order", "gram"], "left_semi")
-    return Model.build(kept.toPandas(), totals, sizes, settings)
+    # A gram that is known in one language keeps its counts of all.
+    by_gram = grams.groupBy("order", "gram").agg(F.max(often).alias("known"), F.collect_list(F.struct("lang", "n")).alias("counts"))
+    return Model.build(store(by_gram.filter("known").drop("known"), "known"), totals, sizes, settings)
 
 
 def predictor(model: Model, spark):

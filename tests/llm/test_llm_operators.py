@@ -1,5 +1,6 @@
 """Small cases of the corpus operators: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import math
 import random
 
 import pytest
@@ -368,6 +369,23 @@ def test_language_backoff(spark):
     assert judged.count() == len(ODD) and judged.filter("p.lang = 'und'").count() == 4
 
 
+def test_rare_words_are_known(spark, monkeypatch):
+    """A word seen once among 200,000 is scored as itself; the driver never holds all orders at once."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    collect = DataFrame.toPandas
+    # Totals only: one row per language and order.
+    monkeypatch.setattr(DataFrame, "toPandas", lambda df: collect(df) if "total" in df.columns else pytest.fail("collected whole"))
+    lessons = [("en", "the cat " * 100_000 + "zugzwang"), ("de", "der hund " * 100_000 + "zug zwang zugzwang zugzwang")]
+    model = language_id.fit(spark.createDataFrame(lessons, "lang string, text string"))
+    assert set(model.tables[0][0]) == {"the", "cat", "der", "hund", "zug", "zwang", "zugzwang"}
+    number, logs = model.tables[0]
+    kinds = 4 + 1  # of de, which has most
+    assert logs[number["zugzwang"]].tolist() == pytest.approx(
+        [math.log((n + 0.5) / (total + 0.5 * kinds)) for n, total in ((2, 200_004), (1, 200_001))]
+    )
+
+
 # --- quality ------------------------------------------------------------------------
 
 
