@@ -90,7 +90,7 @@ def sampled(labelled: DataFrame, per_class: str, most: int, sizes: dict, *key: s
     ``sizes``: rows of each class, of which there are few.  A filter: nothing is sorted or shuffled, and
     the same rows are picked wherever they lie.  A class of at most ``most`` rows stays whole.
     """
-    share = 1 << 20
+    share = 1 << 40  # so many places that a class of any size has rows in the first of them
     place = F.pmod(F.xxhash64(*key), F.lit(share))
     least = {name: most * share // rows for name, rows in sizes.items() if rows > most}
     picked = F.lit(True)

@@ -7,7 +7,8 @@ of its known n-grams.  The scores of all words of a text add up; with the log pr
 the posterior of each language, and the largest wins.
 
 Fitting reads whole texts of a bounded, documented sample: about ``sample_rows`` rows per language,
-picked by hash.  Words and n-grams are counted by Spark.  *Known* are those whose share of a
+picked by a hash of id and text, so that copies of a text are picked one by one; without an id column
+they are taken together.  Words and n-grams are counted by Spark.  *Known* are those whose share of a
 language reaches ``min_share``; so there are at most ``1 / min_share`` words, and as many
 n-grams of each order, per language.  That is the proven bound of what is broadcast.  The driver
 reads them order by order and partition by partition, one row per word or n-gram.
@@ -159,12 +160,16 @@ class Model:
         return self.langs[best], float(odds[best] / odds.sum())
 
 
-def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", settings: Settings = Settings()) -> Model:
-    """Learn from rows with a language and a text."""
+def fit(
+    labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", settings: Settings = Settings(), id_col: str | None = None
+) -> Model:
+    """Learn from rows with a language and a text; ``id_col`` only helps to pick the sample."""
     ship(labelled.sparkSession)
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    row_id = F.col(id_col) if id_col else F.lit(None)
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), row_id.alias("id"))
+    rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["rows"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    counted = store(count_words(sampled(rows, "lang", settings.sample_rows, sizes, "text")), "words")
+    counted = store(count_words(sampled(rows, "lang", settings.sample_rows, sizes, "id", "text").select("lang", "text")), "words")
     grams = store(
         count_grams(counted, settings.orders).unionByName(
             counted.select("lang", F.lit(0).alias("order"), F.col("word").alias("gram"), "n")

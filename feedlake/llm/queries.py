@@ -41,7 +41,7 @@ QUALITY_THRESHOLD = 0.3
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     left = remainder("doc_id", 4)
-    model = language_id.fit(docs.filter(left != 2))
+    model = language_id.fit(docs.filter(left != 2), id_col="doc_id")
     judged = docs.select(
         "doc_id",
         F.coalesce(left == 2, F.lit(True)).alias("held_out"),

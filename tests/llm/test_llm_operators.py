@@ -386,6 +386,27 @@ def test_rare_words_are_known(spark, monkeypatch):
     )
 
 
+def test_samples_of_any_size(spark):
+    """A class of 10^10 rows, of which these are the ones with the lowest places, has a sample."""
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    ids = spark.range(3_000_000).filter(place < (1 << 20)).withColumn("lang", F.lit("en"))
+    expected = ids.filter(place < 5_000 * (1 << 40) // 10**10).count()
+    assert expected > 0
+    assert common.sampled(ids, "lang", 5_000, {"en": 10**10}, "id").count() == expected
+
+
+def test_copies_of_a_text_are_sampled_one_by_one(spark, monkeypatch):
+    """About 100 of 3,000 rows, however many of them share a text: neither none nor all."""
+    counted = []
+    count_words = language_id.count_words
+    monkeypatch.setattr(language_id, "count_words", lambda rows: counted.append(rows.groupBy("text").count().collect()) or count_words(rows))
+    shared = ["same text", "one more", "and a third"]
+    df = spark.createDataFrame([(i, "en", shared[i % 3]) for i in range(3_000)], "doc_id long, lang string, text string")
+    language_id.fit(df, settings=language_id.Settings(sample_rows=100), id_col="doc_id")
+    found = {r["text"]: r["count"] for r in counted[0]}
+    assert set(found) == set(shared) and 50 < sum(found.values()) < 200
+
+
 # --- quality ------------------------------------------------------------------------
 
 
