@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Domains of the documents by their source, and what each node weighs.
 MIX = mixing.Plan(
-    domain="CASE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'reference' WHEN 2 THEN 'forum' END",
+    domain="CASE TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'reference' WHEN 2 THEN 'forum' END",
     domain_weights={"web": 5, "reference": 3, "forum": 2},
     lang_weights={"en": 5, "de": 2, "fr": 2, "es": 1},
     source_weights={"src0": 3, "src1": 2},

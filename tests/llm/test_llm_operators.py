@@ -17,6 +17,7 @@ from feedlake.llm import (
     mixing,
     near_dedup,
     quality,
+    queries,
     secret_scan,
     url_filter,
 )
@@ -449,6 +450,15 @@ def test_shortages_go_to_siblings_before_ancestors(spark):
     assert given == {("d0", "en", "a"): 4, ("d0", "en", "b"): 6, ("d0", "de", "c"): 10, ("d1", "en", "x"): 80}
 
 
+def test_sources_without_a_number_have_no_domain(spark):
+    sources = ["src0", "src1", "src2", "web", "", "src99999999999", None]
+    df = spark.createDataFrame([(i, "a b c", "en", s, 5) for i, s in enumerate(sources)], DOC)
+    got = {r["source"]: r["mix"]["domain"] for r in mixing.mix(df, queries.MIX).collect()}
+    assert got["src0"] == "web" and all(got[s] == "(none)" for s in ("web", "", "src99999999999") if s in got)
+    domains = df.select("source", F.expr(queries.MIX.domain).alias("domain")).collect()
+    assert [r["domain"] for r in domains] == ["web", "reference", "forum", None, None, None, None]
+
+
 def test_mix_takes_the_budget(spark):
     rows = [(i, f"t{i} " * (1 + i % 7), "en" if i % 3 else "de", f"s{i % 2}", i) for i in range(300)]
     rows += [(7, "copy copy", None, None, None)] * 2 + [(None, None, "en", "s0", 1), (8, "", "en", "s0", 1)]
