@@ -7,8 +7,9 @@ the words of a text, skips the places that hold a word no item has, hashes the r
 verifies every match of a hash word by word.  Texts are never shuffled.
 
 The broadcast is bounded: it holds at most ``most`` windows.  A larger benchmark is cut into
-blocks by a hash of the window, and the blocks are looked up one after the other; the result
-is the same.
+blocks by a hash of the window, and the blocks are looked up one after the other: before the
+next block is read, the documents and what is found so far are written to the shared folder and the
+broadcast is dropped.  The result is the same.
 
 Rows.  Null or empty texts have no words and no hits.  Items with no words never occur; a null
 item id is shown as an empty string.  Repeated items with one id count once.  Repeated documents are judged
@@ -28,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import WORD_BYTES, fresh, plain_words, ship, store
+from feedlake.llm.common import WORD_BYTES, fresh, plain_words, remove, ship, store
 
 VERDICT = "struct<n_words:bigint,starts:array<int>,ends:array<int>,items:array<string>>"
 
@@ -141,10 +142,17 @@ def flag(
     blocks = max(1, -(-found.count() // most))
     part = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
     out = docs.withColumn(into, F.lit(None).cast(VERDICT))
+    stored = None
     for block in range(blocks):
         rows = found.filter(part == block).toPandas()
         ready = spark.sparkContext.broadcast(Windows(list(rows["item"]), list(rows["words"])))
         out = out.withColumn(into, _scanner(ready)(F.col(text_col), F.col(into)))
+        if block + 1 < blocks:
+            before, stored = stored, store(out, "flagged")
+            ready.destroy()
+            if before is not None:
+                remove(before)
+            out = stored
     return out
 
 

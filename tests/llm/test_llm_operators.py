@@ -105,6 +105,22 @@ def test_decontamination(spark):
     assert decontaminate.drop_documents(docs(spark, []), items).count() == 0
 
 
+def test_one_block_of_windows_at_a_time(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(40)], "item_id long, text string")
+    df = docs(spark, [(i, f"x a{i} B{i}, c{i} y a{i + 1} b{i + 1} c{i + 1}") for i in range(39)] + [(50, None), (51, "")] + [(3, "a3 b3 c3")] * 2)
+    ready, scanner = [], decontaminate._scanner
+
+    def watched(broadcast):
+        assert not any(b._jbroadcast.isValid() for b in ready)
+        ready.append(broadcast)
+        return scanner(broadcast)
+
+    rows = lambda most: sorted(map(repr, decontaminate.flag(df, items, width=3, most=most, into="v").select("doc_id", "text", "v").collect()))
+    whole = rows(500_000)
+    monkeypatch.setattr(decontaminate, "_scanner", watched)
+    assert rows(12) == whole and len(ready) == 4
+
+
 # --- near copies --------------------------------------------------------------------
 
 
