@@ -215,3 +215,38 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(component, d.doc_i
        d.doc_id = coalesce(least(component, d.doc_id), d.doc_id) AS kept
 FROM doc_words d LEFT JOIN sizes USING (doc_id) LEFT JOIN components ON node = d.doc_id
 """
+
+
+def _vectors(scale: int, columns: str = "", where: str = "true") -> str:
+    """Rows that take part, with whole components ``e``."""
+    return f"""vectors AS (
+    SELECT vec_id{columns}, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND {where}
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+ORACLES["op11_hard_negatives"] = f"""
+WITH {_vectors(256, ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label", "label IS NOT NULL")},
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+mined AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+      AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+       negative_id, positive_score, negative_score
+FROM mined QUALIFY rank <= 3
+"""
+
+ORACLES["op12_exact_topk"] = f"""
+WITH {_vectors(1024)},
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""

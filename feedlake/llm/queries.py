@@ -11,6 +11,8 @@ from feedlake.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    hard_negatives,
+    kd_search,
     language_id,
     license_scan,
     mixing,
@@ -18,6 +20,7 @@ from feedlake.llm import (
     quality,
     secret_scan,
     url_filter,
+    whitening,
 )
 from feedlake.llm.common import remainder, table
 from feedlake.session import scratch_dir
@@ -132,6 +135,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are every 50th vector; every 7th row bears the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -145,5 +162,8 @@ QUERIES: dict[str, Query] = {
         op8_license_scan,
         op9_near_dedup,
         op10_secret_scan,
+        op11_hard_negatives,
+        op12_exact_topk,
+        op13_whitening,
     )
 }

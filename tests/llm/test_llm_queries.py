@@ -23,7 +23,7 @@ def test_equals_sql(spark, duck, sf, name):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
 
