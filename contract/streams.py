@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.base import arr, query, ts
-from contract.feeds import RECORDS_SQL, TAXONOMY, document_records, event_records, table, tagged_sql
+from contract.feeds import RECORDS_SQL, TAXONOMY, benchmark_dictionary, document_records, event_records, table, tagged_sql
+from contract.texts import MIN_KEYWORDS, REMAP_SQL, REMAPPED_COLUMNS, synonym_table
 from feedlake.operators.tagging import tag_posts
 from feedlake.session import scratch_dir
 from feedlake.sources import zones
@@ -113,8 +114,101 @@ def stream_rate(spark, sf):
 
 @query(
     "replay_seen_ids",
-    """SELECT DISTINCT event_type AS source, CAST(event_id AS VARCHAR) AS id FROM events
-    WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'""",
+    f"""SELECT event_type AS source, CAST(event_id AS VARCHAR) AS id, {ts('max(ts)')} AS seen_at FROM events
+    WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' GROUP BY ALL""",
 )
 def replay_seen_ids(spark, sf):
     return live.replay_seen_ids(_event_messages(spark, sf), F.lit("2024-01-31 00:00:00").cast("timestamp"), 24)
+
+
+@query("stream_enrich_join", REMAP_SQL)
+def stream_enrich_join(spark, sf):
+    """A stream against dictionary tables that are read anew for each batch and grow with the data."""
+    root = scratch_dir(spark, "live")
+    table(spark, sf, "documents").select("doc_id", "text").write.parquet(f"{root}/incoming")
+    records = spark.readStream.schema("doc_id bigint, text string").parquet(f"{root}/incoming")
+    benchmark_dictionary(spark, sf).write.parquet(f"{root}/dictionary")
+
+    def dictionaries(session):
+        dictionary = session.read.parquet(f"{root}/dictionary")
+        return dictionary, synonym_table(dictionary, 5)
+
+    options = {"key": "doc_id", "min_keywords": MIN_KEYWORDS}
+    _finish(live.write_tagged(records, dictionaries, f"{root}/out", f"{root}/checkpoint", available_now=True, **options))
+    return spark.read.parquet(f"{root}/out").select("doc_id", *REMAPPED_COLUMNS)
+
+
+#: Ends of the slices of time that arrive one after the other.
+SLICES = ("2024-01-08", "2024-01-16", "2024-01-24", "2024-02-02")
+ARRIVALS = "id string, source string, arrived timestamp"
+
+
+def _arrivals(spark, sf):
+    return table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("source"), F.col("ts").cast("timestamp").alias("arrived")
+    )
+
+
+def _slices(arrivals):
+    """The events of each slice of time; the last one has all the rest."""
+    before = None
+    for end in SLICES:
+        rows = arrivals if before is None else arrivals.where(F.col("arrived") >= before)
+        yield rows if end == SLICES[-1] else rows.where(F.col("arrived") < end)
+        before = end
+
+
+def _sliding(spark, slices, root, ttl, warm=None):
+    """Each slice is a run of its own, which takes the state up from the checkpoint."""
+    for rows in slices:
+        rows.write.mode("append").parquet(f"{root}/incoming")
+        records = spark.readStream.schema(ARRIVALS).parquet(f"{root}/incoming")
+        with live.rocksdb(spark):
+            fresh = live.drop_seen_sliding(records, "arrived", ttl=ttl, buckets=8, warm=warm)
+            _finish(live.write_parquet(fresh, f"{root}/out", f"{root}/checkpoint", available_now=True))
+    return spark.read.schema(ARRIVALS).parquet(f"{root}/out")
+
+
+_GAPS = f"""a AS (SELECT CAST(user_id AS VARCHAR) AS id, event_type AS source, ts AS moment FROM events),
+g AS (SELECT *, lag(moment) OVER (PARTITION BY source, id ORDER BY moment) AS prev FROM a)
+SELECT id, source, {ts('moment')} AS arrived FROM g"""
+
+
+@query("stream_dedup_sliding", f"WITH {_GAPS} WHERE prev IS NULL OR moment - prev > INTERVAL 36 HOUR")
+def stream_dedup_sliding(spark, sf):
+    root = scratch_dir(spark, "live")
+    return _sliding(spark, _slices(_arrivals(spark, sf)), root, "36 hours")
+
+
+@query(
+    "stream_dedup_warm",
+    f"WITH {_GAPS} WHERE moment >= TIMESTAMP '{SLICES[-2]}' AND (prev IS NULL OR prev < TIMESTAMP '{SLICES[-2]}' - INTERVAL 48 HOUR OR moment - prev > INTERVAL 72 HOUR)",
+)
+def stream_dedup_warm(spark, sf):
+    """A query without a checkpoint, which knows the ids of the last 48 hours from their messages."""
+    root = scratch_dir(spark, "live")
+    arrivals = _arrivals(spark, sf)
+    messages = live.to_messages(live.envelope(arrivals, F.col("source"), F.col("arrived"))).withColumn(
+        "timestamp", F.to_timestamp(F.get_json_object("value", "$._ingested_at"))
+    )
+    past = messages.where(F.col("timestamp") < SLICES[-2])
+    warm = live.replay_seen_ids(past, F.lit(SLICES[-2]).cast("timestamp"), 48)
+    return _sliding(spark, list(_slices(arrivals))[-1:], root, "72 hours", warm)
+
+
+@query(
+    "stream_state",
+    "WITH s(run, until) AS (VALUES " + ", ".join(f"({i}, TIMESTAMP '{end}')" for i, end in enumerate(SLICES)) + """)
+    SELECT run, count(DISTINCT (event_type, user_id)) AS keys FROM s JOIN events ON ts < until OR run = 3 GROUP BY run""",
+)
+def stream_state(spark, sf):
+    """Keys in the state of the seen set after each run."""
+    root = scratch_dir(spark, "live")
+    parts = []
+    for run, rows in enumerate(_slices(_arrivals(spark, sf))):
+        rows.write.mode("append").parquet(f"{root}/incoming")
+        records = spark.readStream.schema(ARRIVALS).parquet(f"{root}/incoming")
+        running = live.write_parquet(live.drop_seen(records), f"{root}/out", f"{root}/checkpoint", available_now=True)
+        _finish(running)
+        parts.append(live.state_rows(running).agg(F.max_by("keys", "batch").alias("keys")).select(F.lit(run).alias("run"), "keys"))
+    return reduce(DataFrame.unionAll, parts)

@@ -115,32 +115,50 @@ def tag_by_join(spark, sf):
     return tagging.tag_by_join(docs, benchmark_dictionary(spark, sf), key="doc_id").drop("text_key")
 
 
-@query(
-    "remap_by_join",
-    rf"""WITH {DICTIONARY_SQL}, {TAGS_BY_JOIN_SQL},
-    syn AS (SELECT DISTINCT keyword AS word, 'len' || length(keyword) || ' topic' AS target FROM dict
-      WHERE length(keyword) <= 5 AND NOT contains(keyword, ' ')),
-    sw AS (SELECT doc_id, trim(raw, '.,!?;:''"()[]{{}}') AS word, p FROM (
+def synonyms_sql(longest: int) -> str:
+    return f"""syn AS (SELECT DISTINCT keyword AS word, 'len' || length(keyword) || '_topic' AS target FROM dict
+      WHERE length(keyword) <= {longest} AND NOT contains(keyword, ' '))"""
+
+
+#: From ``documents``, ``g`` and ``syn``: what is mapped, and the text put together again run by run.
+REMAPPED_SQL = rf"""sw AS (SELECT doc_id, trim(raw, '.,!?;:''"()[]{{}}') AS word, p FROM (
       SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) AS p FROM (
         SELECT doc_id, regexp_split_to_array(lower(text), '{HTML_SPACES}') AS parts FROM documents))),
     sh AS (SELECT doc_id, list(word ORDER BY p) AS hits, list(target ORDER BY p) AS targets FROM sw JOIN syn USING (word) GROUP BY 1),
     m AS (SELECT documents.doc_id, text, coalesce(keywords, []) AS kws, coalesce(g.categories, []) AS categories,
       CASE WHEN len(coalesce(keywords, [])) < {MIN_KEYWORDS} THEN coalesce(hits, []) ELSE [] END AS hits,
       CASE WHEN len(coalesce(keywords, [])) < {MIN_KEYWORDS} THEN coalesce(targets, []) ELSE [] END AS targets
-      FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN sh USING (doc_id))
-    SELECT doc_id, array_to_string(list_concat(kws, hits), '|') AS original_keywords,
+      FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN sh USING (doc_id)),
+    cut AS (SELECT doc_id, unnest(runs || ['']) AS run, unnest(gaps) AS gap, generate_subscripts(gaps, 1) AS p FROM (
+      SELECT doc_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+') AS runs, regexp_split_to_array(text, '[\p{{L}}\p{{N}}_]+') AS gaps
+      FROM m WHERE len(hits) > 0)),
+    pairs AS (SELECT DISTINCT doc_id, unnest(hits) AS word, unnest(targets) AS target FROM m),
+    again AS (SELECT cut.doc_id, string_agg(gap || coalesce(pairs.target, run), '' ORDER BY p) AS content
+      FROM cut LEFT JOIN pairs ON cut.doc_id = pairs.doc_id AND lower(cut.run) = pairs.word GROUP BY 1)
+    SELECT doc_id, coalesce(again.content, text, '') AS content, CASE WHEN len(hits) > 0 THEN text END AS old_content,
+      array_to_string(list_concat(kws, hits), '|') AS original_keywords,
       array_to_string(list_concat(kws, targets), '|') AS mapped_keywords, array_to_string(categories, '|') AS categories,
-      len(hits) > 0 AS is_remapped FROM m""",
-)
+      len(hits) > 0 AS is_remapped FROM m LEFT JOIN again USING (doc_id)"""
+
+
+def synonym_table(dictionary, longest: int):
+    """Short words and what they stand for: one run, and longer than any synonym, so that SQL can replace all of them at once."""
+    return dictionary.where((F.length("keyword") <= longest) & ~F.col("keyword").contains(" ")).select(
+        F.col("keyword").alias("word"), F.concat(F.lit("len"), F.length("keyword").cast("string"), F.lit("_topic")).alias("target")
+    )
+
+
+REMAPPED_COLUMNS = ("content", "old_content", "original_keywords", "mapped_keywords", "categories", "is_remapped")
+REMAP_SQL = f"WITH {DICTIONARY_SQL}, {TAGS_BY_JOIN_SQL}, {synonyms_sql(5)}, {REMAPPED_SQL}"
+
+
+@query("remap_by_join", REMAP_SQL)
 def remap_by_join(spark, sf):
     """Long words and word pairs as keywords, short words as synonyms."""
     docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     dictionary = benchmark_dictionary(spark, sf)
-    synonyms = dictionary.where((F.length("keyword") <= 5) & ~F.col("keyword").contains(" ")).select(
-        F.col("keyword").alias("word"), F.concat(F.lit("len"), F.length("keyword").cast("string"), F.lit(" topic")).alias("target")
-    )
-    remapped = tagging.remap_by_join(docs, dictionary, synonyms, key="doc_id", min_keywords=MIN_KEYWORDS)
-    return remapped.select("doc_id", "original_keywords", "mapped_keywords", "categories", "is_remapped")
+    remapped = tagging.remap_by_join(docs, dictionary, synonym_table(dictionary, 5), key="doc_id", min_keywords=MIN_KEYWORDS)
+    return remapped.select("doc_id", *REMAPPED_COLUMNS)
 
 
 WORDS_SQL = r"words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM conversations)"

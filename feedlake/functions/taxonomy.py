@@ -75,18 +75,20 @@ class Taxonomy:
             raise ValueError(f"{size} dictionary entries are too many for literals; use tag_by_join")
 
     @classmethod
-    def from_tables(cls, keywords: DataFrame, synonyms: DataFrame | None = None) -> Taxonomy:
+    def from_tables(cls, keywords: DataFrame, synonyms: DataFrame | None = None, refuse: bool = True) -> Taxonomy | None:
         """Read ``(keyword, category, category_rank)`` and ``(word, target)`` tables.
 
-        No more than ``INLINE_LIMIT`` rows ever reach the driver; a larger table raises.
+        No more than ``INLINE_LIMIT`` rows ever reach the driver; of larger tables it raises, or gives
+        None if they are not to be refused.
         """
-        def bounded(df: DataFrame) -> list:
-            rows = df.limit(INLINE_LIMIT + 1).collect()
-            if len(rows) > INLINE_LIMIT:
-                raise ValueError("dictionary table is too large for literals; use tag_by_join")
-            return rows
-
-        rows = bounded(keywords.select("keyword", "category", "category_rank"))
+        rows = keywords.select("keyword", "category", "category_rank").limit(INLINE_LIMIT + 1).collect()
+        others = synonyms.select("word", "target").limit(INLINE_LIMIT + 1).collect() if synonyms else []
+        rows = [r for r in rows if r.keyword is not None and _RUNS.search(r.keyword)]
+        # Each keyword may count twice: for itself and for its category.
+        if 2 * len(rows) + len(others) > INLINE_LIMIT:
+            if refuse:
+                raise ValueError("dictionary tables are too large for literals; use tag_by_join")
+            return None
         ranked: dict[tuple[int, str], list[str]] = {}
         for row in rows:
             if row.category is not None:
@@ -94,7 +96,7 @@ class Taxonomy:
         return cls(
             keywords=tuple(r.keyword for r in rows),
             categories=tuple((name, tuple(words)) for (_, name), words in sorted(ranked.items())),
-            synonyms={r.word: r.target for r in bounded(synonyms.select("word", "target"))} if synonyms else {},
+            synonyms={r.word: r.target for r in others},
         )
 
     def category_of(self) -> dict[str, str]:

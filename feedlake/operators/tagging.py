@@ -101,63 +101,73 @@ def tag_posts(
         F.concat("_keywords", "_hits").alias("original_keywords"),
         "mapped_keywords",
         "categories",
-        F.map_from_entries(
-            F.transform(
-                "categories",
-                lambda c: F.struct(
-                    c.alias("key"),
-                    F.transform(F.filter("_tagged", lambda t: t.category == c), lambda t: t.keyword).alias("value"),
-                ),
-            )
-        ).alias("categorized_keywords"),
+        _by_category().alias("categorized_keywords"),
         is_remapped.alias("is_remapped"),
     )
 
 
-def dictionary_parts(dictionary: DataFrame) -> DataFrame:
-    """The runs of word characters of each keyword of a ``(keyword, category, category_rank)`` table.
+def _by_category() -> Column:
+    """Map of each of ``categories`` to its keywords in ``_tagged``."""
+    of = lambda c: F.transform(F.filter("_tagged", lambda t: t.category == c), lambda t: t.keyword)
+    return F.map_from_entries(F.transform("categories", lambda c: F.struct(c.alias("key"), of(c).alias("value"))))
+
+
+#: A keyword of more runs of word characters is looked up by this many of them and compared whole where they occur.
+HEAD_RUNS = 6
+
+_PAIRS = "array<struct<keyword:string,category:string>>"
+_HITS = "array<struct<p:int,word:string,target:string,category:string>>"
+_PLACES = "array<struct<r:int,target:string>>"
 
-    A row is the run ``j`` of ``runs``, and what must stand right before and after it up to
-    the neighbouring runs of a text: NULL where anything may.  Together they say the same as
-    ``taxonomy.boundary_pattern``: a non-word end asks for a run beyond it.  The category of
-    the lowest rank wins.
+
+def dictionary_index(dictionary: DataFrame) -> DataFrame:
+    """Keywords of a ``(keyword, category, category_rank)`` table by the ``gram`` that stands for them in a text.
+
+    A gram is a number of neighbouring runs of word characters with all that stands between them; if it
+    starts or ends with other characters (``lead``, ``trail``), these reach to the next run of the text,
+    which is what ``taxonomy.boundary_pattern`` asks for.  It is the keyword itself, or for ``long`` ones its first
+    ``HEAD_RUNS`` runs.  The category of the lowest rank wins.
     """
     keyword = F.lower("keyword")
     words = (
         dictionary.where(keyword.rlike(WORD))
         .groupBy(keyword.alias("keyword"))
         .agg(F.min(F.when(F.col("category").isNotNull(), F.struct("category_rank", "category"))).alias("c"))
-        .select(
-            "keyword",
-            F.col("c.category").alias("category"),
-            word_runs(F.col("keyword")).alias("all_runs"),
-            F.split("keyword", f"{WORD}++").alias("gaps"),
-        )
-        .withColumn("runs", F.size("all_runs"))
+        .select("keyword", F.col("c.category").alias("category"), *_cut(F.col("keyword")))
+    )
+    long = F.size("_runs") > HEAD_RUNS
+    head = F.array_join(
+        F.transform(F.sequence(F.lit(0), F.lit(HEAD_RUNS - 1)), lambda i: F.concat(F.get("_gaps", i), F.get("_runs", i))), ""
     )
-    parts = words.select("keyword", "category", "runs", "gaps", F.posexplode("all_runs").alias("j", "run"))
-    before, after = F.get("gaps", F.col("j")), F.get("gaps", F.col("j") + 1)
-    return parts.select(
+    return words.select(
         "keyword",
         "category",
-        "runs",
-        "j",
-        "run",
-        F.when((F.col("j") > 0) | (before != ""), before).alias("need_before"),
-        F.when((F.col("j") < F.col("runs") - 1) | (after != ""), after).alias("need_after"),
+        F.when(long, head).otherwise(F.col("keyword")).alias("gram"),
+        F.least(F.size("_runs"), F.lit(HEAD_RUNS)).alias("n"),
+        (~F.col("keyword").rlike(f"^{WORD}")).alias("lead"),
+        (~F.col("keyword").rlike(f"{WORD}$") & ~long).alias("trail"),
+        long.alias("long"),
     )
 
 
-def text_runs(lowered: Column) -> Column:
-    """The runs of a text, each with what stands between it and its neighbours (NULL at the ends)."""
-    runs = word_runs(lowered)
-    gaps = F.split(lowered, f"{WORD}++")  # one before each run, and the rest of the text
-    inner = F.slice(gaps, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0)))
-    return F.arrays_zip(
-        runs.alias("run"),
-        F.concat(F.array(F.lit(None).cast("string")), inner).alias("before"),
-        inner.alias("after"),
-    )
+def _cut(lowered: Column) -> list[Column]:
+    """The runs of a text, and what stands before, between and behind them."""
+    return [word_runs(lowered).alias("_runs"), F.split(lowered, f"{WORD}++").alias("_gaps")]
+
+
+def _grams(n: int, lead: bool, trail: bool) -> Column:
+    """All grams of ``n`` runs of a text that has been cut."""
+    if n == 1 and not (lead or trail):
+        return F.col("_runs")
+    last = F.size("_runs") - n - int(trail)
+
+    def gram(p: Column) -> Column:
+        parts = [F.get("_gaps", p)] if lead else []
+        for i in range(n):
+            parts += [F.get("_gaps", p + i)] * bool(i) + [F.get("_runs", p + i)]
+        return F.concat(*parts, *([F.get("_gaps", p + n)] if trail else []))
+
+    return F.when(last >= int(lead), F.transform(F.sequence(F.lit(int(lead)), last), gram)).otherwise(_no_strings())
 
 
 def _row_key(key: str, text: str) -> list[Column]:
@@ -165,44 +175,105 @@ def _row_key(key: str, text: str) -> list[Column]:
     return [F.col(key).alias("_key"), F.xxhash64(text).alias("text_key")]
 
 
-def _found_keywords(df: DataFrame, dictionary: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, text_key, keyword, category) of all keywords that occur, decided from runs alone."""
-    # ``arrays_zip`` pads the shorter arrays, by one row without a run where a text has none.
-    runs = df.select(*_row_key(key, text), F.posexplode(text_runs(F.lower(text))).alias("p", "t")).select(
-        "_key", "text_key", "p", "t.run", "t.before", "t.after"
-    )
-    parts = dictionary_parts(dictionary)
-    fits = (F.col("need_before").isNull() | (F.col("need_before") == F.col("before"))) & (
-        F.col("need_after").isNull() | (F.col("need_after") == F.col("after"))
-    )
-    hits = runs.join(parts, "run").where(fits)
-    places = hits.groupBy("_key", "text_key", "keyword", "category", "runs", (F.col("p") - F.col("j")).alias("start"))
-    whole = places.agg(F.count_distinct("j").alias("n")).where(F.col("n") == F.col("runs"))
-    return whole.select("_key", "text_key", "keyword", "category").distinct()
+def _same_row(a: str, b: str) -> Column:
+    return F.col(f"{a}._key").eqNullSafe(F.col(f"{b}._key")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+
+
+def _found_keywords(df: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
+    """(_key, text_key, keyword, category) of all keywords that occur; of repeated rows each.
+
+    A text gives its distinct grams of the lengths that the dictionary has, so a row of the join is a
+    keyword that stands in the text, whatever else the dictionary holds.
+    """
+    shapes = index.select("n", "lead", "trail", "long").distinct().collect()  # as many as keywords have lengths
+    grams = [_grams(n, lead, trail) for n, lead, trail in sorted({(s.n, s.lead, s.trail) for s in shapes})]
+    if not grams:
+        return df.select(*_row_key(key, text), F.lit("").alias("keyword"), F.lit("").alias("category")).limit(0)
+    # The key is made before the text is cut up, and only that goes along with the grams.
+    cut = df.select(*_row_key(key, text), F.lower(text).alias("_lower")).select("_key", "text_key", *_cut(F.col("_lower")))
+    listed = cut.select("_key", "text_key", F.array_distinct(F.concat(*grams)).alias("_grams"))
+    # Of a plain ``explode`` Spark infers a filter and pushes it below, so that each gram would cut the text anew.
+    met = listed.select("_key", "text_key", F.explode_outer("_grams").alias("gram")).join(index, "gram")
+    hits = met.select("_key", "text_key", "keyword", "category", "long")
+    if not any(s.long for s in shapes):
+        return hits.drop("long")
+    heads = hits.where("long").groupBy("_key", "text_key").agg(F.collect_set(F.struct("keyword", "category")).alias("_heads"))
+    texts = df.select(*_row_key(key, text), F.lower(text).alias("_lower")).alias("t").join(heads.alias("h"), _same_row("t", "h"))
+    stands = lambda h: F.contains("_lower", h.keyword) & F.rlike("_lower", _boundary(h.keyword))
+    whole = texts.select("t._key", "t.text_key", F.explode_outer(F.filter("_heads", stands)).alias("h")).where("h IS NOT NULL").select("_key", "text_key", "h.*")
+    return hits.where("NOT long").drop("long").unionByName(whole)
 
 
 def tag_by_join(df: DataFrame, dictionary: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """Keywords and categories of each row against a dictionary table of any size.
 
     One row per (key, hash of the text): ``key``, ``text_key``, ``keywords``, ``categories``.
-    Runs of words meet the dictionary in an equi-join, broadcast only if Spark measures it to
-    be small; a word that stands in every text is then a skewed partition that AQE splits.
-    Texts stay where they are: only runs, with what stands between them, are ever shuffled.
+    Grams of the texts meet whole keywords in an equi-join, broadcast only if Spark measures the dictionary to
+    be small; a gram that stands in every text is then a skewed partition that AQE splits.
+    Texts stay where they are, but for those in which the head of a long keyword occurs.
     """
-    found = _found_keywords(df, dictionary, key, text).groupBy("_key", "text_key").agg(
-        F.array_sort(F.collect_list("keyword")).alias("keywords"),
-        F.array_sort(F.collect_set("category")).alias("categories"),
+    tagged = _tag_lists(df, dictionary_index(dictionary), key, text)
+    return tagged.select(
+        F.col("_key").alias(key),
+        "text_key",
+        F.transform("_pairs", lambda p: p.keyword).alias("keywords"),
+        F.array_sort(F.array_distinct(F.filter(F.transform("_pairs", lambda p: p.category), lambda c: c.isNotNull()))).alias("categories"),
+    )
+
+
+def _tag_lists(df: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
+    """``_key``, ``text_key`` and the sorted ``_pairs`` of keyword and category, one row for rows that are equal."""
+    found = _found_keywords(df, index, key, text).groupBy("_key", "text_key").agg(
+        F.array_sort(F.collect_set(F.struct("keyword", "category"))).alias("_pairs")
     )
     rows = df.select(*_row_key(key, text)).distinct()
-    met = rows.alias("r").join(
-        found.alias("f"), F.col("r._key").eqNullSafe(F.col("f._key")) & (F.col("r.text_key") == F.col("f.text_key")), "left"
+    met = rows.alias("r").join(found.alias("f"), _same_row("r", "f"), "left")
+    return met.select("r._key", "r.text_key", F.coalesce("_pairs", F.array().cast(_PAIRS)).alias("_pairs"))
+
+
+def _synonym_lists(df: DataFrame, rows: DataFrame, index: DataFrame, synonyms: DataFrame, key: str, text: str) -> DataFrame:
+    """Per one of ``rows`` (``_key``, ``text_key``) with synonyms: ``_found`` by word of the text, and ``_places``, the runs that they replace.
+
+    A synonym is found as a whole word of the text, and then replaced wherever it stands, so the places are all
+    runs that equal it.
+    """
+    known = synonyms.select("word", "target").join(
+        index.select(F.col("keyword").alias("target"), "category"), "target", "left"
     )
-    return met.select(
-        F.col("r._key").alias(key),
-        "r.text_key",
-        F.coalesce("keywords", _no_strings()).alias("keywords"),
-        F.coalesce("categories", _no_strings()).alias("categories"),
+    spaced = F.transform(F.split(F.lower(text), SPACE), strip_punctuation)
+    both = F.array(
+        F.struct(F.lit(True).alias("hit"), spaced.alias("words")),
+        F.struct(F.lit(False).alias("hit"), F.transform(word_runs(F.col(text)), F.lower).alias("words")),
     )
+    # Words and runs go through one join: a run counts only if its word is a hit.
+    kinds = df.select(*_row_key(key, text), F.explode_outer(both).alias("k")).select(
+        "_key", "text_key", "k.hit", F.posexplode_outer("k.words").alias("p", "word")
+    )
+    met = kinds.join(known, "word").alias("w").join(rows.alias("r"), _same_row("w", "r"), "left_semi")
+    words = (
+        met.groupBy("_key", "text_key", "word", "target", "category")
+        .agg(
+            F.collect_set(F.when(F.col("hit"), F.col("p"))).alias("hits"),
+            F.collect_set(F.when(~F.col("hit"), F.col("p"))).alias("places"),
+        )
+        .where(F.size("hits") > 0)
+    )
+    every = lambda c, make: F.array_sort(F.flatten(F.collect_list(F.transform(c, make))))
+    hit = lambda p: F.struct(p.alias("p"), "word", "target", "category")
+    place = lambda p: F.struct(p.alias("r"), "target")
+    return words.groupBy("_key", "text_key").agg(every("hits", hit).alias("_found"), every("places", place).alias("_places"))
+
+
+def _spliced() -> Column:
+    """The text of ``_gaps`` and ``_pieces`` with the runs at ``_places`` (in order) replaced, in one pass."""
+
+    def kept(start: Column, end: Column) -> Column:
+        return F.array_join(F.slice("_pieces", start + 1, F.greatest(end - start, F.lit(0))), "")
+
+    after = lambda i: F.when(i > 0, F.get("_places", i - 1).r + 1).otherwise(F.lit(0))
+    # Up to the run of a place, its gap, and what replaces it; behind the last place the rest.
+    front = F.transform("_places", lambda x, i: F.concat(kept(after(i), x.r), F.get("_gaps", x.r), x.target))
+    return F.concat(F.array_join(front, ""), kept(after(F.size("_places")), F.size("_gaps")))
 
 
 def remap_by_join(
@@ -213,46 +284,33 @@ def remap_by_join(
     text: str = "text",
     min_keywords: int = 2,
 ) -> DataFrame:
-    """``tag_posts`` for dictionary and synonym tables of any size.
+    """``tag_posts`` for dictionary and synonym tables of any size, with the same columns.
 
-    ``synonyms`` are (word, target) rows, each word once.  What is found is decided from runs and
-    words; then each row meets its own list, by key and hash of the text, and only rows with
-    synonyms are rewritten.
+    ``synonyms`` are (word, target) rows, each word once.  What is found and where is decided from grams, words and
+    runs; then each text moves once, to meet its own list by key and hash.  The words of a text are replaced in one
+    pass over its runs.  Only where a word has other characters inside, or where a target holds a word
+    of the same text that would be replaced in turn, are they replaced one after the other, in order of occurrence.
     """
-    tags = tag_by_join(df, dictionary, key, text).withColumnRenamed(key, "_key")
-    spaced = F.transform(F.split(F.lower(text), SPACE), strip_punctuation)
-    words = df.select(*_row_key(key, text), F.posexplode(spaced).alias("p", "word")).distinct()
-    known = synonyms.select("word", "target")
-    category = dictionary_parts(dictionary).where("j = 0").select(F.col("keyword").alias("target"), "category")
-    hits = (
-        words.join(known, "word")
-        .join(category, "target", "left")
-        .groupBy("_key", "text_key")
-        .agg(F.array_sort(F.collect_list(F.struct("p", "word", "target", "category"))).alias("hits"))
-    )
-    keyword_category = (
-        _found_keywords(df, dictionary, key, text)
-        .groupBy("_key", "text_key")
-        .agg(F.array_sort(F.collect_list(F.struct("keyword", "category"))).alias("pairs"))
-    )
-    same = lambda a, b: F.col(f"{a}._key").eqNullSafe(F.col(f"{b}._key")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+    index = dictionary_index(dictionary)
+    tags = _tag_lists(df, index, key, text)
+    few = tags.where(F.size("_pairs") < min_keywords).select("_key", "text_key")
     lists = (
         tags.alias("t")
-        .join(hits.alias("h"), same("t", "h"), "left")
-        .join(keyword_category.alias("k"), same("t", "k"), "left")
-        .select(
-            F.col("t._key").alias("_key"),
-            F.col("t.text_key").alias("_text_key"),
-            F.col("t.keywords").alias("_keywords"),
-            F.when(F.size("t.keywords") < min_keywords, F.col("hits")).alias("_found"),
-            F.coalesce("pairs", F.array().cast("array<struct<keyword:string,category:string>>")).alias("_pairs"),
-        )
+        .join(_synonym_lists(df, few, index, synonyms, key, text).alias("s"), _same_row("t", "s"), "left")
+        .select(F.col("t._key").alias("_key"), F.col("t.text_key").alias("_text_key"), "_pairs", "_found", "_places")
     )
     own = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_text_key"))
-    met = df.join(lists, own, "left").withColumn(
-        "_hits", F.coalesce("_found", F.array().cast("array<struct<p:int,word:string,target:string,category:string>>"))
+    met = df.join(lists, own, "left").withColumns(
+        {
+            "_hits": F.coalesce("_found", F.array().cast(_HITS)),
+            "_places": F.coalesce("_places", F.array().cast(_PLACES)),
+            "_pairs": F.coalesce("_pairs", F.array().cast(_PAIRS)),
+        }
     )
-    rewritten = F.aggregate(
+    words = F.transform("_hits", lambda h: h.word)
+    targets = F.flatten(F.transform("_hits", lambda h: word_runs(F.lower(h.target))))
+    in_turn = F.exists("_hits", lambda h: ~h.word.rlike(f"^{WORD}+$")) | F.arrays_overlap(words, targets)
+    one_by_one = F.aggregate(
         F.array_distinct(F.transform("_hits", lambda h: F.struct(h.word, h.target))),
         F.col(text),
         lambda acc, h: F.regexp_replace(
@@ -262,22 +320,51 @@ def remap_by_join(
         ),
     )
     is_remapped = F.size("_hits") > 0
-    pairs = F.filter(
-        F.concat("_pairs", F.transform("_hits", lambda h: F.struct(h.target.alias("keyword"), h.category.alias("category")))),
-        lambda p: p.category.isNotNull(),
-    )
-    words_hit = F.transform("_hits", lambda h: h.word)
-    return met.withColumn("_tagged", pairs).select(
+    keywords = F.transform("_pairs", lambda p: p.keyword)
+    met = met.withColumns({"_one_pass": is_remapped & ~in_turn, "_remapped": is_remapped})
+    # Columns of their own, so that a text is cut once and not once per place.
+    cut = met.withColumns({"_runs": F.when(F.col("_one_pass"), word_runs(F.col(text))), "_gaps": F.when(F.col("_one_pass"), F.split(text, f"{WORD}++"))})
+    cut = cut.withColumn("_pieces", F.zip_with("_gaps", "_runs", lambda gap, run: F.concat(gap, F.coalesce(run, F.lit("")))))
+    tagged = cut.withColumn(
+        "_tagged",
+        F.filter(
+            F.concat("_pairs", F.transform("_hits", lambda h: F.struct(h.target.alias("keyword"), h.category.alias("category")))),
+            lambda p: p.category.isNotNull(),
+        ),
+    ).withColumn("categories", F.array_sort(F.array_distinct(F.transform("_tagged", lambda t: t.category))))
+    return tagged.select(
         *[c for c in df.columns if c != text],
-        F.when(is_remapped, rewritten).otherwise(F.coalesce(F.col(text), F.lit(""))).alias("content"),
-        F.when(is_remapped, F.col(text)).alias("old_content"),
-        F.concat(F.coalesce("_keywords", _no_strings()), words_hit).alias("original_keywords"),
-        F.concat(F.coalesce("_keywords", _no_strings()), F.transform("_hits", lambda h: h.target)).alias("mapped_keywords"),
-        F.array_sort(F.array_distinct(F.transform("_tagged", lambda t: t.category))).alias("categories"),
-        is_remapped.alias("is_remapped"),
+        F.when(F.col("_one_pass"), _spliced())
+        .when(F.col("_remapped"), one_by_one)
+        .otherwise(F.coalesce(F.col(text), F.lit("")))
+        .alias("content"),
+        F.when(F.col("_remapped"), F.col(text)).alias("old_content"),
+        F.concat(keywords, words).alias("original_keywords"),
+        F.concat(keywords, F.transform("_hits", lambda h: h.target)).alias("mapped_keywords"),
+        "categories",
+        _by_category().alias("categorized_keywords"),
+        F.col("_remapped").alias("is_remapped"),
     )
 
 
+def tag_with_tables(
+    df: DataFrame,
+    dictionary: DataFrame,
+    synonyms: DataFrame,
+    key: str = "id",
+    text: str = "text",
+    min_keywords: int = 2,
+) -> DataFrame:
+    """``tag_posts`` with dictionaries given as tables: as literals of the plan if they are small, else by join.
+
+    Only the number of entries decides, which is read off at most ``INLINE_LIMIT`` rows; the rows are the same.
+    """
+    small = Taxonomy.from_tables(dictionary, synonyms, refuse=False)
+    if small is not None:
+        return tag_posts(df, small, text, min_keywords)
+    return remap_by_join(df, dictionary, synonyms, key, text, min_keywords)
+
+
 def _boundary(word: Column) -> Column:
     """``taxonomy.boundary_pattern`` of a column of words."""
     quoted = F.regexp_replace(word, rf"((?!{WORD}).)", r"\\$1")

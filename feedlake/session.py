@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,6 +57,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@cache
+def _shipped(sc: SparkContext, application: str) -> None:
+    package = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(package)
+    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
+    sc.addPyFile(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for the Python code that runs there."""
+    _shipped(spark.sparkContext, spark.sparkContext.applicationId)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system that Spark can write to."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,19 +6,25 @@ builders around the same steps that the file source runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from feedlake import schemas
+from feedlake.operators.tagging import tag_with_tables
 from feedlake.sources.zones import parse_lines, raw_path
 
 FLUSH_RECORDS = 10_000
 FLUSH_INTERVAL = "300 seconds"
 SEEN_TTL = "7 days"
+#: Ids that a sliding seen set holds per source, in so many buckets, each a group of the state.
+SEEN_IDS = 1_000_000
+SEEN_BUCKETS = 64
 REPLAY_HOURS = 24.0
 
 MESSAGE = "topic string, key string, value string, timestamp timestamp"
@@ -104,12 +110,15 @@ def parse_messages(messages: DataFrame, schema: str) -> DataFrame:
 
 
 def replay_seen_ids(messages: DataFrame, now: Column, hours: float = REPLAY_HOURS) -> DataFrame:
-    """Distinct (source, id) of the messages of the last hours, for ``exclude_seen``."""
+    """Distinct (source, id) of the messages of the last hours, for ``exclude_seen`` or to warm up ``drop_seen_sliding``.
+
+    ``seen_at`` is when the id came last.
+    """
     since = now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(hours * 3600).cast("decimal(18,6)"))
     ids = messages.where(F.col("timestamp") >= since).select(
-        F.col("topic").alias("source"), F.get_json_object("value", "$.id").alias("id")
+        F.col("topic").alias("source"), F.get_json_object("value", "$.id").alias("id"), "timestamp"
     )
-    return ids.where(F.col("id") != "").distinct()
+    return ids.where(F.col("id") != "").groupBy("source", "id").agg(F.max("timestamp").alias("seen_at"))
 
 
 # --- operators -----------------------------------------------------------------------
@@ -132,6 +141,127 @@ def drop_seen(
     return stamped.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
 
 
+def _seen_set(ttl: int, most: int, time: str, columns: list[str]) -> StatefulProcessor:
+    """``columns``: those of the records, then the id as text; ``time``: the one of the arrival; ``ttl`` in milliseconds."""
+
+    # Made here, so that it goes to the executors with all it needs.
+    class SeenSet(StatefulProcessor):
+        """The ids of a bucket with the time at which each was met last, in milliseconds.
+
+        A row is passed on if its id is not in the set or was met longer than ``ttl`` ago; either way it is met now.  At
+        the end of a batch at most ``most`` ids stay, those met last.  A timer drops the ids that have run out.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.met = handle.getMapState("met", "id string", "at bigint")
+            self.size = handle.getValueState("size", "n bigint")
+
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            for row in initialState.itertuples():
+                self.met.updateValue((row.id,), (row.seen_at.value // 1_000_000,))
+            self._resize(len(initialState))
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows), ignore_index=True)
+            if batch.empty:  # a bucket of the initial state without rows
+                return
+            batch = batch.iloc[:, : len(columns)].set_axis(columns, axis=1)  # Spark renames those that start with _
+            batch["_ms"] = batch[time].astype("datetime64[ms]").astype("int64")
+            batch = batch.sort_values(["_id", "_ms"], kind="stable")
+            before = batch.groupby("_id")["_ms"].shift()
+            first = before.isna()
+            known = {i: self._last(i) for i in batch["_id"][first]}
+            before = before.where(~first, batch["_id"].map(known).astype("float64"))  # milliseconds are exact
+            for i, at in batch.groupby("_id")["_ms"].max().items():
+                self.met.updateValue((i,), (max(at, known[i] or at),))
+            self._resize(sum(at is None for at in known.values()))
+            if not any(True for _ in self.handle.listTimers()):
+                self.handle.registerTimer(int(batch["_ms"].max()) + ttl)
+            yield batch[before.isna() | (batch["_ms"] - before > ttl)].drop(columns=["_ms", "_id"])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            now = timerValues.getCurrentWatermarkInMs()
+            left = [(k[0], v[0]) for k, v in self.met.iterator()]
+            for i, at in left:
+                if at + ttl < now:
+                    self.met.removeKey((i,))
+            left = [at for _, at in left if at + ttl >= now]
+            self.size.update((len(left),))
+            if left:
+                self.handle.registerTimer(max(min(left) + ttl, now) + 1)
+            return iter(())
+
+        def _last(self, i: str) -> int | None:
+            return self.met.getValue((i,))[0] if self.met.containsKey((i,)) else None
+
+        def _resize(self, added: int) -> None:
+            n = (self.size.get()[0] if self.size.exists() else 0) + added
+            if n > most:
+                oldest = sorted((v[0], k[0]) for k, v in self.met.iterator())[: n - most]
+                for _, i in oldest:
+                    self.met.removeKey((i,))
+                n = most
+            self.size.update((n,))
+
+    return SeenSet()
+
+
+def drop_seen_sliding(
+    records: DataFrame,
+    at: str,
+    keys: tuple[str, str] = ("source", "id"),
+    ttl: str = SEEN_TTL,
+    most_ids: int = SEEN_IDS,
+    buckets: int = SEEN_BUCKETS,
+    warm: DataFrame | None = None,
+) -> DataFrame:
+    """Records whose key was not met within ``ttl``; each time that a key is met, its time begins anew.
+
+    ``at`` is the time of arrival, which does not fall from batch to batch.  The seen set of a source is dealt to
+    ``buckets`` by a hash of the id, so that no source is one group, and holds about ``most_ids``, the ones met last.
+    ``warm`` (source, id, ``seen_at``; see ``replay_seen_ids``) fills the set of a query without a checkpoint.
+    Records without an id are never dropped, nor remembered.  Start the query under ``rocksdb``.
+    """
+    source, key = keys
+    spark = records.sparkSession
+    milliseconds = int(spark.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {ttl})").first()[0])
+    bucket = lambda name: F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(buckets))
+    stamped = records.withColumns({"_id": F.col(key).cast("string"), "_bucket": bucket(key)}).withWatermark(at, "0 seconds")
+    dealt = stamped.where(F.col("_id").isNotNull()).groupBy(source, "_bucket")
+    start = None
+    if warm is not None:
+        start = warm.select(F.col("source").alias(source), bucket("id").alias("_bucket"), F.col("id").cast("string").alias("id"), "seen_at").groupBy(source, "_bucket")
+    seen = _seen_set(milliseconds, max(1, most_ids // buckets), at, [*records.columns, "_id"])
+    fresh = dealt.transformWithStateInPandas(seen, records.schema, "Append", "EventTime", initialState=start)
+    return fresh.unionByName(stamped.where(F.col("_id").isNull()).select(*records.columns))
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries that are started in the block keep their state in RocksDB, as keyed sets and timers need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def state_rows(query: StreamingQuery) -> DataFrame:
+    """How many keys each stateful operator of a query held after each of its last batches, and how much memory they take."""
+    spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.active()
+    rows = [
+        (p.batchId, i, o.operatorName, o.numRowsTotal, o.numRowsUpdated, o.numRowsRemoved, o.memoryUsedBytes)
+        for p in query.recentProgress
+        for i, o in enumerate(p.stateOperators)
+    ]
+    return spark.createDataFrame(
+        rows, "batch long, operator int, name string, keys long, updated long, removed long, bytes long"
+    )
+
+
 def post_rate(
     records: DataFrame, at: str, window: str = "60 seconds", delay: str = "60 seconds"
 ) -> DataFrame:
@@ -187,6 +317,30 @@ def write_raw_zone(
     return _start(writer, available_now, interval)
 
 
+def write_tagged(
+    records: DataFrame,
+    dictionaries: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str = FLUSH_INTERVAL,
+    **options,
+) -> StreamingQuery:
+    """Tag and remap each batch against dictionary tables of any size, below ``path``/batch.
+
+    ``dictionaries`` is called for each batch, so keywords that have come since the last one count.  ``options``
+    are those of ``tag_with_tables``.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # read once, though its words and its texts go different ways
+        tagged = tag_with_tables(batch, *dictionaries(batch.sparkSession), **options)
+        tagged.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.unpersist()
+
+    return _start(records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), available_now, interval)
+
+
 def write_rate(
     rate: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = FLUSH_INTERVAL
 ) -> StreamingQuery:

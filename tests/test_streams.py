@@ -48,6 +48,77 @@ def test_an_old_record_never_seen_is_kept(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["x", "y", "z"]
 
 
+def run_sliding(spark, base, **options):
+    records = spark.readStream.schema("id string, source string, at timestamp").json(str(base / "in"))
+    with live.rocksdb(spark):
+        fresh = live.drop_seen_sliding(records, "at", **options)
+        live.write_parquet(fresh, str(base / "out"), str(base / "cp"), available_now=True).awaitTermination()
+    found = spark.read.schema("id string, source string, at timestamp").parquet(str(base / "out")).collect()
+    return sorted(((r.id, r.source, (r.at - DAY).days) for r in found), key=str)
+
+
+def test_meeting_an_id_begins_its_time_anew(spark, tmp_path):
+    drop_file(tmp_path / "in", "1.json", [record("x", 0), record("x", 5), record("x", 0, "b"), record(None, 1), record(None, 1)])
+    assert run_sliding(spark, tmp_path) == [("x", "a", 0), ("x", "b", 0), (None, "a", 1), (None, "a", 1)]
+    drop_file(tmp_path / "in", "2.json", [record("x", 11), record("x", 11, "b")])  # six days, eleven days
+    assert run_sliding(spark, tmp_path)[:3] == [("x", "a", 0), ("x", "b", 0), ("x", "b", 11)]
+    drop_file(tmp_path / "in", "3.json", [record("y", 40)])
+    drop_file(tmp_path / "in", "4.json", [record("x", 41), record("x", 48), record("x", 56)])
+    kept = run_sliding(spark, tmp_path)
+    assert [r for r in kept if r[:2] == ("x", "a")] == [("x", "a", 0), ("x", "a", 41), ("x", "a", 56)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_the_ids_met_last_stay(spark, tmp_path):
+    """A set of three: the id that was met longest ago is forgotten, though its time has not run out."""
+    bound = {"most_ids": 3, "buckets": 1}
+    drop_file(tmp_path / "in", "1.json", [record("a", 0), record("b", 1), record("c", 2)])
+    run_sliding(spark, tmp_path, **bound)
+    drop_file(tmp_path / "in", "2.json", [record("a", 3), record("d", 4)])
+    run_sliding(spark, tmp_path, **bound)
+    drop_file(tmp_path / "in", "3.json", [record(i, 5) for i in "abcd"])
+    kept = run_sliding(spark, tmp_path, **bound)
+    assert [r for r in kept if r[2] == 5] == [("b", "a", 5)]
+
+
+def test_a_fresh_query_is_warmed_up(spark, tmp_path):
+    rows = [("a", '{"id": "1"}', DAY), ("a", '{"id": "2"}', DAY - timedelta(days=3)), ("b", '{"id": "1"}', DAY - timedelta(hours=2))]
+    messages = spark.createDataFrame(rows, "topic string, value string, timestamp timestamp")
+    warm = live.replay_seen_ids(messages, F.lit(DAY), 24)
+    drop_file(tmp_path / "in", "1.json", [record("1", 1), record("2", 1), record("1", 1, "b"), record("1", 1, "c")])
+    assert run_sliding(spark, tmp_path, warm=warm) == [("1", "c", 1), ("2", "a", 1)]
+    drop_file(tmp_path / "in", "2.json", [record("1", 2), record("2", 2), record("3", 2)])
+    assert run_sliding(spark, tmp_path, warm=warm)[-1] == ("3", "a", 2)
+
+
+def test_dictionaries_are_read_for_each_batch(spark, tmp_path, monkeypatch):
+    from feedlake.functions import taxonomy
+
+    monkeypatch.setattr(taxonomy, "INLINE_LIMIT", 1)  # by join
+    words = tmp_path / "words"
+    dictionaries = lambda s: zones.load_dictionary(s, str(words / "k.csv"), str(words / "s.csv"))
+    words.mkdir()
+    (words / "s.csv").write_text("word,target\nlove,spark\n")
+    for run, keywords in enumerate(("kafka,tools,1\nai,,\n", "kafka,tools,1\nai,,\nspark,engines,0\n")):
+        (words / "k.csv").write_text("keyword,category,category_rank\n" + keywords)
+        drop_file(tmp_path / "in", f"{run}.json", [{"id": f"{run}", "text": "love Kafka"}, {"id": f"{run}x", "text": "kafka spark ai"}])
+        records = spark.readStream.schema("id string, text string").json(str(tmp_path / "in"))
+        live.write_tagged(records, dictionaries, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    rows = {r.id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert rows["0"].content == rows["1"].content == "spark Kafka" and rows["0"].categories == ["tools"]
+    assert rows["1"].categories == ["engines", "tools"] and rows["1"].mapped_keywords == ["kafka", "spark"]
+    assert rows["0x"].mapped_keywords == ["ai", "kafka"] and rows["1x"].mapped_keywords == ["ai", "kafka", "spark"]
+
+
+def test_state_of_each_batch(spark, tmp_path):
+    drop_file(tmp_path / "in", "1.json", [record("x", 0), record("x", 0), record("y", 0)])
+    records = spark.readStream.schema("id string, source string, at timestamp").json(str(tmp_path / "in"))
+    query = live.write_parquet(live.drop_seen(records), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+    query.awaitTermination()
+    rows = live.state_rows(query).collect()
+    assert rows[-1].batch >= 0 and rows[-1]["keys"] == 2 and rows[-1].bytes > 0
+
+
 def test_raw_zone_keeps_each_message_once(spark, tmp_path):
     def message(i):
         value = json.dumps({"id": i, "_ingested_at": f"2024-01-01T0{i % 3}:00:00.000001"})

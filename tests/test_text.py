@@ -160,8 +160,79 @@ def test_remap_by_join_equals_literals(spark):
     one = {r.id: r for r in tag_posts(df, small).collect()}
     for r in remap_by_join(df, dictionary, synonyms).collect():
         assert [r[c] for c in columns] == [one[r.id][c] for c in columns], texts[r.id]
-        if len(set(r.original_keywords)) <= 1:  # of several synonyms the order of rewriting may differ
-            assert r.content == one[r.id].content
+
+
+#: Chains (a target holds a later or earlier word), words with other characters inside, targets that need quoting.
+CHAINED = {
+    "love": "all work", "all": "love", "work": "r$1 \\d", "c++": "cpp", "less": "more less", "é-11": "x", "kafka": "", "open": "open.source",
+}
+
+
+def test_rewriting_by_join_equals_literals(spark):
+    """Several synonyms a text, in order of occurrence, wherever they stand."""
+    texts = random_texts(400, seed=11) + ["Love all WORK-life; less (work) love", "c++ love c++11", "é-11 all é-11", "work", "a,less"]
+    dictionary = spark.createDataFrame([("ai", "first", 0), ("réseau", None, None)], "keyword string, category string, category_rank int")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for words in (CHAINED, SYNONYMS):
+        synonyms = spark.createDataFrame(list(words.items()), "word string, target string")
+        one = {r.id: r for r in tag_posts(df, Taxonomy.from_tables(dictionary, synonyms), min_keywords=3).collect()}
+        rows = remap_by_join(df, dictionary, synonyms, min_keywords=3).collect()
+        assert len(rows) == len(texts) and any(len(set(r.original_keywords)) > 2 for r in rows)
+        for r in rows:
+            assert r.asDict() == {c: one[r.id][c] for c in r.asDict()}, texts[r.id]
+
+
+def test_long_keywords_are_compared_whole(spark):
+    words = [f"w{i}" for i in range(40)]
+    long = [" ".join(words[:9]), "-".join(words[5:20]), "..." + " ".join(words[:8]), " ".join(words[:7]) + "!?", " ".join(words[:6])]
+    dictionary = spark.createDataFrame([(k, f"c{len(k)}", len(k)) for k in long], "keyword string, category string, category_rank int")
+    texts = [" ".join(words), "-".join(words), "a..." + " ".join(words), " ".join(words[:7]) + "!?b", " ".join(words[:7]) + "!? b", " ".join(words[:6]), None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: r.keywords for r in tag_by_join(df, dictionary).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == sorted(k for k in long if re.search(rf"\b{re.escape(k)}\b", text or "")), text
+
+
+def joined_rows(df):
+    """Rows that the joins of the executed plan with the dictionary put out."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            stack.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+        if "Join" in node.nodeName() and "gram" in node.toString().split("\n")[0]:
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_joined_pairs_are_hits(spark):
+    """Keywords that share their runs: one text place meets only the keywords that stand there."""
+    pairs = [(f"w{i} w{j}", None, None) for i in range(40) for j in range(40)]
+    dictionary = spark.createDataFrame(pairs, "keyword string, category string, category_rank int")
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 39)}" for _ in range(200)) for _ in range(50)]
+    tagged = tag_by_join(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), dictionary)
+    hits = sum(len(r.keywords) for r in tagged.collect())
+    assert 0 < hits <= joined_rows(tagged) <= 2 * hits
+    assert hits == sum(len(set(zip(t.split(), t.split()[1:], strict=False))) for t in texts)
+
+
+def test_tables_of_any_size_give_the_same(spark, monkeypatch):
+    from feedlake.functions import taxonomy
+    from feedlake.operators import tagging
+
+    dictionary = spark.createDataFrame([(k, f"c{len(k)}", len(k)) for k in WORDS.keywords], "keyword string, category string, category_rank int")
+    synonyms = spark.createDataFrame(list(SYNONYMS.items()), "word string, target string")
+    df = spark.createDataFrame(list(enumerate(random_texts(100, seed=2))), "id int, text string")
+    small = sorted(map(str, tagging.tag_with_tables(df, dictionary, synonyms).collect()))
+    monkeypatch.setattr(taxonomy, "INLINE_LIMIT", 10)
+    large = tagging.tag_with_tables(df, dictionary, synonyms)
+    assert "Join" in large._jdf.queryExecution().toString() and sorted(map(str, large.collect())) == small
 
 
 def test_taxonomy_from_tables(spark):
