@@ -15,7 +15,12 @@ from feedlake.llm.queries import MIX, QUALITY_THRESHOLD
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Each row is judged by its text alone: null and empty texts by the bias, long ones whole, repeated rows alike.  Without
+    documents or usable labels all rows get the share of good labels, which is a half where there are none.  All columns
+    stay, whatever their names.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = fresh(docs, "score")
     scored = docs.withColumn(score, quality.scorer(model, spark)(F.col("text")))
@@ -23,25 +28,44 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest id."""
+    """Of equal texts the one with the largest id.
+
+    A null text is an empty one.  Null ids are smaller than all others; of repeated rows with the largest id one
+    stays.  Texts are compared whole.  No documents give none.  All columns stay, whatever their names.
+    """
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more the one with the smallest id."""
+    """Of documents linked by a similarity of 0.8 or more the one with the smallest id.
+
+    Texts without words are linked with nothing and stay.  A null id names a group only if it has no other; repeated rows
+    with the smallest id stay together, which the stage before has parted.  Texts are read whole.  No documents
+    give none.  All columns stay, whatever their names.
+    """
     return near_dedup.drop_near_copies(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Each row is judged by its whole text alone; null and empty ones, and those without words, stay, as do all if the benchmark
+    is empty.  Ids play no part, and repeated rows are judged alike.  All columns stay, whatever their names.
+    """
     return decontaminate.drop_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training mix: documents by epoch, with their leaf and the tokens taken."""
-    mixed = mixing.mix(docs, MIX)
-    facts = F.struct(F.col("mix.domain"), F.col("mix.epoch"), F.col("mix.n_tokens"), F.col("mix.take_tokens"))
-    return mixed.withColumn("mix", facts).select(*docs.columns, "mix.*")
+    """The training mix: documents by epoch, with ``domain``, ``epoch``, ``n_tokens`` and ``take_tokens``.
+
+    Documents without tokens are not taken; a null language or source is a node of its own, and so is a source without a
+    number.  A long text may be cut to its first tokens; repeated rows are one unit of the order and share its tokens.  No documents
+    give none.  All columns stay; if one of them bears the name of a fact, that fact's name is lengthened by ``_``.
+    """
+    into = fresh(docs, "mix")
+    mixed = mixing.mix(docs, MIX, into=into)
+    facts = [F.col(f"{into}.{c}").alias(fresh(docs, c)) for c in ("domain", "epoch", "n_tokens", "take_tokens")]
+    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], *facts)
 
 
 STAGES = [
