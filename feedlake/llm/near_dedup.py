@@ -17,10 +17,12 @@ are made.  Every bucket names a centre, the member that shares most keys with ot
 its members are compared with it; links are joined to components, and a bucket whose members
 are all in one component is done.  For the members of the other buckets the rest is exact: shingles are
 ordered from rare to frequent, and two sets that are similar enough have their first common
-shingle so early in both that enough shingles can follow.  Members of different components
-that meet on a shingle this early are compared.  Members of one component never are, and a
-text with many shingles of its own meets nobody, so a large group of near copies is not
-squared; and no link that could join two components is skipped.
+shingle so early in both that enough shingles can follow, earlier in the smaller set than in the
+larger.  Members of different components that meet on a shingle this early are compared.  Members
+of one component never are, so a large group of near copies is not squared.  A text with more
+shingles of its own than a link allows has only those in the places of the smaller set, so texts
+of one template that are no near copies do not meet either; and no link that could join two
+components is skipped.
 
 Rows.  Texts without words have an empty set and are linked with nothing; a text of fewer than
 ``width`` words has one shingle.  Texts are read whole.  A component is named by its smallest
@@ -166,22 +168,26 @@ def _centres(buckets: DataFrame) -> DataFrame:
     return best.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("other_n"))
 
 
-def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components whose first common shingle is early enough for the similarity.
+def _early(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The shingles of each member that come early enough, from rare to frequent, to be the first one in common.
 
-    ``members``: ``node``, ``component``.  An overlap of o is enough if (100 + p) o >= p (na + nb);
-    from a common shingle at places i and j at most 1 + min(na - i, nb - j) can follow.
+    ``members``: ``node``, ``component``.  Of two similar sets the larger one has its first common shingle within the
+    first ``n - ceil(p n) + 1`` places, the smaller one (``indexed``) within ``n - ceil(2 p / (1 + p) n) + 1``.  ``main`` is the component
+    that holds most texts of a shingle; shingles of one component are left out.
     """
     shingles_ = members.join(sets, "node").select("node", "component", "n", F.explode("found").alias("shingle"))
     often = shingles_.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("node").orderBy("often", "shingle")
+    # Sizes of similar sets are in the same class or in neighbouring ones.
+    size_class = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9) if percent < 100 else F.col("n")
     early = (
         shingles_.join(often, "shingle")
         .withColumn("place", F.row_number().over(order))
         .filter(f"often > 1 AND 100L * (n - place + 1) >= {percent}L * n")
+        .withColumn("indexed", F.expr(f"{100 + percent}L * (n - place + 1) >= {2 * percent}L * n"))
+        .withColumn("size_class", size_class)
     )
-    early = store(early.select("shingle", "node", "component", "n", "place"), "early")
-    # Pairs within the component that holds most of a shingle's texts are not even looked at.
+    early = store(early.select("shingle", "node", "component", "n", "place", "indexed", "size_class"), "early")
     counts = early.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("texts"))
     main = (
         counts.groupBy("shingle")
@@ -189,19 +195,34 @@ def _early_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         .filter("components > 1")
         .select("shingle", F.col("m.component").alias("main"))
     )
-    mixed = early.join(main.hint("rebalance"), "shingle")
-    one = mixed.filter("component <> main").select(
-        "shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("i")
+    return early.join(main.hint("rebalance"), "shingle")
+
+
+def _meetings(early: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components that meet on an early shingle and can be similar, once per such shingle.
+
+    An overlap of o is enough if (100 + p) o >= p (na + nb); from a common shingle at places i and j at most
+    1 + min(na - i, nb - j) can follow.  Texts of one template, whose own shingles are too many for a link, come
+    before the shared ones, so the shared ones are not indexed: such texts do not meet.
+    """
+    small = early.filter("indexed").select(
+        "shingle", "size_class", "main", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("i")
     )
-    two = mixed.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("j"))
-    enough = F.expr(f"{100 + percent}L * (1 + least(na - i, nb - j)) >= {percent}L * (na + nb)")
-    return (
-        one.hint("rebalance", "shingle")
-        .join(two.hint("rebalance", "shingle"), "shingle")
-        .filter((F.col("ca") != F.col("cb")) & enough)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+    classes = F.array("size_class", F.col("size_class") - 1)
+    large = early.select(
+        "shingle", F.explode(classes).alias("size_class"), "main", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("j")
+    )
+    # Two texts of the main component never meet, so a large group of near copies is not squared.
+    sides = ((small.filter("ca <> main"), large), (small.filter("ca = main"), large.filter("cb <> main")))
+    fits = F.expr(
+        f"ca <> cb AND (na < nb OR na = nb AND a < b) AND 100L * na >= {percent}L * nb"
+        f" AND {100 + percent}L * (1 + least(na - i, nb - j)) >= {percent}L * (na + nb)"
     )
+    met = [
+        x.drop("main").hint("rebalance", "shingle", "size_class").join(y.drop("main").hint("rebalance", "shingle", "size_class"), ["shingle", "size_class"])
+        for x, y in sides
+    ]
+    return met[0].unionByName(met[1]).filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, percent: int, repeated: bool) -> DataFrame:
@@ -219,9 +240,10 @@ def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wi
     labels = store(components(links), "labels")
     rest = store(_placed(buckets, labels).select("node", "component").distinct(), "rest")
     remove(buckets)
-    found = store(_confirmed(_early_pairs(rest, sets, percent), sets, percent), "links")
-    remove(sets)
-    remove(rest)
+    early = store(_early(rest, sets, percent), "early")
+    found = store(_confirmed(_meetings(early, percent).distinct(), sets, percent), "links")
+    for used in (sets, rest, early):
+        remove(used)
     # The labels are stars already: the search goes on from them, not from all links.
     return labels if found.isEmpty() else components(found.union(labels.filter("node <> component")))
 
