@@ -4,7 +4,9 @@ Every version of every document is content-addressed: the SHA-256 of its text na
 The ledger holds, for each pair of blob and rule version scanned so far, the spans found.  A
 scan addresses all rows, keeps the pairs the ledger has not seen, sends one text per unseen
 blob to the scanner, appends the findings, and joins the ledger back to all paths (rows) that
-hold the blob.  A second scan of the same versions reads no text a second time.
+hold the blob.  A second scan of the same versions scans no text a second time.  A blob is picked at its
+smallest path; where rows of one path and text occur again, one of them is taken before the
+scanner.  Texts meet the list of unseen blobs where they lie if it is of checked size (``beside``).
 
 The ledger is a folder of Parquet files, ``rule_version=<v>/``; a batch is appended by Spark's
 committer, so a lost executor or a failed job leaves no half batch.  Should two scans append
@@ -24,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import ship
+from feedlake.llm.common import beside, remove, ship, store
 
 # The kinds of secrets, in the order in which they are listed at one start.
 BASE_KINDS = ("assign", "access", "hex")
@@ -105,15 +107,19 @@ def update_ledger(
     spark = versions.sparkSession
     ship(spark)
     known = read_ledger(spark, ledger, rule_version).select("blob")
-    unseen = (
-        address(versions, path_col, text_col).groupBy("blob").agg(F.min("path").alias("path")).join(known, "blob", "left_anti")
-    )
+    places = address(versions, path_col, text_col).groupBy("blob", "path").agg(F.count(F.lit(1)).alias("copies"))
+    first = places.groupBy("blob").agg(F.min(F.struct("path", "copies")).alias("at")).select("blob", "at.path", "at.copies")
+    unseen = store(first.join(known, "blob", "left_anti"), "unseen")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = versions.select(F.col(path_col).alias("at"), text.alias("text"), F.sha2(text, 256).alias("digest"))
     here = F.col("at").eqNullSafe(F.col("path")) & (F.col("digest") == F.col("blob"))
-    texts = rows.join(unseen.hint("shuffle_hash"), here, "inner")
+    texts = rows.join(beside(unseen.filter("copies = 1")), here).select("blob", "text")
+    again = unseen.filter("copies > 1")
+    if not again.isEmpty():
+        texts = texts.unionByName(rows.join(beside(again), here).select("blob", "text").dropDuplicates(["blob"]))
     findings = texts.select("blob", F.pandas_udf(_scan, SPANS)("text").alias("spans"))
     findings.write.mode("append").parquet(f"{ledger}/rule_version={rule_version}")
+    remove(unseen)
 
 
 def scan_versions(
