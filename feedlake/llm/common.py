@@ -2,41 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from functools import cache
-
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.session import scratch_dir, write_and_reload
-
+from feedlake.session import scratch_dir, ship_package, write_and_reload
 
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-@cache
-def _shipped(sc: SparkContext, application: str) -> None:
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    top = os.path.dirname(package)
-    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(package)}.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(package):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
-    sc.addPyFile(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, for the functions that run there.
 
     Rows hold whole texts, so batches to Python workers are kept at 1,000 rows, unless the
     session sets fewer.
     """
-    _shipped(spark.sparkContext, spark.sparkContext.applicationId)
+    ship_package(spark)
     if int(spark.conf.get(_BATCH_ROWS)) > 1_000:
         spark.conf.set(_BATCH_ROWS, "1000")
 

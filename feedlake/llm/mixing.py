@@ -150,12 +150,14 @@ def cuts(rows: DataFrame, plan: Plan) -> DataFrame:
 
 
 def mix(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", into: str = "mix") -> DataFrame:
-    """The documents taken, once per epoch, with a struct ``into``.
+    """The documents taken, once per epoch, with a struct ``into``, which must be a new name (see ``common.fresh``).
 
     It holds the leaf (domain, lang, source), ``epoch``, ``n_tokens`` and ``take_tokens``; the
     text is cut to the tokens taken.
     """
-    into, taken = fresh(docs, into), fresh(docs, "taken")
+    if fresh(docs, into) != into:
+        raise ValueError(f"the documents have a column {into}")
+    taken = fresh(docs.withColumn(into, F.lit(0)), "taken")
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = lambda c: F.col(f"`{into}`.{c}")
     node = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))

@@ -22,7 +22,7 @@ from feedlake.llm import (
     url_filter,
     whitening,
 )
-from feedlake.llm.common import remainder, table
+from feedlake.llm.common import fresh, remainder, table
 from feedlake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +54,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), MIX)
-    return mixed.select("doc_id", "mix.*")
+    docs = table(spark, sf_dir, "documents")
+    into = fresh(docs, "mix")
+    return mixing.mix(docs, MIX, into=into).select("doc_id", f"{into}.*")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
