@@ -28,6 +28,7 @@ DOC = "doc_id long, text string, lang string, source string, n_chars long"
 CLASH = (
     "digest", "keep_id", "group_size", "contamination", "gone_id", "gone_key", "mix", "taken", "score", "id", "blob", "path",
     "node", "component", "fingerprint", "tokens", "host", "rank", "class_rows", "label", "words", "found",
+    "domain", "epoch", "n_tokens", "take_tokens", "epochs", "last", "part", "place", "copies",
 )
 
 
@@ -222,6 +223,36 @@ def test_sets_are_one_row_a_node(spark):
     assert len(got) == len({r["node"] for r in got}) == 6 and all(len(r["found"]) == r["n"] for r in got)
 
 
+def test_texts_of_one_template_do_not_all_meet(spark, monkeypatch):
+    """Pairs grow with the texts, not with their square: each has 15 % own words, which are too many for a link."""
+    met = []
+    plain = near_dedup._meetings
+
+    def counted(early, percent):
+        one = early.filter("indexed").groupBy("shingle", "size_class").agg(F.count("node").alias("x"))
+        classes = F.explode(F.array("size_class", F.col("size_class") - 1)).alias("size_class")
+        two = early.select("shingle", classes).groupBy("shingle", "size_class").agg(F.count("shingle").alias("y"))
+        # Rows of the join before any other condition.
+        met.append(one.join(two, ["shingle", "size_class"]).agg(F.coalesce(F.sum(F.col("x") * F.col("y")), F.lit(0))).first()[0])
+        return plain(early, percent)
+
+    monkeypatch.setattr(near_dedup, "_meetings", counted)
+    # Every text is in a bucket with others, so that the exact rest has to look at all of them.
+    monkeypatch.setattr(near_dedup, "_placed", lambda buckets, labels: buckets.withColumn("component", F.col("node")))
+    words, joined = [f"w{i}" for i in range(100)], []
+    for n in (100, 400):
+        draw, rows = random.Random(n), []
+        for i in range(n):
+            own = draw.sample(range(100), 15)
+            rows.append((i, " ".join(f"t{i}x{p}" if p in own else w for p, w in enumerate(words))))
+        # Two texts that are linked, beside the others.
+        rows += [(n, " ".join(words[:50] + [f"z{i}" for i in range(50)])), (n + 1, " ".join(words[:50] + [f"z{i}" for i in range(49)]))]
+        out = {r["doc_id"]: r["component_id"] for r in near_dedup.decide(docs(spark, rows), width=1).collect()}
+        assert out == {i: c for i, (_, c) in plain_links(rows, 1, 80).items()} and out[n + 1] == n
+        joined.append(met[-1])
+    assert joined[1] <= 6 * joined[0] + 100, joined
+
+
 def test_near_copies_of_odd_rows(spark):
     out = near_dedup.decide(docs(spark, ODD), width=4).collect()
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0, r["kept"]) for r in out) == sorted(
@@ -348,6 +379,30 @@ def test_ledger_scans_each_blob_once(spark, monkeypatch):
     assert secret_scan.scan_versions(docs(spark, []), scratch_dir(spark, "ledger")).count() == 0
 
 
+def test_equal_rows_are_scanned_once(spark, monkeypatch):
+    """Rows that are equal in id and text, and long texts, are one blob and one row of the ledger each."""
+    text = "token=abcdefgh1 " + LONG + " AKIA" + "Z" * 16
+    rows = [(1, text)] * 40 + [(2, text)] * 2 + [(None, None)] * 30 + [(5, "password: hunter2hunter2")] * 25 + [(6, "x")]
+    for most in (500_000, -1):
+        monkeypatch.setattr(secret_scan, "beside", lambda small, most=most: common.beside(small, most))
+        folder = scratch_dir(spark, "ledger")
+        out = secret_scan.scan_versions(docs(spark, rows), folder).collect()
+        assert len(out) == len(rows) and sum(len(r["spans"]) for r in out) == 2 * 42 + 25
+        assert spark.read.parquet(f"{folder}/rule_version=1").count() == 4
+        secret_scan.scan_versions(docs(spark, [*rows, (7, "y"), (7, "y")]), folder)
+        assert spark.read.parquet(f"{folder}/rule_version=1").count() == 5
+
+
+def test_texts_of_known_blobs_stay_in_place(spark):
+    """A second scan sends only the list of new blobs to the texts."""
+    folder = scratch_dir(spark, "ledger")
+    first = docs(spark, [(i, f"text {i}") for i in range(200)])
+    secret_scan.scan_versions(first, folder)
+    new = docs(spark, [(1_000 + i, f"token=abcdefgh{i}") for i in range(10)])
+    secret_scan.scan_versions(first.unionByName(new), folder)
+    assert spark.read.parquet(f"{folder}/rule_version=1").count() == 210
+
+
 @pytest.mark.parametrize(
     "text, spans",
     [
@@ -478,12 +533,15 @@ def test_sources_without_a_number_have_no_domain(spark):
 def test_mix_takes_the_budget(spark):
     rows = [(i, f"t{i} " * (1 + i % 7), "en" if i % 3 else "de", f"s{i % 2}", i) for i in range(300)]
     rows += [(7, "copy copy", None, None, None)] * 2 + [(None, None, "en", "s0", 1), (8, "", "en", "s0", 1)]
-    df = spark.createDataFrame(rows, DOC).withColumns({c: F.lit("x") for c in CLASH if c not in ("mix",)})
+    rows += [(9, LONG, "en", "s0", 1)]
+    df = spark.createDataFrame(rows, DOC).withColumns({c: F.lit("x") for c in CLASH})
+    with pytest.raises(ValueError):
+        mixing.mix(df, PLAN)
     for budget, most in ((100, 100), (1_500, 1_500), (10**9, 2 * (sum(len((r[1] or "").split()) for r in rows)))):
         plan = mixing.Plan(PLAN.domain, PLAN.domain_weights, PLAN.lang_weights, {}, budget=budget, max_epochs=2, seed=1)
-        out = mixing.mix(df, plan).select("doc_id", "text", "mix.*").collect()
+        out = mixing.mix(df, plan, into="facts").select("doc_id", "text", "facts.*").collect()
         taken = sum(r["take_tokens"] for r in out)
         assert most - 30 <= taken <= most
         assert all(len(r["text"].split()) == r["take_tokens"] <= r["n_tokens"] for r in out)
         assert sum(r["take_tokens"] < r["n_tokens"] for r in out) <= 14
-    assert mixing.mix(df.limit(0), PLAN).count() == 0
+    assert mixing.mix(df.limit(0), PLAN, into="facts").count() == 0

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from feedlake.llm.common import store
@@ -73,3 +74,42 @@ def test_mix(steps):
 def test_run_is_the_stages(spark, steps):
     out = corpus_pipeline.run(spark, SF).toPandas()
     assert sorted(zip(out["doc_id"], out["epoch"], out["take_tokens"])) == sorted(zip(steps[5]["doc_id"], steps[5]["epoch"], steps[5]["take_tokens"]))
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, and columns of the names that stages use."""
+    from test_llm_operators import CLASH, DOC, LONG
+
+    rows = [(1, None, "en", "src0", 0), (2, "", None, "src1", None), (3, " \n\t", "en", None, 3), (4, LONG, "en", "src2", 1), (4, LONG, "en", "src2", 1)]
+    rows += [(None, "a b c d e f", "de", "src0", 11), (None, None, None, None, None), (5, "a b c d e f", "de", "web", 11), (5, "a b c d e f", "de", "web", 11)]
+    rows += [(10 + i, f"some words of text number {i} that nobody else has written, {i * i}", "en", f"src{i % 3}", 60) for i in range(40)]
+    return spark.createDataFrame(rows, DOC).withColumns({c: F.lit("other") for c in CLASH})
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_odd_rows_of_a_stage(spark, tmp_path, name, stage):
+    docs = odd_documents(spark)
+    out = stage(spark, docs, SF)
+    out.write.parquet(str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out"))
+    facts = ["domain_", "epoch_", "n_tokens_", "take_tokens_"] if name == "source_mix" else []
+    assert out.columns == docs.columns + facts
+    assert out.filter("domain <> 'other' OR mix <> 'other' OR score <> 'other'").isEmpty()
+    rows = sorted(((r["doc_id"] or 0, r["text"]) for r in out.collect()), key=str)
+    before = sorted(((r["doc_id"] or 0, r["text"]) for r in docs.collect()), key=str)
+    if name == "source_mix":
+        assert 0 < len(rows) and all((r["text"] or "").split() for r in out.collect())
+        return
+    assert set(rows) <= set(before)
+    if name == "exact_dedup":
+        assert sorted(i for i, _ in rows if i < 10) == [2, 3, 4, 5]
+    if name == "near_dedup":  # of the equal texts the one with the smallest id, its copies with it
+        assert sorted(i for i, _ in rows if i < 10) == [0, 1, 2, 3, 4, 4, 5, 5]
+    if name == "decontamination":
+        assert rows == before
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_a_stage_without_documents(spark, name, stage):
+    docs = odd_documents(spark)
+    assert stage(spark, docs.limit(0), SF).count() == 0
