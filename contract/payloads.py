@@ -21,6 +21,8 @@ from contract.feeds import (
 )
 from contract.texts import clean_html_sql
 from feedlake.operators import normalize, transform
+from feedlake.session import scratch_dir
+from feedlake.sources import zones
 from feedlake.sources.zones import union_sources
 
 EPOCH = 1704067200
@@ -227,6 +229,70 @@ def normalize_rss(spark, sf):
     return normalize.normalize_rss(rss_entries(spark, sf))
 
 
+def _xml(c):
+    """A text as XML has it."""
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), (chr(34), "&quot;")):
+        c = F.replace(c, F.lit(plain), F.lit(entity))
+    return c
+
+
+#: Entries in one feed file.
+FEED_ENTRIES = 50
+
+_XML_PAGES_SQL = """WITH pages AS (SELECT page_id, url, 'p' || page_id || ' ' || regexp_replace(html, '[^ -~]+', ' ', 'g') || '.' AS html
+      FROM main.pages WHERE length(url) > 0 AND NOT regexp_matches(url, '[^!-~]'))"""
+_XML_RSS_SQL = (
+    RSS_SQL.replace("'pages' AS feed_name", "CASE WHEN page_id % 3 = 0 THEN 'atom' ELSE 'rss' END AS feed_name")
+    .replace(f"regexp_extract(url, '{HOST}', 1) AS feed_url", f"'https://feeds.example/' || (page_id // {FEED_ENTRIES}) AS feed_url")
+    .replace("'%a, %d %b %Y %H:%M:%S GMT'", "'%Y-%m-%dT%H:%M:%SZ'")
+)
+
+
+@query(
+    "normalize_rss_xml",
+    f"""SELECT *, 0 AS bad_files FROM ({_XML_PAGES_SQL} {_XML_RSS_SQL})
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 2""",
+)
+def normalize_rss_xml(spark, sf):
+    """Pages as RSS and Atom files with foreign namespaces, beside two files that cannot be read."""
+    root, url = scratch_dir(spark, "feeds"), F.col("url")
+    pages = table(spark, sf, "pages").where((F.length("url") > 0) & ~url.rlike("[^!-~]"))
+    pages = pages.withColumn("html", F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(" "), F.regexp_replace("html", "[^ -~]+", " "), F.lit(".")))
+    key = F.when(url.startswith("https"), F.concat(F.lit("tag:"), "url")).otherwise("")
+    link, host, tags = F.when(url.contains("?"), "").otherwise(url), F.regexp_extract("url", HOST, 1), F.split("url", "/")
+    at = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.col("page_id") * 3607), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    part = lambda name, text: F.concat(F.lit(f"<{name}>"), _xml(text), F.lit(f"</{name.split(' ')[0]}>"))
+    each = lambda make: F.array_join(F.transform(tags, make), "")
+    item = F.concat(
+        F.lit("<item>"), part('guid isPermaLink="false"', key), part("link", link), part("title", F.col("html")),
+        part("dc:creator", host), part("content:encoded", F.col("html")), part("dc:date", at), each(lambda t: part("category", t)), F.lit("</item>"),
+    )
+    entry = F.concat(
+        F.lit("<entry>"), part("id", key), F.lit('<link rel="enclosure" href="file"/><link rel="alternate" href="'), _xml(link), F.lit('"/>'),
+        part('title type="html"', F.col("html")), F.lit("<author>"), part("name", host), F.lit("</author>"), part("content", F.col("html")),
+        part("updated", at), each(lambda t: F.concat(F.lit('<category term="'), _xml(t), F.lit('"/>'))), F.lit("</entry>"),
+    )
+    is_atom = F.col("page_id") % 3 == 0
+    feeds = pages.select(is_atom.alias("atom"), F.expr(f"page_id div {FEED_ENTRIES}").alias("feed"), F.when(is_atom, entry).otherwise(item).alias("item"))
+    joined = feeds.groupBy("atom", "feed").agg(F.array_join(F.collect_list("item"), "").alias("items"))
+    address = F.concat(F.lit("https://feeds.example/"), F.col("feed").cast("string"))
+    rss = F.concat(
+        F.lit('<?xml version="1.0"?><rss xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/">'),
+        F.lit("<channel><title>rss</title><link>"), address, F.lit("</link>"), "items", F.lit("</channel></rss>"),
+    )
+    atom = F.concat(
+        F.lit('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>atom</title><link rel="self" href="elsewhere"/><link href="'),
+        address, F.lit('"/>'), "items", F.lit("</feed>"),
+    )
+    one_each = {"maxRecordsPerFile": 1}  # a file is one document
+    joined.select(F.when(F.col("atom"), atom).otherwise(rss)).write.options(**one_each).text(f"{root}/files/feeds")
+    bad = [("<rss><channel><title>cut off</title><item><title>x</ti",), ("no feed at all",)]
+    spark.createDataFrame(bad, "value string").write.options(**one_each).text(f"{root}/files/bad")
+    good = normalize.normalize_rss(zones.scan_rss_xml(spark, f"{root}/files")).withColumn("bad_files", F.lit(0))
+    bad = zones.bad_feed_files(spark, f"{root}/files").where(F.trim("value") != "").agg(F.count(F.lit(1)).cast("int").alias("bad_files"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 # --- records to posts ----------------------------------------------------------------
 
 POST_COLUMNS = ("id", "source", "content_clean", "collected_at", "keywords", "categories", "is_remapped", "has_keywords")

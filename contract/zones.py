@@ -33,8 +33,10 @@ from contract.payloads import (
     nostr_records,
 )
 from feedlake import schemas
-from feedlake.plans import lake, saved_sql
-from feedlake.session import scratch_dir
+from feedlake.operators import curated
+from feedlake.operators.transform import filter_future
+from feedlake.plans import lake, maintained, saved_sql
+from feedlake.session import remove_folder, scratch_dir
 from feedlake.sources import catalog, inventory, zones
 from feedlake.streaming import live
 
@@ -71,7 +73,7 @@ def scan_raw_jsonl(spark, sf):
     return zones.scan_raw_jsonl(spark, _raw_zone(spark, sf), RECORD).drop(zones.CORRUPT)
 
 
-# Clicks have a field that is not declared, errors a number that is none, signups a line that is cut off.
+# Clicks have a field that is not declared, in two spellings, errors a number that is none, signups a line that is cut off.
 @query(
     "scan_raw_dirty",
     """SELECT CASE WHEN event_type <> 'signup' THEN event_id END AS id, CASE WHEN event_type <> 'signup' THEN event_type END AS source,
@@ -83,7 +85,7 @@ def scan_raw_dirty(spark, sf):
     root, kind = scratch_dir(spark, "dirty"), F.col("event_type")
     body = F.concat(
         F.lit('{\n  "id": '), F.col("event_id").cast("string"), F.lit(',\r\n "source": "'), kind,
-        F.when(kind == "click", '", "likes": 7').otherwise('"'),
+        F.when(kind == "click", F.when(F.col("event_id") % 2 == 0, '", "likes": 7').otherwise('", "Likes": 7')).otherwise('"'),
         F.lit(', "value": '), F.when(kind == "error", '"n/a"').otherwise(F.to_json(F.struct("value"))), F.lit("}"),
     )
     nested = F.regexp_replace(body, r'"value": \{"value":([^}]*)\}', r'"value": $1')
@@ -96,7 +98,7 @@ def scan_raw_dirty(spark, sf):
     incoming = spark.readStream.schema(messages.schema).parquet(f"{root}/incoming")
     live.write_raw_zone(incoming, f"{root}/raw", f"{root}/checkpoint", available_now=True).awaitTermination()
     records = zones.scan_raw_jsonl(spark, zones.raw_path(f"{root}/raw", "mixed"), "id bigint, source string, value double", discover=True)
-    return records.select("id", "source", "value", "likes", F.col(zones.CORRUPT).isNotNull().alias("bad"))
+    return records.select("id", "source", "value", F.col("Likes").alias("likes"), F.col(zones.CORRUPT).isNotNull().alias("bad"))
 
 
 @query(
@@ -122,11 +124,11 @@ def raw_line_counts(spark, sf):
 
 
 def _daily_files(spark, sf):
-    """One file per day of events, its lines in order."""
+    """A folder per day of events, its lines in order over the files; a day with many events has several."""
     root = f"{scratch_dir(spark, 'raw')}/events"
     (
         _event_lines(spark, sf)
-        .repartition("year", "month", "day")
+        .repartitionByRange("year", "month", "day", "id")
         .sortWithinPartitions("year", "month", "day", "id")
         .write.partitionBy("year", "month", "day")
         .json(root)
@@ -231,11 +233,8 @@ def _long_sql(name: str) -> str:
 LAKE = f"WITH {lake_sql()} " + " UNION ALL ".join(_long_sql(name) for name in schemas.CURATED)
 
 
-@query("build_curated", LAKE)
-def build_curated(spark, sf):
-    """All columns of all fourteen tables, written and read back, one row per number."""
-    root = scratch_dir(spark, "curated")
-    lake.build_curated(all_posts(spark, sf), root, as_of())
+def _long(tables):
+    """All columns of curated tables, one row per number."""
 
     def long(name, df):
         keys, numbers = _columns(name)
@@ -244,19 +243,77 @@ def build_curated(spark, sf):
         each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in numbers])
         return plain.select(F.lit(name).alias("name"), key.alias("key"), F.inline(each))
 
-    return reduce(DataFrame.unionByName, [long(n, df) for n, df in zones.load_curated(spark, root).items()])
+    return reduce(DataFrame.unionByName, [long(n, df) for n, df in tables.items()])
+
+
+@query("build_curated", LAKE)
+def build_curated(spark, sf):
+    """All fourteen tables, written and read back."""
+    root = scratch_dir(spark, "curated")
+    lake.build_curated(all_posts(spark, sf), root, as_of())
+    return _long(zones.load_curated(spark, root))
+
+
+def _batches(spark, sf, root):
+    """The posts of all feeds as three batches of the processed zone, each written when it is asked for.
+
+    Rows of one id lie in different batches, and each batch has rows of all days.
+    """
+    posts = all_posts(spark, sf)
+    dealt = F.pmod(F.xxhash64("id", "collected_at", "source"), F.lit(7))
+    for number, rows in enumerate((dealt < 4, dealt.between(4, 5), dealt == 6)):
+        zones.write_processed(posts.where(rows), root, "lake", number)
+        yield number
+
+
+def _maintained(spark, sf, **options):
+    root = scratch_dir(spark, "maintained")
+    for _ in _batches(spark, sf, f"{root}/processed"):
+        maintained.update_curated(spark, f"{root}/processed", f"{root}/state", f"{root}/curated", as_of(), ("lake",), **options)
+    return zones.load_curated(spark, f"{root}/curated")
+
+
+@query("maintained_curated", LAKE)
+def maintained_curated(spark, sf):
+    """All fourteen tables after three runs, of which each reads only its own batch."""
+    return _long(_maintained(spark, sf))
+
+
+@query(
+    "volume_sketched",
+    f"""WITH {lake_sql()}, v AS (
+    SELECT 'day' AS grain, CAST(date AS VARCHAR) AS period, source, total_posts, unique_posts FROM {_lake_table('volume_by_source')}
+    UNION ALL SELECT 'week', year_week, source, total_posts, unique_posts FROM {_lake_table('volume_by_week')}
+    UNION ALL SELECT 'month', year_month, source, total_posts, unique_posts FROM {_lake_table('volume_by_month')})
+    SELECT grain, period, source, total_posts, unique_posts, true AS close FROM v""",
+)
+def volume_sketched(spark, sf):
+    """Distinct ids from sketches that were merged over three runs, each within 2 % of the exact number beside it."""
+    tables = _maintained(spark, sf, exact=False)
+    posts = curated.slim_posts(all_posts(spark, sf))
+    exact = curated.unique_rollup(posts).withColumnRenamed("unique_posts", "exact")
+    grains = {"day": ("volume_by_source", F.col("date").cast("string")), "week": ("volume_by_week", F.col("year_week")), "month": ("volume_by_month", F.col("year_month"))}
+    volumes = reduce(
+        DataFrame.unionByName,
+        [tables[t].select(F.lit(g).alias("grain"), period.alias("period"), "source", "total_posts", "unique_posts") for g, (t, period) in grains.items()],
+    )
+    met = volumes.join(exact, ["grain", "period", "source"], "left").withColumn("exact", F.coalesce("exact", F.lit(0)))
+    close = F.abs(F.col("unique_posts") - F.col("exact")) <= 0.02 * F.col("exact")
+    return met.select("grain", "period", "source", "total_posts", F.col("exact").alias("unique_posts"), close.alias("close"))
 
 
 @query(
     "load_curated",
-    f"WITH {lake_sql()} SELECT year_week, source, total_posts, unique_posts, week_start, week_end "
-    f"FROM {_lake_table('volume_by_week')}",
+    f"WITH {lake_sql()} " + " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows FROM {_lake_table(n)}" for n in schemas.CURATED if n != "growth_rate")
+    + " UNION ALL SELECT 'growth_rate', 0",
 )
 def load_curated(spark, sf):
-    """A volume table made from the rollups, as the dashboard loads it."""
+    """All tables as a dashboard loads them; one that was never written is empty."""
     root = scratch_dir(spark, "curated")
     lake.build_curated(all_posts(spark, sf), root, as_of())
-    return zones.load_curated(spark, root)["volume_by_week"].drop("aggregated_at")
+    remove_folder(spark, schemas.curated_path(root, "growth_rate"))
+    tables = zones.load_curated(spark, root)
+    return reduce(DataFrame.unionByName, [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n, t in tables.items()])
 
 
 @query(
@@ -318,21 +375,19 @@ def run_lake_twice(spark, sf):
 
 @query(
     "register_catalog",
-    f"""WITH {posts_sql('events')} SELECT 'processed_click' AS name, count(*) AS rows FROM p WHERE source = 'click'
-    UNION ALL SELECT 'volume_by_source', count(*) FROM {_lake_table('volume_by_source')}
-    UNION ALL SELECT 'trending_keywords', CAST(0 AS BIGINT)""",
+    f"WITH {lake_sql()} SELECT 'processed_lake' AS name, count(*) AS rows FROM p UNION ALL "
+    + " UNION ALL ".join(f"SELECT '{n}', count(*) FROM {_lake_table(n)}" for n in schemas.CURATED),
 )
 def register_catalog(spark, sf):
-    root, processed = scratch_dir(spark, "curated"), _processed(spark, sf)
-    lake.build_curated(event_posts(spark, sf), root, as_of())
-    names = catalog.register_catalog(spark, "feedlake_check", processed=processed, curated=root, sources=EVENT_TYPES)
+    """Every table of the processed and the curated zone, counted through the catalog."""
+    root = scratch_dir(spark, "zones")
+    posts = filter_future(all_posts(spark, sf), as_of())
+    zones.write_processed(posts, f"{root}/processed", "lake")
+    lake.build_curated(posts, f"{root}/curated", as_of())
+    names = catalog.register_catalog(spark, "feedlake_check", processed=f"{root}/processed", curated=f"{root}/curated", sources=("lake",))
     catalog.refresh_tables(spark, "feedlake_check", names)
     return saved_sql.run_sql(
-        spark,
-        " UNION ALL ".join(
-            f"SELECT '{t}' AS name, count(*) AS rows FROM feedlake_check.{t}"
-            for t in ("processed_click", "volume_by_source", "trending_keywords")
-        ),
+        spark, " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM feedlake_check.{t}" for t in names)
     )
 
 
@@ -394,6 +449,75 @@ def update_table(spark, sf):
     return spark.table(name).select("id", "source", "value")
 
 
+_TABLES = ["processed_lake", *schemas.CURATED]
+
+
+def _crawled(name: str) -> list[tuple[str, str, str]]:
+    """Columns of a table after the second crawl: name, type, change."""
+    if name == "processed_lake":
+        posts = [(f.name, f.dataType.simpleString(), "kept") for f in schemas.POST.fields if f.name != "source"]
+        return [*posts, ("score", "bigint", "widened"), ("ratio", "double", "added"), ("note", "string", "vanished")]
+    _, columns, by_source = schemas.CURATED[name]
+    pairs = [c.split(" ", 1) for c in f"{columns}, aggregated_at timestamp".split(", ")]
+    return [(c, kind, "kept") for c, kind in pairs if not (by_source and c == "source")]
+
+
+@query(
+    "crawl_catalog",
+    f"""WITH {lake_sql()}, n AS (SELECT 'processed_lake' AS name, (SELECT count(*) FROM p) + (SELECT count(*) FROM events) AS rows UNION ALL """
+    + " UNION ALL ".join(f"SELECT '{n}', (SELECT count(*) FROM {_lake_table(n)})" for n in schemas.CURATED)
+    + """), c(name, "column", type, change) AS (VALUES """
+    + ", ".join(
+        f"('{name}', '{column}', '{kind}', '{change}')" for name in _TABLES for column, kind, change in _crawled(name)
+    )
+    + """) SELECT name, "column", type, change, rows FROM c JOIN n USING (name)""",
+)
+def crawl_catalog(spark, sf):
+    """All tables of two zones, crawled twice: in between a column gets a wider type, one comes and one goes."""
+    root = scratch_dir(spark, "zones")
+    posts = filter_future(all_posts(spark, sf), as_of())
+    lake.build_curated(posts, f"{root}/curated", as_of())
+    zones.write_processed(posts.withColumn("note", F.lit("x")), f"{root}/processed", "lake", 0)
+    events = event_posts(spark, sf)
+    zones.write_processed(events.where(F.col("source") == "view").withColumn("score", F.lit(1)), f"{root}/processed", "lake", 1)
+    database = f"feedlake_crawl_{root.rsplit('-', 1)[-1]}"
+    catalog.crawl_catalog(spark, database, f"{root}/processed", f"{root}/curated", ("lake",))
+    zones.write_processed(posts, f"{root}/processed", "lake", 0)  # without the note
+    more = events.where(F.col("source") != "view").withColumns({"score": F.lit(1).cast("long"), "ratio": F.lit(0.5).cast("float")})
+    zones.write_processed(more.where(F.col("source") == "click").withColumn("ratio", F.lit(0.5)), f"{root}/processed", "lake", 3)
+    zones.write_processed(more.where(F.col("source") != "click"), f"{root}/processed", "lake", 2)
+    report = catalog.crawl_catalog(spark, database, f"{root}/processed", f"{root}/curated", ("lake",))
+    counts = reduce(
+        DataFrame.unionByName,
+        [spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows") for t in _TABLES],
+    )
+    return report.withColumnRenamed("table", "name").join(counts, "name")
+
+
+@query(
+    "unique_ingest",
+    f"""SELECT CAST(user_id AS VARCHAR) AS id, {ts('min(ts)')} AS collected_at,
+    CASE WHEN min(ts) < TIMESTAMP '2024-01-12' THEN 0 WHEN min(ts) < TIMESTAMP '2024-01-22' THEN 1 ELSE 2 END AS run
+    FROM events GROUP BY user_id""",
+)
+def unique_ingest(spark, sf):
+    """Three drops of files in which ids come again: an id has a post of its first drop alone."""
+    root = scratch_dir(spark, "unique")
+    lines = table(spark, sf, "events").select(
+        F.col("user_id").alias("id"),
+        F.col("event_type").alias("source"),
+        F.col("props").alias("content"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+        "value",
+    )
+    at = F.col("created_at")
+    for drop in (lines.where(at < "2024-01-12"), lines.where((at >= "2024-01-12") & (at < "2024-01-22")), lines.where(at >= "2024-01-22")):
+        drop.write.mode("append").json(f"{root}/raw/events")
+        lake.ingest_source(spark, f"{root}/raw", f"{root}/processed", "events", f"{root}/checkpoint", RECORD, unique=True)
+    posts = zones.scan_processed(spark, f"{root}/processed", "events")
+    return posts.select("id", "collected_at", F.col("ingest_batch").cast("int").alias("run"))
+
+
 @query("export_csv", SQL["growth_rate"])
 def export_csv(spark, sf):
     path = f"{scratch_dir(spark, 'csv')}/growth"
@@ -408,9 +532,12 @@ def export_csv(spark, sf):
     UNION ALL SELECT 'raw', count(DISTINCT CAST(ts AS DATE)), true FROM events""",
 )
 def zone_inventory(spark, sf):
-    """The given tables, one file each, and a raw zone of one file per day."""
-    found = inventory.zone_inventory(spark, {"given": sf, "raw": _daily_files(spark, sf)})
-    return found.select("zone", "files", (F.col("bytes") > 0).alias("filled"))
+    """The given tables, one file each, and a raw zone, whose files are counted once per folder that they lie in."""
+    raw = _daily_files(spark, sf)
+    found = inventory.zone_inventory(spark, {"given": sf, "raw": raw})
+    days = inventory.list_files(spark, raw).agg(F.count_distinct(F.regexp_replace("path", "/[^/]*$", "")).alias("days"))
+    files = F.when(F.col("zone") == "raw", F.least("files", F.lit(days.first()[0]))).otherwise(F.col("files"))
+    return found.select("zone", files.alias("files"), (F.col("bytes") > 0).alias("filled"))
 
 
 @query(
@@ -418,6 +545,6 @@ def zone_inventory(spark, sf):
     """SELECT DISTINCT strftime(ts, 'year=%Y/month=%m/day=%d') AS folder, true AS filled FROM events ORDER BY folder LIMIT 100""",
 )
 def zone_files(spark, sf):
-    """The first hundred files, which have a day's folder as their known part."""
+    """The folders of the first hundred files."""
     files = inventory.zone_files(spark, _daily_files(spark, sf), "year=")
-    return files.select(F.regexp_replace("name", "/[^/]*$", "").alias("folder"), (F.col("size_kb") > 0).alias("filled"))
+    return files.groupBy(F.regexp_replace("name", "/[^/]*$", "").alias("folder")).agg(F.every(F.col("size_kb") > 0).alias("filled"))

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators import curated
-from feedlake.operators.transform import exclude_seen, filter_future, transform_posts
+from feedlake.operators.transform import filter_future, transform_posts
 from feedlake.session import scratch, write_and_reload
-from feedlake.sources import zones
+from feedlake.sources import seen, zones
 from feedlake.streaming.live import ingest_new_files
 
 WRITERS = 4
@@ -90,27 +90,34 @@ def ingest_source(
     schema = schema or schemas.RECORDS[source]
 
     def process(lines: DataFrame, number: int) -> None:
-        extra = zones.discover_columns(lines, schema) if discover else ()
+        extra = zones.discover_columns(lines, schema) if discover else {}
         records = zones.parse_lines(lines, schema, extra)
         bad = records.where(F.col(zones.CORRUPT).isNotNull()).select(F.col(zones.CORRUPT).alias("value"))
         bad.write.mode("overwrite").text(f"{processed}/_bad/{source}/ingest_batch={number}")
         posts = transform_posts(records.drop(zones.CORRUPT), source, **options)
         if unique:
-            posts = _new_posts(spark, posts, processed, source, number)
+            known = _seen_ids(spark, processed, source, number)
+            posts = seen.exclude_remembered(posts, known, source, number)
         zones.write_processed(posts, processed, source, number)
+        if unique:
+            written = zones.scan_processed(spark, processed, source).where(F.col("ingest_batch") == number)
+            seen.remember(written.select("id"), known, source, number)
 
     ingest_new_files(spark, zones.raw_path(raw, source), checkpoint, process)
 
 
-def _new_posts(spark: SparkSession, posts: DataFrame, processed: str, source: str, number: int) -> DataFrame:
-    try:
-        # The batch itself may have been written before the run that failed.
-        before = zones.scan_processed(spark, processed, source).where(F.col("ingest_batch") < number)
-    except AnalysisException as e:
-        if not zones.is_missing(e):
-            raise
-        return posts
-    return exclude_seen(posts, before, ("id",))
+def _seen_ids(spark: SparkSession, processed: str, source: str, number: int) -> str:
+    """The table of the ids of earlier batches; made of their posts where these came without it."""
+    name = seen.declare(spark, f"{processed}/_seen")
+    if number > 0 and spark.table(name).where(F.col("source") == source).isEmpty():
+        try:
+            before = zones.scan_processed(spark, processed, source).where(F.col("ingest_batch") < number)
+        except AnalysisException as e:
+            if not zones.is_missing(e):
+                raise
+        else:
+            seen.remember(before.select("id"), name, source, -1)
+    return name
 
 
 def bad_lines(spark: SparkSession, processed: str, source: str) -> DataFrame:

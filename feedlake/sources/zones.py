@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,9 @@ from feedlake.operators.transform import align_schema
 
 
 CORRUPT = "_corrupt_record"
+#: Fields that are not declared and of too many names to be columns.
+REST = "_rest"
+MOST_COLUMNS = 10_000
 
 
 def raw_path(root: str, source: str) -> str:
@@ -31,35 +35,48 @@ def _declared(schema: str | T.StructType) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def discover_columns(lines: DataFrame, schema: str | T.StructType, most: int = 10_000) -> list[str]:
-    """Names of top-level fields that the schema does not declare, of all lines; one pass."""
-    known = {f.name.lower() for f in _declared(schema).fields} | {CORRUPT}
+def discover_columns(lines: DataFrame, schema: str | T.StructType, most: int = MOST_COLUMNS) -> dict[str, list[str]] | None:
+    """Top-level fields that the schema does not declare, of all lines, each with all its spellings; one pass.
+
+    Fields that differ in case alone are one column, under the spelling that sorts first.  None if there are more than
+    ``most`` names: such names are data, and ``parse_lines`` then gives them as a map.
+    """
+    known = {f.name.lower() for f in _declared(schema).fields} | {CORRUPT, REST}
     fields = F.map_keys(F.from_json("value", "map<string,string>"))
     rows = lines.select(F.explode(fields).alias("name")).distinct().limit(most + 1).collect()
     if len(rows) > most:
-        raise ValueError(f"more than {most} different fields: these are no columns")
-    by_name = {r.name.lower(): r.name for r in sorted(rows, reverse=True)}
-    return sorted(name for lower, name in by_name.items() if lower not in known)
+        return None
+    by_name: dict[str, list[str]] = {}
+    for name in sorted(r.name for r in rows):
+        if name.lower() not in known:
+            by_name.setdefault(name.lower(), []).append(name)
+    return {spellings[0]: spellings for spellings in sorted(by_name.values())}
 
 
-def parse_lines(lines: DataFrame, schema: str | T.StructType, extra: Iterable[str] = ()) -> DataFrame:
+def parse_lines(lines: DataFrame, schema: str | T.StructType, extra: Mapping[str, Sequence[str]] | None = MappingProxyType({})) -> DataFrame:
     """JSON lines (``value``) as records; no line is lost, whatever is in it.
 
     A field of another type than declared is NULL, and the others keep their values; a
     line that is no JSON object gives a row of NULLs.  Both have their text in ``_corrupt_record``.
-    ``extra`` fields are strings, nested ones as JSON.
+    ``extra`` fields (see ``discover_columns``) are strings, nested ones as JSON; of several spellings in one line the
+    first counts.  With None for ``extra`` all fields that are not declared are in one map, ``_rest``.
     """
     declared = _declared(schema)
     typed = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rest = [c for c in lines.columns if c != "value"]
-    extra = list(extra)
+    beside = [c for c in lines.columns if c != "value"]
+    wanted = extra is None or len(extra) > 0
     parsed = lines.select(
         F.from_json("value", typed, options).alias("r"),
-        *([F.from_json("value", "map<string,string>").alias("m")] if extra else []),
-        *rest,
+        *([F.from_json("value", "map<string,string>").alias("m")] if wanted else []),
+        *beside,
     )
-    return parsed.select("r.*", *[F.col("m")[name].alias(name) for name in extra], *rest)
+    if extra is None:
+        names = [F.lit(f.name) for f in declared.fields]
+        found = [F.map_filter("m", lambda k, v: ~k.isin(*names)).alias(REST)]
+    else:
+        found = [F.coalesce(*[F.col("m")[s] for s in spellings]).alias(name) for name, spellings in extra.items()]
+    return parsed.select("r.*", *found, *beside)
 
 
 def scan_raw_jsonl(
@@ -71,7 +88,7 @@ def scan_raw_jsonl(
     ``discover``, one more pass finds the fields that are not declared, which become columns too.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path).where(F.trim("value") != "")
-    return parse_lines(lines, schema, discover_columns(lines, schema) if discover else ())
+    return parse_lines(lines, schema, discover_columns(lines, schema) if discover else {})
 
 
 def scan_raw_hours(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -86,31 +103,88 @@ def scan_raw_hours(spark: SparkSession, path: str, schema: str | T.StructType) -
     return parse_lines(lines.select("value", *parts), schema)
 
 
+_ITEM = (
+    "struct<guid: string, link: string, title: string, author: string, creator: string, description: string, "
+    "encoded: string, pubDate: string, date: string, category: array<string>>"
+)
+_LINKS = "array<struct<_href: string, _rel: string>>"
+_ENTRY = (
+    f"struct<id: string, link: {_LINKS}, title: string, author: struct<name: string>, summary: string, content: string, "
+    "published: string, updated: string, category: array<struct<_term: string>>>"
+)
+
+
+def _xml_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """The elements ``tag`` of all files, whatever prefixes their names have, with the file each is from."""
+    options = {"rowTag": tag, "ignoreNamespace": "true", "recursiveFileLookup": "true", "columnNameOfCorruptRecord": CORRUPT}
+    rows = spark.read.format("xml").options(**options).schema(f"{schema}, {CORRUPT} string").load(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("file"))
+
+
+def _address(links: Column) -> Column:
+    """The link of an Atom element: the one to the page itself, else the first."""
+    own = F.filter(links, lambda x: x._rel.isNull() | (x._rel == "alternate"))
+    return F.coalesce(F.get(own, F.lit(0))._href, F.get(links, F.lit(0))._href)
+
+
+def _rss_channels(spark: SparkSession, path: str) -> DataFrame:
+    return _xml_rows(spark, path, "channel", f"title string, link string, item array<{_ITEM}>")
+
+
+def _atom_feeds(spark: SparkSession, path: str) -> DataFrame:
+    return _xml_rows(spark, path, "feed", f"title string, link {_LINKS}, entry array<{_ENTRY}>")
+
+
 def scan_rss_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of RSS files, one row each, with the title and address of their channel."""
-    item = (
-        "struct<guid: string, link: string, title: string, author: string, description: string, "
-        "pubDate: string, category: array<string>>"
-    )
-    channels = (
-        spark.read.format("xml")
-        .option("rowTag", "channel")
-        .schema(f"title string, link string, item array<{item}>")
-        .load(path)
-    )
-    return channels.select(
+    """Entries of RSS and Atom files, one row each, with the title and address of their feed.
+
+    Elements of other namespaces count where RSS has none of its own: ``dc:creator``, ``dc:date``, ``content:encoded``.
+    Files that give nothing are in ``bad_feed_files``.
+    """
+    name = F.coalesce("feed_name", "feed_url").alias("feed_name")
+    filled = lambda *columns: F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in columns])
+    items = _rss_channels(spark, path).select(
         F.col("title").alias("feed_name"), F.col("link").alias("feed_url"), F.explode("item").alias("i")
-    ).select(
+    )
+    rss = items.select(
         F.col("i.guid").alias("id"),
         "i.link",
         "i.title",
-        "i.author",
-        F.col("i.description").alias("summary"),
-        F.col("i.pubDate").alias("published"),
+        filled("i.author", "i.creator").alias("author"),
+        filled("i.description", "i.encoded").alias("summary"),
+        filled("i.pubDate", "i.date").alias("published"),
         F.transform("i.category", lambda c: F.struct(c.alias("term"))).alias("tags"),
-        F.coalesce("feed_name", "feed_url").alias("feed_name"),
+        name,
+        "feed_url",
+    )
+    entries = _atom_feeds(spark, path).select(
+        F.col("title").alias("feed_name"), _address(F.col("link")).alias("feed_url"), F.explode("entry").alias("i")
+    )
+    atom = entries.select(
+        F.col("i.id").alias("id"),
+        _address(F.col("i.link")).alias("link"),
+        "i.title",
+        F.col("i.author.name").alias("author"),
+        filled("i.summary", "i.content").alias("summary"),
+        filled("i.published", "i.updated").alias("published"),
+        F.transform("i.category", lambda c: F.struct(c._term.alias("term"))).alias("tags"),
+        name,
         "feed_url",
     )
+    return rss.unionByName(atom)
+
+
+def bad_feed_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files below ``path`` that hold no readable feed, whole: ``file`` and its text, ``value``.
+
+    A file of which only one feed cannot be read is here too, and its other feeds are in ``scan_rss_xml``.
+    """
+    found = reduce(DataFrame.unionByName, [f(spark, path).select("file", "title", CORRUPT) for f in (_rss_channels, _atom_feeds)])
+    # Spark reads no corrupt records on their own, so the titles are counted too.
+    feeds = found.groupBy("file").agg(F.count("title").alias("titles"), F.count(CORRUPT).alias("broken"))
+    good = feeds.where("titles >= 0 AND broken = 0").select("file")
+    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return texts.select(F.col("_metadata.file_path").alias("file"), "value").join(good, "file", "left_anti")
 
 
 #: Partition columns of the processed zone: every writer and every table has both.
