@@ -5,7 +5,8 @@ partition builds a counting quotient filter: for each quotient its *run*, the so
 remainders with their counts.  Filters of the same shape merge without loss by merging the
 sorted runs quotient by quotient, so the merged filter is the filter of the whole table.
 A fingerprint counted once belongs to a text that is alone.  All others are only suspects:
-their texts are compared byte by byte.
+their texts are compared byte by byte.  Runs are plain sorted arrays, 8 bytes for a remainder and 8 for its count; how
+many quotients there are follows from the number of rows.
 
 Rows.  A null text counts as empty.  Texts are equal when they are identical.  Of equal texts
 the row with the largest id stays; null ids are smaller than all others.  Of repeated rows
@@ -23,15 +24,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import beside, fresh, ship, store
+from feedlake.llm.common import beside, fresh, remove, ship, store
 
 FILTER = "quotient long, remainders binary, counts binary"
 
 
-def quotient_bits(df: DataFrame) -> int:
-    """Four quotients for each shuffle partition: runs stay small, whatever the table's size."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(32, (4 * partitions - 1).bit_length()))
+#: Fingerprints in one run of the merged filter, about; a run is held by one task, with 16 bytes for each.
+RUN = 1 << 18
+
+
+def quotient_bits(rows: int) -> int:
+    """High bits of a fingerprint that name its run, so that runs stay small whatever the number of rows."""
+    return max(1, min(40, (rows // RUN).bit_length()))
 
 
 def _runs(fingerprints: np.ndarray, counts: np.ndarray, bits: int) -> pd.DataFrame:
@@ -97,7 +101,7 @@ def repeated(merged: DataFrame, bits: int, name: str) -> DataFrame:
 def suspect_fingerprints(docs: DataFrame, text_col: str, name: str) -> DataFrame:
     """Fingerprints that stand for two rows or more, as a stored table with one column."""
     ship(docs.sparkSession)
-    bits = quotient_bits(docs)
+    bits = quotient_bits(docs.count())
     prints = docs.select(F.xxhash64(_text(text_col)).alias(name))
     return store(repeated(merge_filters(partition_filters(prints, bits)), bits, name), "fingerprints")
 
@@ -124,20 +128,33 @@ def equal_texts(suspects: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
+    """One row per document: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+
+    Rows are numbered where they lie, in a stored table without texts; of equal rows the one with the smallest number stays.
+    """
     name = "fingerprint"
     rows = docs.select(F.col(id_col).alias("id"), _text(text_col).alias("text"), F.xxhash64(_text(text_col)).alias(name))
-    suspects = rows.join(beside(suspect_fingerprints(docs, text_col, name)), name, "left_semi")
-    groups = equal_texts(suspects, "id", "text")
-    units = rows.groupBy(F.col("id").alias("doc_id"), F.sha2("text", 256).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))
-    # A text that very many rows share meets its one group: both sides come from a shuffle, so AQE can split them.
-    found = units.join(groups.hint("rebalance"), "digest", "left")
+    prints = suspect_fingerprints(docs, text_col, name)
+    groups = equal_texts(rows.join(beside(prints), name, "left_semi"), "id", "text")
+    remove(prints)
+    digest = F.sha2(_text(text_col), 256).alias("digest")
+    places = store(docs.select(F.col(id_col).alias("doc_id"), digest, F.monotonically_increasing_id().alias("place")), "places")
+    # The smallest number combines before the shuffle; a text that very many rows share meets its one group by a
+    # join of which AQE can split both sides.
+    first = (
+        places.join(groups.select("digest", "keep_id").hint("rebalance"), "digest")
+        .filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .groupBy("digest")
+        .agg(F.min("place").alias("first"))
+    )
+    marked = store(groups.join(first, "digest"), "marked")
+    remove(groups)
     alone = F.col("group_size").isNull()
-    return found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+    return places.join(marked.hint("rebalance"), "digest", "left").select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (alone | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))).alias("kept"),
+        (alone | (F.col("place") == F.col("first"))).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
 
