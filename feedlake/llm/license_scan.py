@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from feedlake.llm.common import store
+
 # Phrases (label by phrase), and openings of public licenses (label by text).
 PHRASES = {
     "gnu general public license": "gpl",
@@ -58,6 +60,11 @@ class Rules:
     phrases: dict[str, str]
     templates: dict[str, str]
 
+    def first_words(self) -> list[str]:
+        """Words that 2-grams of the texts begin with."""
+        cut = [[w for w in re.split(GAP, text.lower()) if w] for text in (*self.phrases, *self.templates)]
+        return sorted({w for words in cut for w in words[:-1]})
+
     def places(self, spark: SparkSession) -> DataFrame:
         """A row per 2-gram of each text: what it is, where it stands, how many there are."""
         rows = []
@@ -67,6 +74,7 @@ class Rules:
                 if len(words) < 2:
                     raise ValueError(f"a template needs two words: {text!r}")
                 rows += [(f"{a} {b}", label, whole, q, len(words) - 1) for q, (a, b) in enumerate(zip(words, words[1:]))]
+        rows.append(("", None, None, None, None))  # met by each document once
         places = spark.createDataFrame(rows, PLACES).withColumn("hash", F.xxhash64("gram"))
         # Spark has no size for rows made by the driver.  Few are sent to all tasks; more are a table to join.
         return F.broadcast(places) if len(rows) <= MOST_SENT else places
@@ -79,23 +87,30 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), GAP), "")
 
 
-def votes(docs: DataFrame, rules: Rules, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``digest``, template columns, ``p`` and ``q`` of all matches of a text with a template."""
-    all_words = words(F.col(text_col))
-    grams = docs.select(
+def matches(docs: DataFrame, rules: Rules, id_col: str, text_col: str) -> DataFrame:
+    """One pass over the texts, as a stored table: a row per document (``n_words``; no label) and a row per match.
+
+    A match is a 2-gram of a text (at ``p``) that is a 2-gram of a template (at ``q``).  Words that no template's 2-gram begins
+    with are passed over before 2-grams are made, where the templates are few enough to be part of the plan.
+    """
+    cut = docs.select(
         F.col(id_col).alias("id"),
         F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("digest"),
-        all_words.alias("words"),
-    ).select(
-        "id",
-        "digest",
-        F.posexplode(
-            F.zip_with("words", F.expr("slice(words, 2, greatest(size(words) - 1, 0))"), lambda a, b: F.concat(a, F.lit(" "), b))
-        ).alias("p", "here"),
+        words(F.col(text_col)).alias("words"),
     )
-    places = rules.places(docs.sparkSession)
-    same = (F.xxhash64("here") == F.col("hash")) & (F.col("here") == F.col("gram"))
-    return grams.join(places, same).select("id", "digest", "label", "whole", "grams", "p", "q")
+    every = F.sequence(F.lit(0), F.size("words") - 2)
+    begins = rules.first_words()
+    starts = F.filter(every, lambda i: F.get("words", i).isin(begins)) if len(begins) <= MOST_SENT else every
+    gram = lambda i: F.struct(i.alias("p"), F.concat(F.get("words", i), F.lit(" "), F.get("words", i + 1)).alias("here"))
+    none = F.array().cast("array<struct<p:int,here:string>>")
+    # The empty 2-gram stands for the document itself.
+    itself = F.array(F.struct(F.lit(-1).alias("p"), F.lit("").alias("here")))
+    grams = F.concat(itself, F.when(F.size("words") > 1, F.transform(starts, gram)).otherwise(none))
+    # Of a plain ``explode`` Spark infers a filter and pushes it below, so that each text would be cut twice.
+    rows = cut.select("id", "digest", F.size("words").cast("long").alias("n_words"), F.explode_outer(grams).alias("g"))
+    same = (F.xxhash64("g.here") == F.col("hash")) & (F.col("g.here") == F.col("gram"))
+    met = rows.join(rules.places(docs.sparkSession), same)
+    return store(met.select("id", "digest", "n_words", "label", "whole", "grams", "g.p", "q"), "matches")
 
 
 def regions(found: DataFrame, coverage: float = 0.8, slack: int = 2) -> DataFrame:
@@ -133,16 +148,13 @@ def regions(found: DataFrame, coverage: float = 0.8, slack: int = 2) -> DataFram
 
 def scan(docs: DataFrame, rules: Rules = PRODUCTION, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document: ``id``, ``digest``, ``n_words``, and ``found``, its regions by start."""
+    met = matches(docs, rules, id_col, text_col)
     hits = (
-        regions(votes(docs, rules, id_col, text_col), **options)
+        regions(met.filter("label IS NOT NULL"), **options)
         .groupBy("id", "digest")
         .agg(F.sort_array(F.collect_set(F.struct("start", "end", "label", "whole", "share"))).alias("found"))
     )
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("digest"),
-        F.size(words(F.col(text_col))).cast("long").alias("n_words"),
-    )
+    rows = met.filter("label IS NULL").select("id", "digest", "n_words")
     r, h = rows.alias("r"), hits.alias("h")
     both = F.col("r.id").eqNullSafe(F.col("h.id")) & (F.col("r.digest") == F.col("h.digest"))
     return r.join(h, both, "left").select("r.id", "r.digest", "r.n_words", F.coalesce("h.found", F.array().cast(hits.schema["found"].dataType)).alias("found"))
