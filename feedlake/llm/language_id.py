@@ -8,10 +8,10 @@ the posterior of each language, and the largest wins.
 
 Fitting reads whole texts of a bounded, documented sample: about ``sample_rows`` rows per language,
 picked by a hash of id and text, so that copies of a text are picked one by one; without an id column
-they are taken together.  Words and n-grams are counted by Spark.  *Known* are those whose share of a
-language reaches ``min_share``; so there are at most ``1 / min_share`` words, and as many
-n-grams of each order, per language.  That is the proven bound of what is broadcast.  The driver
-reads them order by order and partition by partition, one row per word or n-gram.
+they are taken together.  Words and n-grams are counted by Spark, and all words and n-grams of the sample are
+*known*.  Their number is counted before any of them leaves Spark: a model of more than ``most_cells`` (kinds times
+languages) is refused, which a smaller sample mends.  The driver reads them order by order and partition by partition, one row
+per word or n-gram.
 
 Rows.  A text that is null or has no letter is ``und``, with score 0.  A text with letters but
 nothing known gets the priors.  Ties go to the language first in the alphabet.  Texts are read
@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import sampled, ship, store
+from feedlake.llm.common import remove, sampled, ship, store
 
 _WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -43,7 +43,7 @@ _HELD = 200_000
 @dataclass(frozen=True)
 class Settings:
     sample_rows: int = 5_000
-    min_share: float = 2e-6
+    most_cells: int = 50_000_000
     orders: tuple[int, ...] = (5, 4, 3, 2, 1)
     smoothing: float = 0.5
 
@@ -178,13 +178,16 @@ def fit(
     )
     # One row per language and order.
     totals = grams.groupBy("lang", "order").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).toPandas()
-    often = F.lit(False)
-    for row in totals.itertuples():
-        here = (F.col("lang") == row.lang) & (F.col("order") == row.order)
-        often = F.when(here, F.col("n") >= row.total * settings.min_share).otherwise(often)
-    # A gram that is known in one language keeps its counts of all.
-    by_gram = grams.groupBy("order", "gram").agg(F.max(often).alias("known"), F.collect_list(F.struct("lang", "n")).alias("counts"))
-    return Model.build(store(by_gram.filter("known").drop("known"), "known"), totals, sizes, settings)
+    cells = int(totals["kinds"].sum()) * max(1, len(sizes))  # at least as many as the model will have
+    if cells > settings.most_cells:
+        raise ValueError(f"a model of {cells} cells; at most {settings.most_cells}: take fewer sample_rows")
+    # One row per gram, with its counts of all languages.
+    by_gram = grams.groupBy("order", "gram").agg(F.collect_list(F.struct("lang", "n")).alias("counts"))
+    known = store(by_gram, "known")
+    model = Model.build(known, totals, sizes, settings)
+    for used in (counted, grams, known):
+        remove(used)
+    return model
 
 
 def predictor(model: Model, spark):

@@ -37,7 +37,7 @@ def plain_language(lessons, sizes):
     for order, by_lang in counts.items():
         total[order] = {lang: sum(by_lang[lang].values()) for lang in langs}
         kinds[order] = max(len(by_lang[lang]) for lang in langs)
-        known[order] = {g for lang in langs for g, n in by_lang[lang].items() if n >= settings.min_share * total[order][lang]}
+        known[order] = {g for lang in langs for g in by_lang[lang]}
 
     def logs(order, gram):
         s = settings.smoothing
@@ -78,6 +78,12 @@ def test_languages_equal_a_plain_model(spark, sf):
         assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9), r.doc_id
 
 
+def test_a_model_of_any_size_is_not_sent(spark):
+    df = spark.createDataFrame([("en", "some words"), ("de", "ein paar Worte")], "lang string, text string")
+    with pytest.raises(ValueError, match="cells"):
+        language_id.fit(df, settings=language_id.Settings(most_cells=20))
+
+
 # --- quality -----------------------------------------------------------------------------
 
 MASK = (1 << 64) - 1
