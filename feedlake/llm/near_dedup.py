@@ -100,7 +100,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, side: int
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, repeated: bool) -> DataFrame:
-    """``node`` and its full set, one row for each of the given nodes; ``repeated``: rows may occur more than once."""
+    """``node`` and its full set, one row for each of the given (stored) nodes; ``repeated``: rows may occur more than once."""
 
     def full(texts: pd.Series) -> pd.DataFrame:
         found = [shingles(t, width) for t in texts]
@@ -111,8 +111,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
 
     udf = F.pandas_udf(full, "s1 long, s2 long, found array<long>").asNondeterministic()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    wanted = store(nodes.select("node", "first_id", "first_key", "d1", "d2", "n"), "wanted")
-    texts = rows.join(beside(wanted), F.col("id").eqNullSafe(F.col("first_id")) & (F.xxhash64("text") == F.col("first_key")))
+    texts = rows.join(beside(nodes), F.col("id").eqNullSafe(F.col("first_id")) & (F.xxhash64("text") == F.col("first_key")))
     own = texts.withColumn("set", udf("text")).filter("set.s1 = d1 AND set.s2 = d2").select("node", "n", "set.found")
     return own.dropDuplicates(["node"]) if repeated else own
 
@@ -168,12 +167,12 @@ def _centres(buckets: DataFrame) -> DataFrame:
     return best.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("other_n"))
 
 
-def _early(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _early(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The shingles of each member that come early enough, from rare to frequent, to be the first one in common.
 
     ``members``: ``node``, ``component``.  Of two similar sets the larger one has its first common shingle within the
     first ``n - ceil(p n) + 1`` places, the smaller one (``indexed``) within ``n - ceil(2 p / (1 + p) n) + 1``.  ``main`` is the component
-    that holds most texts of a shingle; shingles of one component are left out.
+    that holds most texts of a shingle; shingles of one component are left out.  The first table is a stored one, without ``main``.
     """
     shingles_ = members.join(sets, "node").select("node", "component", "n", F.explode("found").alias("shingle"))
     often = shingles_.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
@@ -187,15 +186,15 @@ def _early(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("indexed", F.expr(f"{100 + percent}L * (n - place + 1) >= {2 * percent}L * n"))
         .withColumn("size_class", size_class)
     )
-    early = store(early.select("shingle", "node", "component", "n", "place", "indexed", "size_class"), "early")
-    counts = early.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("texts"))
+    ranked = store(early.select("shingle", "node", "component", "n", "place", "indexed", "size_class"), "ranked")
+    counts = ranked.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("texts"))
     main = (
         counts.groupBy("shingle")
         .agg(F.max(F.struct("texts", "component")).alias("m"), F.count(F.lit(1)).alias("components"))
         .filter("components > 1")
         .select("shingle", F.col("m.component").alias("main"))
     )
-    return early.join(main.hint("rebalance"), "shingle")
+    return ranked, ranked.join(main.hint("rebalance"), "shingle")
 
 
 def _meetings(early: DataFrame, percent: int) -> DataFrame:
@@ -229,7 +228,10 @@ def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wi
     """``node`` and ``component`` of all nodes that are linked with another one."""
     buckets = store(table_buckets(nodes), "buckets")
     members = buckets.select("node").distinct()
-    sets = store(_sets(docs, nodes.join(members, "node", "left_semi"), id_col, text_col, width, repeated), "sets")
+    wanted = nodes.join(members, "node", "left_semi").select("node", "first_id", "first_key", "d1", "d2", "n")
+    wanted = store(wanted, "wanted")
+    sets = store(_sets(docs, wanted, id_col, text_col, width, repeated), "sets")
+    remove(wanted)
     with_centre = (
         buckets.join(_centres(buckets).hint("rebalance"), "key")
         .filter((F.col("node") != F.col("b")) & _fit(percent))
@@ -238,14 +240,22 @@ def find_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wi
     )
     links = store(_confirmed(with_centre, sets, percent), "links")
     labels = store(components(links), "labels")
+    remove(links)
     rest = store(_placed(buckets, labels).select("node", "component").distinct(), "rest")
     remove(buckets)
-    early = store(_early(rest, sets, percent), "early")
+    ranked, early = _early(rest, sets, percent)
+    early = store(early, "early")
+    remove(ranked)
     found = store(_confirmed(_meetings(early, percent).distinct(), sets, percent), "links")
     for used in (sets, rest, early):
         remove(used)
+    if found.isEmpty():
+        return labels
     # The labels are stars already: the search goes on from them, not from all links.
-    return labels if found.isEmpty() else components(found.union(labels.filter("node <> component")))
+    out = components(found.union(labels.filter("node <> component")))
+    remove(found)
+    remove(labels)
+    return out
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = 80) -> DataFrame:
