@@ -1,8 +1,9 @@
 r"""License scans by diagonal voting.
 
 Words are lower-cased runs of ASCII letters, digits and all non-ASCII characters.  All rolling
-2-grams of words of every text are hashed and joined with the places of the same 2-grams in
-the templates.  A match at word ``p`` of the text and word ``q`` of a template votes for the
+k-grams of words of every text are hashed and joined with the places of the same k-grams in
+the templates: k is 2 for phrases and openings of a sentence, and ``LONG_GRAM`` for whole license
+texts.  A match at word ``p`` of the text and word ``q`` of a template votes for the
 diagonal ``p - q``; votes are added up per text, template and diagonal.  A whole copy puts all
 its votes on one diagonal.  A word put in or left out moves the rest to a neighbouring
 diagonal, so each diagonal is merged with its neighbours (at most ``slack`` apart).  A merged
@@ -20,12 +21,13 @@ table gives an empty result.  Only the id and text columns are read.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import store
+from feedlake.llm.license_texts import LICENSE_TEXTS
 
 # Phrases (label by phrase), and openings of public licenses (label by text).
 PHRASES = {
@@ -50,37 +52,50 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Places of templates that are sent to every task at most: some megabytes.
 MOST_SENT = 50_000
-PLACES = "gram string, label string, whole boolean, q int, grams int"
+PLACES = "gram string, label string, whole boolean, k int, q int, grams int"
+#: Words in a gram of a whole license text.
+LONG_GRAM = 5
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Phrases and templates: text to label; each text has two words at least."""
+    """Phrases and templates, text to label, with two words at least; and whole texts by label, with ``LONG_GRAM``."""
 
     phrases: dict[str, str]
     templates: dict[str, str]
-
-    def first_words(self) -> list[str]:
-        """Words that 2-grams of the texts begin with."""
-        cut = [[w for w in re.split(GAP, text.lower()) if w] for text in (*self.phrases, *self.templates)]
-        return sorted({w for words in cut for w in words[:-1]})
+    texts: dict[str, str] = field(default_factory=dict)
+
+    def kinds(self) -> list[tuple[list[str], str, bool, int]]:
+        """Words, label, whether all must match, and k of every template."""
+        rows = [(t, label, True, 2) for t, label in self.phrases.items()]
+        rows += [(t, label, False, 2) for t, label in self.templates.items()]
+        rows += [(t, label, False, LONG_GRAM) for label, t in self.texts.items()]
+        out = [([w for w in re.split(GAP, t.lower()) if w], label, whole, k) for t, label, whole, k in rows]
+        for words, label, _, k in out:
+            if len(words) < k:
+                raise ValueError(f"a template of {label} needs {k} words")
+        return out
+
+    def grams(self) -> list[tuple[str, str, bool, int, int, int]]:
+        """A row per k-gram of each template: what it is, where it stands, how many there are."""
+        return [
+            (" ".join(words[q : q + k]), label, whole, k, q, len(words) - k + 1)
+            for words, label, whole, k in self.kinds()
+            for q in range(len(words) - k + 1)
+        ]
+
+    def first_words(self, k: int) -> list[str]:
+        """Words that k-grams begin with."""
+        return sorted({gram.split(" ", 1)[0] for gram, _, _, n, _, _ in self.grams() if n == k})
 
     def places(self, spark: SparkSession) -> DataFrame:
-        """A row per 2-gram of each text: what it is, where it stands, how many there are."""
-        rows = []
-        for texts, whole in ((self.phrases, True), (self.templates, False)):
-            for text, label in texts.items():
-                words = [w for w in re.split(GAP, text.lower()) if w]
-                if len(words) < 2:
-                    raise ValueError(f"a template needs two words: {text!r}")
-                rows += [(f"{a} {b}", label, whole, q, len(words) - 1) for q, (a, b) in enumerate(zip(words, words[1:]))]
-        rows.append(("", None, None, None, None))  # met by each document once
+        rows = [*self.grams(), ("", None, None, None, None, None)]  # the last is met by each document once
         places = spark.createDataFrame(rows, PLACES).withColumn("hash", F.xxhash64("gram"))
         # Spark has no size for rows made by the driver.  Few are sent to all tasks; more are a table to join.
         return F.broadcast(places) if len(rows) <= MOST_SENT else places
 
 
-PRODUCTION = Rules(PHRASES, TEMPLATES)
+PRODUCTION = Rules(PHRASES, TEMPLATES, LICENSE_TEXTS)
 
 
 def words(text: Column) -> Column:
@@ -90,27 +105,31 @@ def words(text: Column) -> Column:
 def matches(docs: DataFrame, rules: Rules, id_col: str, text_col: str) -> DataFrame:
     """One pass over the texts, as a stored table: a row per document (``n_words``; no label) and a row per match.
 
-    A match is a 2-gram of a text (at ``p``) that is a 2-gram of a template (at ``q``).  Words that no template's 2-gram begins
-    with are passed over before 2-grams are made, where the templates are few enough to be part of the plan.
+    A match is a k-gram of a text (at ``p``) that is a k-gram of a template (at ``q``).  Words that no template's k-gram begins
+    with are passed over before k-grams are made, where they are few enough to be part of the plan.
     """
     cut = docs.select(
         F.col(id_col).alias("id"),
         F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("digest"),
         words(F.col(text_col)).alias("words"),
     )
-    every = F.sequence(F.lit(0), F.size("words") - 2)
-    begins = rules.first_words()
-    starts = F.filter(every, lambda i: F.get("words", i).isin(begins)) if len(begins) <= MOST_SENT else every
-    gram = lambda i: F.struct(i.alias("p"), F.concat(F.get("words", i), F.lit(" "), F.get("words", i + 1)).alias("here"))
-    none = F.array().cast("array<struct<p:int,here:string>>")
-    # The empty 2-gram stands for the document itself.
+
+    def grams_of(k: int) -> Column:
+        every = F.sequence(F.lit(0), F.size("words") - k)
+        begins = rules.first_words(k)
+        starts = F.filter(every, lambda i: F.get("words", i).isin(begins)) if len(begins) <= MOST_SENT else every
+        gram = lambda i: F.array_join(F.array(*[F.get("words", i + n) for n in range(k)]), " ")
+        made = F.transform(starts, lambda i: F.struct(i.alias("p"), gram(i).alias("here")))
+        return F.when(F.size("words") >= k, made).otherwise(F.array().cast("array<struct<p:int,here:string>>"))
+
+    # The empty gram stands for the document itself.
     itself = F.array(F.struct(F.lit(-1).alias("p"), F.lit("").alias("here")))
-    grams = F.concat(itself, F.when(F.size("words") > 1, F.transform(starts, gram)).otherwise(none))
+    grams = F.concat(itself, *[grams_of(k) for k in sorted({k for _, _, _, k in rules.kinds()})])
     # Of a plain ``explode`` Spark infers a filter and pushes it below, so that each text would be cut twice.
     rows = cut.select("id", "digest", F.size("words").cast("long").alias("n_words"), F.explode_outer(grams).alias("g"))
     same = (F.xxhash64("g.here") == F.col("hash")) & (F.col("g.here") == F.col("gram"))
     met = rows.join(rules.places(docs.sparkSession), same)
-    return store(met.select("id", "digest", "n_words", "label", "whole", "grams", "g.p", "q"), "matches")
+    return store(met.select("id", "digest", "n_words", "label", "whole", "k", "grams", "g.p", "q"), "matches")
 
 
 def regions(found: DataFrame, coverage: float = 0.8, slack: int = 2) -> DataFrame:
@@ -120,12 +139,12 @@ def regions(found: DataFrame, coverage: float = 0.8, slack: int = 2) -> DataFram
     verified ones that touch are one region.  Stray votes thus never chain regions together.
     The diagonals of one text and template fit one task: they are no more than its words.
     """
-    text = ["id", "digest", "label", "whole", "grams"]
+    text = ["id", "digest", "label", "whole", "k", "grams"]
     diagonals = found.groupBy(*text, (F.col("p") - F.col("q")).alias("diagonal")).agg(
         F.collect_set("q").alias("qs"), F.min("p").alias("lo"), F.max("p").alias("hi")
     )
     whole = diagonals.filter(F.col("whole") & (F.size("qs") == F.col("grams"))).select(
-        *text, F.col("lo").alias("start"), (F.col("hi") + 2).alias("end"), F.lit(1.0).alias("share")
+        *text, F.col("lo").alias("start"), (F.col("hi") + F.col("k")).alias("end"), F.lit(1.0).alias("share")
     )
     along = Window.partitionBy(*text).orderBy("diagonal")
     beside = along.rangeBetween(-slack, slack)
@@ -133,7 +152,7 @@ def regions(found: DataFrame, coverage: float = 0.8, slack: int = 2) -> DataFram
         diagonals.filter(~F.col("whole"))
         .withColumn("share", F.size(F.array_distinct(F.flatten(F.collect_list("qs").over(beside)))) / F.col("grams"))
         .withColumn("start", F.min("lo").over(beside))
-        .withColumn("end", F.max("hi").over(beside) + 2)
+        .withColumn("end", F.max("hi").over(beside) + F.col("k"))
         .filter(F.col("share") >= coverage)
     )
     near = F.col("diagonal") - F.lag("diagonal").over(along) <= slack

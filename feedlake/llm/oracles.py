@@ -166,20 +166,19 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows_ GROUP BY conv_id
 """
 
-_GRAMS = [
-    (label, whole, q, " ".join(pair), len(words) - 1)
-    for texts, whole in ((license_scan.PHRASES, True), (license_scan.TEMPLATES, False))
-    for text, label in texts.items()
-    for words in [text.split()]
-    for q, pair in enumerate(zip(words, words[1:]))
-]
-_PLACES = ", ".join(f"({_text(label)}, {whole}, {q}, {_text(gram)}, {n})" for label, whole, q, gram, n in _GRAMS)
+_PLACES = ", ".join(
+    f"({_text(label)}, {whole}, {q}, {_text(gram)}, {n})" for gram, label, whole, _, q, n in license_scan.PRODUCTION.grams()
+)
+_LONG = license_scan.LONG_GRAM
 ORACLES["op8_license_scan"] = rf"""
 WITH places(label, whole, q, gram, grams) AS (VALUES {_PLACES}),
 doc_words AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN.format("coalesce(text, '')")} AS words FROM documents),
 here AS (
     SELECT r, pos - 1 AS p, words[pos] || ' ' || words[pos + 1] AS gram
-    FROM (SELECT r, words, unnest(range(1, len(words))) AS pos FROM doc_words)),
+    FROM (SELECT r, words, unnest(range(1, len(words))) AS pos FROM doc_words)
+    UNION ALL
+    SELECT r, pos - 1 AS p, array_to_string(words[pos:pos + {_LONG - 1}], ' ') AS gram
+    FROM (SELECT r, words, unnest(range(1, len(words) - {_LONG - 2})) AS pos FROM doc_words)),
 votes AS (SELECT DISTINCT r, label, whole, grams, p - q AS diagonal, q FROM here JOIN places USING (gram)),
 found AS (
     SELECT r, label, whole, diagonal, 1.0::DOUBLE AS share FROM votes WHERE whole GROUP BY r, label, whole, grams, diagonal HAVING count(*) = grams

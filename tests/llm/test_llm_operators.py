@@ -358,6 +358,25 @@ def test_license_places(spark):
     assert license_scan.scan(docs(spark, [])).count() == 0
 
 
+def test_whole_license_texts(spark):
+    """Each text is found in a long document, also with a word put in and one left out; half of it is not."""
+    around = " ".join(f"w{i}" for i in range(3_000))
+    rows, labels = [], sorted(license_scan.LICENSE_TEXTS)
+    assert len(labels) >= 20
+    for i, label in enumerate(labels):
+        words = license_scan.LICENSE_TEXTS[label].split()
+        n = len(words)
+        changed = words[: n // 3] + ["our"] + words[n // 3 : 2 * n // 3] + words[2 * n // 3 + 1 :]
+        for j, text in enumerate((words, changed, words[: n // 2])):
+            rows.append((10 * i + j, f"{around} {' '.join(text)} {around}"))
+    found = {r["id"]: {f["label"]: f for f in r["found"]} for r in license_scan.scan(docs(spark, rows)).collect()}
+    for i, label in enumerate(labels):
+        assert found[10 * i][label]["share"] == 1.0 and found[10 * i][label]["start"] == 3_000, label
+        if len(license_scan.LICENSE_TEXTS[label].split()) > 50:
+            assert 0.8 <= found[10 * i + 1][label]["share"] < 1.0, label
+        assert label not in found[10 * i + 2], label
+
+
 # --- secrets ------------------------------------------------------------------------
 
 
