@@ -21,7 +21,7 @@ HEADLINE = (
     "growth_rate", "volume_by_source", "volume_by_week", "volume_by_month", "volume_rollups", "hourly_activity",
     "remapping_stats", "content_stats", "extended_summary", "trending_keywords", "cross_source_keywords",
     "heatmap_source_hour", "sql_volume_7d", "sql_top_keywords", "clean_html", "tag_keywords", "rewrite_content",
-    "tag_by_join", "normalize_bluesky", "transform_posts", "dedup_posts", "exclude_seen", "stream_dedup",
+    "tag_by_join", "remap_by_join", "normalize_bluesky", "transform_posts", "dedup_posts", "exclude_seen", "stream_dedup",
     "stream_enrich", "build_curated",
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "1"))

@@ -219,10 +219,10 @@ def lake_sql() -> str:
     return f"p AS ({union})"
 
 
-# One row per post and keyword, after the rule for short keywords.
+# One row per post and keyword, after the rule for short keywords; it says nothing about a NULL, which stays.
 EXPLODED = """k0 AS (SELECT id, CAST(collected_at AS DATE) AS date, source, content_clean, unnest(keywords) AS raw FROM p),
-k AS (SELECT id, date, source, lower(raw) AS keyword FROM k0 WHERE length(raw) > 2
-  OR contains(' ' || lower(content_clean) || ' ', ' ' || lower(raw) || ' '))"""
+k AS (SELECT id, date, source, lower(raw) AS keyword FROM k0
+  WHERE CASE WHEN length(raw) <= 2 THEN contains(' ' || lower(content_clean) || ' ', ' ' || lower(raw) || ' ') ELSE true END)"""
 
 
 # --- dictionary tables ---------------------------------------------------------------

@@ -316,23 +316,33 @@ def load_curated(spark, sf):
     return reduce(DataFrame.unionByName, [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n, t in tables.items()])
 
 
-@query(
-    "run_lake",
-    f"""WITH h AS ({HACKERNEWS_SQL}) SELECT 'hackernews' AS source, count(*) AS total_posts,
-    {ts("min(TIMESTAMP '1970-01-01' + to_seconds(timestamp))")} AS first_post,
-    {ts("max(TIMESTAMP '1970-01-01' + to_seconds(timestamp))")} AS last_post
-    FROM h WHERE trim(text) <> '' UNION ALL
-    SELECT 'rss', count(*), {ts('min(tm)')}, {ts('max(tm)')} FROM (
-      SELECT url, min(TIMESTAMP '2024-01-01' + to_seconds(page_id * 3607)) AS tm FROM pages GROUP BY
-      CASE WHEN url LIKE 'https%' THEN 'tag:' || url WHEN contains(url, '?') THEN html ELSE url END, url)""",
-)
+_EPOCH_SQL = "TIMESTAMP '1970-01-01' + to_seconds({})"
+#: The posts of five feeds, by the rules of each for content, time and keywords.
+FIVE_FEEDS = f"""p AS (SELECT * FROM (
+    SELECT * FROM (WITH {tagged_sql(BLUESKY_SQL, keep='id, created_at')} SELECT id, 'bluesky' AS source, {CLEAN.format('content')} AS content_clean,
+      strptime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS collected_at, mapped_keywords AS keywords, categories, is_remapped, len(mapped_keywords) > 0 AS has_keywords FROM tagged)
+    UNION ALL SELECT * FROM (WITH {tagged_sql(NOSTR_SQL, keep='id, created_at, tags')} SELECT id, 'nostr', {CLEAN.format('content')},
+      {_EPOCH_SQL.format('created_at')}, CASE WHEN contains(tags, ',') THEN string_split(tags, ',') ELSE [tags, NULL] END, categories, is_remapped, true
+      FROM tagged WHERE len(mapped_keywords) > 0)
+    UNION ALL SELECT CAST(id AS VARCHAR), 'hackernews', {CLEAN.format('text')}, {_EPOCH_SQL.format('timestamp')}, [], [], false, false FROM ({HACKERNEWS_SQL})
+    UNION ALL SELECT CAST(id AS VARCHAR), 'stackoverflow', {CLEAN.format('body')}, {_EPOCH_SQL.format('timestamp')}, [], [], false, false FROM ({STACKOVERFLOW_SQL})
+    UNION ALL SELECT id, 'rss', content_clean, tm, [], [], false, false FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY tm, content_clean) AS rn FROM (
+        SELECT *, {CLEAN.format('summary')} AS content_clean, strptime(published, '%a, %d %b %Y %H:%M:%S GMT') AS tm FROM ({RSS_SQL}))) WHERE rn = 1
+    ) WHERE content_clean <> '')"""
+
+
+@query("run_lake", f"WITH {FIVE_FEEDS} " + " UNION ALL ".join(_long_sql(name) for name in schemas.CURATED))
 def run_lake(spark, sf):
-    """Feed records as raw JSON lines, through the processed zone, to the curated zone."""
+    """Records of all five feeds as raw JSON lines, through the processed zone, to all fourteen curated tables."""
     root = scratch_dir(spark, "lake")
-    for source, records in (("hackernews", normalize_hackernews(spark, sf)), ("rss", normalize_rss(spark, sf))):
-        live.envelope(records, source).write.json(zones.raw_path(f"{root}/raw", source))
-    tables = lake.run_lake(spark, f"{root}/raw", f"{root}/processed", f"{root}/curated", as_of())
-    return tables["source_summary"].select("source", "total_posts", "first_post", "last_post")
+    feeds = {
+        "bluesky": normalize_bluesky, "nostr": nostr_records, "hackernews": normalize_hackernews,
+        "stackoverflow": normalize_stackoverflow, "rss": normalize_rss,
+    }
+    for source, records in feeds.items():
+        live.envelope(records(spark, sf), source).write.json(zones.raw_path(f"{root}/raw", source))
+    return _long(lake.run_lake(spark, f"{root}/raw", f"{root}/processed", f"{root}/curated", as_of()))
 
 
 HACKERNEWS_POSTS_SQL = f"""SELECT CAST(id AS VARCHAR) AS id FROM ({HACKERNEWS_SQL}) WHERE trim(text) <> ''"""
