@@ -12,7 +12,7 @@ Fitting reads the whole texts of a bounded, documented sample of the labelled ro
 bounded by the sample, fits the model.  Scoring is a projection of the text alone.
 
 Rows.  Null and empty texts have no n-grams and get the score of the bias.  Texts are read
-whole; repeated rows are scored alike.  Labels other than 0 and 1 and null ids or labels teach
+whole; repeated rows are scored alike, and each pair of a document and a label of its id is a lesson.  Labels other than 0 and 1 and null ids or labels teach
 nothing; a label without its document neither.  With one class only, or none, every text gets
 the smoothed share of class 1.  The score is one new column, all others are kept.
 """

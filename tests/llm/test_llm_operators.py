@@ -303,6 +303,24 @@ def test_url_rules_and_aliases(spark):
     assert {r["verdict"] for r in url_filter.judge(df, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_long_urls_and_html(spark):
+    """Addresses of 200,000 characters and a link behind a million characters of html."""
+    path = "x/" * 100_000
+    pages = [
+        (1, f"http://z.com/de/{path}", None),
+        (2, "http://q.net/far", "<p>" + "filler " * 150_000 + f'</p><link rel="canonical" href="http://z.com/de/{path}">'),
+        (3, "http://q.net/" + "?a=" + "b" * 200_000, ""),
+        (4, "http://" + "sub." * 200 + "z.com/de/1", ""),
+        (5, "", ""),
+    ] + [(6, "http://z.com/de/1", None)] * 3
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rules = url_filter.rule_table(spark, url_filter.PRODUCTION)
+    out = sorted((r["page_id"], r["verdict"], r["source"]) for r in url_filter.judge(df, rules).collect())
+    assert out == [
+        (1, "block", "rule"), (2, "block", "alias"), (3, "allow", "default"), (4, "block", "rule"), (5, "allow", "default"),
+    ] + [(6, "block", "rule")] * 3
+
+
 # --- chats --------------------------------------------------------------------------
 
 HOSTILE = [

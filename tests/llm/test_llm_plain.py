@@ -180,6 +180,17 @@ def test_quality_scores_equal_plain_ones(spark, sf):
         assert r.score == pytest.approx(1 / (1 + math.exp(-min(30, max(-30, model.slope * margin + model.offset)))), abs=1e-9)
 
 
+def test_rows_that_occur_again_weigh_more(spark):
+    """Each pair of a document and a label of its id is a lesson; the fit is the same wherever the rows lie."""
+    rows = [(i, t, int(g)) for i, (t, g) in enumerate(labelled())]
+    docs = spark.createDataFrame([r[:2] for r in rows + rows[:20]] + [(None, "x"), (900, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows + rows[:10]] + [(None, 1), (901, 0), (3, None), (4, 7)], "doc_id long, quality int")
+    one, two = quality.fit(docs, labels), quality.fit(docs.repartition(5), labels.repartition(3))
+    assert np.array_equal(one.weights, two.weights) and one.bias == two.bias
+    lessons = docs.join(labels.filter("quality IN (0, 1)"), "doc_id")
+    assert lessons.count() == len(rows) + 20 + 2 * 10
+
+
 # --- secrets -----------------------------------------------------------------------------
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
