@@ -459,47 +459,53 @@ def update_table(spark, sf):
     return spark.table(name).select("id", "source", "value")
 
 
-_TABLES = ["processed_lake", *schemas.CURATED]
-
-
 def _crawled(name: str) -> list[tuple[str, str, str]]:
     """Columns of a table after the second crawl: name, type, change."""
-    if name == "processed_lake":
+    if name.startswith("processed_"):
         posts = [(f.name, f.dataType.simpleString(), "kept") for f in schemas.POST.fields if f.name != "source"]
-        return [*posts, ("score", "bigint", "widened"), ("ratio", "double", "added"), ("note", "string", "vanished")]
+        changed = [("score", "bigint", "widened"), ("ratio", "double", "added"), ("note", "string", "vanished")]
+        return posts + changed * (name == "processed_click")
     _, columns, by_source = schemas.CURATED[name]
     pairs = [c.split(" ", 1) for c in f"{columns}, aggregated_at timestamp".split(", ")]
     return [(c, kind, "kept") for c, kind in pairs if not (by_source and c == "source")]
 
 
+_CRAWL_ROWS = [
+    f"SELECT 'processed_{t}' AS name, {4 if t == 'click' else 1} * (SELECT count(*) FROM p WHERE source = '{t}') AS rows" for t in EVENT_TYPES
+] + [f"SELECT '{n}', (SELECT count(*) FROM {_lake_table(n)})" for n in schemas.CURATED]
+_CRAWL_COLUMNS = [
+    f"('{name}', '{column}', '{kind}', '{change}')"
+    for name in (*(f"processed_{t}" for t in EVENT_TYPES), *schemas.CURATED)
+    for column, kind, change in _crawled(name)
+]
+
+
 @query(
     "crawl_catalog",
-    f"""WITH {lake_sql()}, n AS (SELECT 'processed_lake' AS name, (SELECT count(*) FROM p) + (SELECT count(*) FROM events) AS rows UNION ALL """
-    + " UNION ALL ".join(f"SELECT '{n}', (SELECT count(*) FROM {_lake_table(n)})" for n in schemas.CURATED)
-    + """), c(name, "column", type, change) AS (VALUES """
-    + ", ".join(
-        f"('{name}', '{column}', '{kind}', '{change}')" for name in _TABLES for column, kind, change in _crawled(name)
-    )
-    + """) SELECT name, "column", type, change, rows FROM c JOIN n USING (name)""",
+    f"""WITH {lake_sql()}, n AS ({" UNION ALL ".join(_CRAWL_ROWS)}), c(name, "column", type, change) AS (VALUES {", ".join(_CRAWL_COLUMNS)})
+    SELECT name, "column", type, change, rows FROM c JOIN n USING (name)""",
 )
 def crawl_catalog(spark, sf):
-    """All tables of two zones, crawled twice: in between a column gets a wider type, one comes and one goes."""
+    """Five processed and fourteen curated tables, crawled twice: in between a column of one gets a wider type, one comes and one goes."""
     root = scratch_dir(spark, "zones")
-    posts = filter_future(all_posts(spark, sf), as_of())
-    lake.build_curated(posts, f"{root}/curated", as_of())
-    zones.write_processed(posts.withColumn("note", F.lit("x")), f"{root}/processed", "lake", 0)
-    events = event_posts(spark, sf)
-    zones.write_processed(events.where(F.col("source") == "view").withColumn("score", F.lit(1)), f"{root}/processed", "lake", 1)
+    posts = event_posts(spark, sf)
+    lake.build_curated(all_posts(spark, sf), f"{root}/curated", as_of())
+    of = {t: posts.where(F.col("source") == t) for t in EVENT_TYPES}
+    for source, rows in of.items():
+        rows = rows.withColumn("note", F.lit("x")) if source == "click" else rows
+        zones.write_processed(rows, f"{root}/processed", source, 0)
+    zones.write_processed(of["click"].withColumn("score", F.lit(1)), f"{root}/processed", "click", 1)
     database = f"feedlake_crawl_{root.rsplit('-', 1)[-1]}"
-    catalog.crawl_catalog(spark, database, f"{root}/processed", f"{root}/curated", ("lake",))
-    zones.write_processed(posts, f"{root}/processed", "lake", 0)  # without the note
-    more = events.where(F.col("source") != "view").withColumns({"score": F.lit(1).cast("long"), "ratio": F.lit(0.5).cast("float")})
-    zones.write_processed(more.where(F.col("source") == "click").withColumn("ratio", F.lit(0.5)), f"{root}/processed", "lake", 3)
-    zones.write_processed(more.where(F.col("source") != "click"), f"{root}/processed", "lake", 2)
-    report = catalog.crawl_catalog(spark, database, f"{root}/processed", f"{root}/curated", ("lake",))
+    catalog.crawl_catalog(spark, database, f"{root}/processed", f"{root}/curated", EVENT_TYPES)
+    zones.write_processed(of["click"], f"{root}/processed", "click", 0)  # without the note
+    scored = of["click"].withColumn("score", F.lit(1).cast("long"))
+    zones.write_processed(scored.withColumn("ratio", F.lit(0.5).cast("float")), f"{root}/processed", "click", 2)
+    zones.write_processed(scored.withColumn("ratio", F.lit(0.5)), f"{root}/processed", "click", 3)
+    report = catalog.crawl_catalog(spark, database, f"{root}/processed", f"{root}/curated", EVENT_TYPES)
+    names = [*(f"processed_{t}" for t in EVENT_TYPES), *schemas.CURATED]
     counts = reduce(
         DataFrame.unionByName,
-        [spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows") for t in _TABLES],
+        [spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("name"), "rows") for t in names],
     )
     return report.withColumnRenamed("table", "name").join(counts, "name")
 

@@ -191,8 +191,8 @@ def crawl_catalog(
     """Bring the tables of the zones in line with their files; (table, column, type, change) of all their columns.
 
     ``change``: ``kept``, ``added``, ``widened``, ``vanished`` (no file has it any more; it stays, as NULL), or ``conflict`` (files of
-    a type that the table's cannot hold; the table keeps its own).  Tables that the catalog lacks are made.  Zones that are
-    not there yet are left out.
+    a type that the table's cannot hold; the table keeps its own).  Tables that the catalog lacks are made.  Folders that are
+    not there yet, or hold no file, are left out.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     places = {f"processed_{s}": (f"{processed}/{s}", PROCESSED_BY) for s in sources} if processed else {}
@@ -207,6 +207,8 @@ def crawl_catalog(
                 raise
             continue
         name = f"{database}.{table}"
+        if not found.fields and not spark.catalog.tableExists(name):
+            continue
         declared = spark.table(name).schema if spark.catalog.tableExists(name) else T.StructType()
         known = T.StructType([f for f in declared.fields if f.name not in by])
         fields, disputed = _merge(known, T.StructType([f for f in found.fields if f.name not in by]))
