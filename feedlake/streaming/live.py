@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from feedlake import schemas
 from feedlake.operators.tagging import tag_with_tables
+from feedlake.session import scratch
 from feedlake.sources.zones import parse_lines, raw_path
 
 FLUSH_RECORDS = 10_000
@@ -334,8 +335,9 @@ def write_tagged(
 
     def store(batch: DataFrame, number: int) -> None:
         batch = batch.persist()  # read once, though its words and its texts go different ways
-        tagged = tag_with_tables(batch, *dictionaries(batch.sparkSession), **options)
-        tagged.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        with scratch(batch.sparkSession, "tags") as folder:
+            tagged = tag_with_tables(batch, *dictionaries(batch.sparkSession), folder=folder, **options)
+            tagged.write.mode("overwrite").parquet(f"{path}/batch={number}")
         batch.unpersist()
 
     return _start(records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), available_now, interval)

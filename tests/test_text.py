@@ -195,6 +195,11 @@ def test_long_keywords_are_compared_whole(spark):
 
 def joined_rows(df):
     """Rows that the joins of the executed plan with the dictionary put out."""
+    return rows_out(df, "Join", "gram")
+
+
+def rows_out(df, kind, word):
+    """Rows that the nodes of this kind put out that name the word, in the executed plan."""
     plan, found = df._jdf.queryExecution().executedPlan(), []
     stack = [plan]
     while stack:
@@ -203,7 +208,7 @@ def joined_rows(df):
             stack.append(node.executedPlan())
         if "QueryStage" in node.nodeName():
             stack.append(node.plan())
-        if "Join" in node.nodeName() and "gram" in node.toString().split("\n")[0]:
+        if kind in node.nodeName() and word in node.toString().split("\n")[0]:
             found.append(node.metrics().apply("numOutputRows").value())
         children = node.children()
         stack += [children.apply(i) for i in range(children.size())]
@@ -235,6 +240,36 @@ def test_tables_of_any_size_give_the_same(spark, monkeypatch):
     assert "Join" in large._jdf.queryExecution().toString() and sorted(map(str, large.collect())) == small
 
 
+def test_only_texts_with_few_keywords_are_cut_into_words(spark, tmp_path):
+    """Keywords are looked for once, and synonyms only in the texts where they count."""
+    dictionary = spark.createDataFrame([("ai", "a", 0), ("kafka", "b", 1)], "keyword string, category string, category_rank int")
+    synonyms = spark.createDataFrame([("love", "spark"), ("w1", "x")], "word string, target string")
+    many = " ".join(["ai kafka"] + [f"w{i}" for i in range(500)])
+    df = spark.createDataFrame([(1, many), (None, many), (2, "love ai"), (2, "love ai"), (None, "love"), (3, None)], "id int, text string")
+    remapped = remap_by_join(df, dictionary, synonyms)
+    rows = {(r.id, r.old_content): r for r in remapped.collect()}
+    assert [rows[k].content for k in ((1, None), (None, None), (2, "love ai"), (None, "love"), (3, None))] == [many, many, "spark ai", "spark", ""]
+    assert remapped.count() == 6
+    assert rows_out(remapped, "Generate", "_grams") == 0 and "_grams" not in remapped._jdf.queryExecution().toString()
+    assert 0 < rows_out(remapped, "Generate", "posexplode") <= 2 * (2 + 2 + 1 + 1)
+
+
+def test_tags_of_a_batch_are_deleted(spark, tmp_path, monkeypatch):
+    from feedlake import session
+    from feedlake.functions import taxonomy
+    from feedlake.operators import tagging
+
+    monkeypatch.setattr(taxonomy, "INLINE_LIMIT", 1)
+    dictionary = spark.createDataFrame([("ai", "a", 0)], "keyword string, category string, category_rank int")
+    synonyms = spark.createDataFrame([("love", "spark")], "word string, target string")
+    df = spark.createDataFrame([(1, "love ai")], "id int, text string")
+    monkeypatch.setattr(session, "scratch_dir", lambda _, label: str(tmp_path / label))
+    with session.scratch(spark, "tags") as folder:
+        rows = tagging.tag_with_tables(df, dictionary, synonyms, folder=folder).collect()
+        assert (tmp_path / "tags" / "keywords").exists()
+    assert [r.content for r in rows] == ["spark ai"] and not (tmp_path / "tags").exists()
+
+
 def test_taxonomy_from_tables(spark):
     kw = spark.createDataFrame(
         [("Kafka", "data", 1), ("kafka", "tech", 0), ("python", None, None)],
