@@ -125,7 +125,9 @@ def replay_seen_ids(spark, sf):
 def stream_enrich_join(spark, sf):
     """A stream against dictionary tables that are read anew for each batch and grow with the data."""
     root = scratch_dir(spark, "live")
-    table(spark, sf, "documents").select("doc_id", "text").write.parquet(f"{root}/incoming")
+    # The given file may be a single row group, and what arrives in one file would be read by few tasks.
+    arriving = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id", "text")
+    arriving.write.parquet(f"{root}/incoming")
     records = spark.readStream.schema("doc_id bigint, text string").parquet(f"{root}/incoming")
     benchmark_dictionary(spark, sf).write.parquet(f"{root}/dictionary")
 

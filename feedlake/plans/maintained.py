@@ -183,7 +183,10 @@ def update_curated(
             unions = lambda rows: rows.groupBy("date", "source").agg(F.hll_union_agg("sketch").alias("sketch"))
             uniques = curated.uniques_from_sketches(part("sketches", _SKETCHES, curated.unique_sketches(current), unions), iso_year)
         activity, tags, _ = [job.result() for job in jobs]
-        tables = curated_tables(curated.merge_activity(activity), uniques, curated.merge_tags(tags), iso_year)
+        # Merged once, not by each table anew.
+        merged = {"activity": curated.merge_activity(activity), "tags": curated.merge_tags(tags)}
+        activity, tags = pool.map(lambda item: write_and_reload(item[1], f"{folder}/{item[0]}"), merged.items())
+        tables = curated_tables(activity, uniques, tags, iso_year)
         list(pool.map(lambda item: zones.write_curated(item[1], root, item[0], as_of), tables.items()))
     _mark(state, number, base, exact, upto)
     kinds = ("activity", "tags", "ids", "sketches") if compact else ()

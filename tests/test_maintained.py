@@ -211,3 +211,19 @@ def test_names_without_end_are_a_map(spark, tmp_path):
     lines.withColumn("value", F.regexp_replace("value", "^\\{", '{"content":"c","created_at":"2024-01-01T00:00:00Z",')).write.text(str(tmp_path / "raw" / "x"))
     lake.ingest_source(spark, str(tmp_path / "raw"), str(tmp_path / "p"), "x", str(tmp_path / "cp"), schema)
     assert zones.scan_processed(spark, str(tmp_path / "p"), "x").count() == 20_000
+
+
+def test_texts_of_one_row_group_are_tagged_by_several_tasks(spark, tmp_path):
+    """All documents lie in one row group, which one task reads; their texts are dealt out before they are tagged."""
+    from contract import feeds
+
+    rows = [(i, f"text {i} of spark", "en", "web") for i in range(200)] + [(None, "ai", "en", "web"), (7, None, "en", None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    documents.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one task
+    try:
+        posts = feeds.document_posts(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r.task for r in posts}) > 1
+    assert sorted(str(r.id) for r in posts if r.has_keywords) == sorted([str(i) for i in range(200)])
