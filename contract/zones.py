@@ -365,9 +365,10 @@ def run_lake_twice(spark, sf):
         "stackoverflow": normalize_stackoverflow, "rss": normalize_rss,
     }
     for source, records in feeds.items():
-        live.to_messages(live.envelope(records(spark, sf), source)).write.json(f"{root}/incoming/{source}")
+        live.to_messages(live.envelope(records(spark, sf), source)).write.options(**live.COMPACT).json(f"{root}/incoming/{source}")
     incoming = live.read_message_files(spark, f"{root}/incoming")
     live.write_raw_zone(incoming, f"{root}/raw", f"{root}/checkpoint", available_now=True).awaitTermination()
+    remove_folder(spark, f"{root}/incoming")  # all of it lies in the raw zone
     for _ in range(2):
         tables = lake.run_lake(spark, f"{root}/raw", f"{root}/processed", f"{root}/curated", as_of())
     catalog.register_catalog(spark, "feedlake_lake", processed=f"{root}/processed")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feedlake import schemas
 from feedlake.operators import curated
 from feedlake.operators.transform import filter_future, transform_posts
-from feedlake.session import scratch, write_and_reload
+from feedlake.session import brief_shuffles, scratch, write_and_reload
 from feedlake.sources import seen, zones
 from feedlake.streaming.live import ingest_new_files
 
@@ -103,7 +103,8 @@ def ingest_source(
             written = zones.scan_processed(spark, processed, source).where(F.col("ingest_batch") == number)
             seen.remember(written.select("id"), known, source, number)
 
-    ingest_new_files(spark, zones.raw_path(raw, source), checkpoint, process)
+    with brief_shuffles(spark):
+        ingest_new_files(spark, zones.raw_path(raw, source), checkpoint, process)
 
 
 def _seen_ids(spark: SparkSession, processed: str, source: str, number: int) -> str:

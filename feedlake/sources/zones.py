@@ -235,6 +235,7 @@ def write_processed(posts: DataFrame, root: str, source: str, batch: int = 0) ->
         posts.withColumn("ingest_batch", F.lit(batch).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(*PROCESSED_BY)
         .parquet(f"{root}/{source}")
     )

@@ -6,6 +6,7 @@ builders around the same steps that the file source runs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from feedlake import schemas
 from feedlake.operators.tagging import tag_with_tables
-from feedlake.session import scratch
+from feedlake.session import move_folder, remove_folder, scratch, subfolders
 from feedlake.sources.zones import parse_lines, raw_path
 
 FLUSH_RECORDS = 10_000
@@ -27,6 +28,8 @@ SEEN_TTL = "7 days"
 SEEN_IDS = 1_000_000
 SEEN_BUCKETS = 64
 REPLAY_HOURS = 24.0
+#: Texts compressed at the speed of a disk. Such files cannot be split, so they hold no more lines than a flush.
+COMPACT = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(FLUSH_RECORDS)}
 
 MESSAGE = "topic string, key string, value string, timestamp timestamp"
 
@@ -291,28 +294,32 @@ def write_raw_zone(
 ) -> StreamingQuery:
     """Store each message value as one line below ``raw_path(path, topic)``/year/month/day/hour of its ingestion.
 
-    Line breaks in a value, which JSON allows only between its tokens, become blanks.
+    Line breaks in a value, which JSON allows only between its tokens, become blanks.  The lines are compressed.
     Each batch has folders of its own, overwritten if the batch is run again after a
-    failure, so every message is stored once.  The topics of a batch are a short list.
+    failure, so every message is stored once.  A batch is gone through once and not kept: it is written
+    beside the zone, all topics at a time, and its folders, a short list, are then moved to their places.
     """
     at = F.coalesce(F.try_to_timestamp(F.get_json_object("value", "$._ingested_at")), "timestamp", F.current_timestamp())
     parts = {n: F.date_format(at, f) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))}
-    rows = messages.select(
+    rows = messages.where(F.col("topic").isNotNull()).select(
         "topic", F.regexp_replace("value", r"[\r\n]+", " ").alias("value"), *[c.alias(n) for n, c in parts.items()]
     )
 
+    # The name follows from the checkpoint: a run that comes after a crash removes what that has left.
+    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]}"
+
     def store(batch: DataFrame, number: int) -> None:
-        batch = batch.withColumn("batch", F.lit(number)).persist()
-        for row in batch.select("topic").distinct().collect():
-            (
-                batch.where(F.col("topic") == row.topic)
-                .drop("topic")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts, "batch")
-                .text(raw_path(path, row.topic))
-            )
-        batch.unpersist()
+        spark = batch.sparkSession
+        unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        # Spark has no folder of its own for an empty text, so that each name gets a character in front.
+        named = batch.withColumns({"topic": F.concat(F.lit("-"), "topic"), "batch": F.lit(number)})
+        try:
+            named.write.mode("overwrite").options(**COMPACT).partitionBy("topic", *parts, "batch").text(staged)
+            for topic, *folders in subfolders(spark, staged, len(parts) + 2):
+                place = raw_path(path, unescape(topic.removeprefix("topic=-")))
+                move_folder(spark, "/".join([staged, topic, *folders]), "/".join([place, *folders]))
+        finally:
+            remove_folder(spark, staged)
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, available_now, interval)

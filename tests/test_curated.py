@@ -3,9 +3,12 @@
 import json
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import contract.zones as contract_zones
+from contract import QUERIES
 from feedlake import schemas
 from feedlake.operators import curated, reports
 from feedlake.plans import lake
@@ -214,6 +217,31 @@ def test_a_second_run_adds_nothing(spark, tmp_path):
     assert spark.table("feedlake_rerun.processed_hackernews").count() == 12
 
 
+def test_an_ingest_leaves_no_shuffled_rows(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    drop_lines(tmp_path / "raw" / "hackernews", "1.json", [news(i) for i in range(10)])
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name)
+    lake.ingest_source(spark, str(tmp_path / "raw"), str(tmp_path / "processed"), "hackernews", str(tmp_path / "cp"))
+    assert not shuffled() - before and spark.conf.get(name) == setting
+    posts = zones.scan_processed(spark, str(tmp_path / "processed"), "hackernews")
+    assert posts.count() == 10
+    codecs = {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in (tmp_path / "processed").rglob("*.parquet")}
+    assert codecs == {"ZSTD"}
+
+
+def test_the_lake_removes_its_messages(spark, sf, tmp_path, monkeypatch):
+    """Once they lie in the raw zone, which keeps all lines of both runs."""
+    monkeypatch.setattr(contract_zones, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    found = {r.source: r.posts for r in QUERIES["run_lake_twice"](spark, sf).collect()}
+    assert not (tmp_path / "lake" / "incoming").exists()
+    for source, posts in found.items():
+        assert zones.scan_raw_hours(spark, zones.raw_path(str(tmp_path / "lake" / "raw"), source), "id string").count() >= posts > 0
+
+
 def test_unique_ids_across_batches(spark, tmp_path):
     raw, processed, out = (str(tmp_path / n) for n in ("raw", "processed", "curated"))
     for name, ids in (("1.json", (1, 2)), ("2.json", (2, 3))):

@@ -148,6 +148,31 @@ def test_messages_of_several_lines_are_one_line(spark, tmp_path):
     assert sorted((r.id, r[zones.CORRUPT]) for r in parsed.collect() if r.id) == [("1", None)] and parsed.count() == 2
 
 
+def test_raw_zone_is_compressed_and_a_batch_is_not_kept(spark, tmp_path, monkeypatch):
+    """Topics of any name; a batch that is run again replaces itself."""
+
+    def no_copy(*_):
+        raise AssertionError("a copy of the whole batch")
+
+    topics, n = ("rss", "a b%41=c"), live.FLUSH_RECORDS + 1
+    value = F.to_json(F.struct("id", F.repeat(F.lit("word "), 20).alias("content"), F.lit("2024-01-02T03:00:00").alias("_ingested_at")))
+    rows = spark.range(2 * n, numPartitions=1).select(F.element_at(F.array(*map(F.lit, topics)), (F.col("id") % 2 + 1).cast("int")).alias("topic"), value.alias("value"))
+    rows.write.json(str(tmp_path / "in"))
+    monkeypatch.setattr(type(rows), "persist", no_copy)
+    monkeypatch.setattr(type(rows), "cache", no_copy)
+    for _ in range(2):
+        messages = live.read_message_files(spark, str(tmp_path / "in"))
+        live.write_raw_zone(messages, str(tmp_path / "raw"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+        for name in ("0", ".0.crc"):
+            (tmp_path / "cp" / "commits" / name).unlink()
+    assert sorted(p.name for p in (tmp_path / "raw").iterdir()) == sorted(topics)
+    for topic in topics:
+        files = [p for p in (tmp_path / "raw" / topic / "year=2024" / "month=01" / "day=02" / "hour=03" / "batch=0").glob("part-*")]
+        lines = spark.read.option("recursiveFileLookup", True).text(zones.raw_path(str(tmp_path / "raw"), topic))
+        assert lines.count() == lines.distinct().count() == n
+        assert len(files) > 1 and sum(p.stat().st_size for p in files) < n * 50
+
+
 def test_envelope(spark):
     at = F.lit("2024-01-02 03:04:05").cast("timestamp")
     records = spark.createDataFrame([(7, "x")], "id bigint, content string")
